@@ -221,11 +221,15 @@ def q_incremental(t):
     return cdc_incremental(state, batches(t, 3), 3, RUN_TS).select(*STATE_COLUMNS)
 
 
-@query("cdc_incremental_partial", f"{_chain(partial=True)} SELECT {STATE} FROM t3b")
+@query(
+    "cdc_incremental_partial",
+    f"{_chain(partial=True)} SELECT {STATE.replace('amount', 'CAST(amount AS VARCHAR) AS amount')} FROM t3b",
+)
 def q_incremental_partial(t):
     """The second schema version lacks a column: its upserts keep the earlier value."""
     state = cdc_incremental(replica(t), batches(t, 2, True), 2, RUN_TS)
-    return cdc_incremental(state, batches(t, 3, True), 3, RUN_TS).select(*STATE_COLUMNS)
+    state = cdc_incremental(state, batches(t, 3, True), 3, RUN_TS)
+    return as_text(state.select(*STATE_COLUMNS), "amount")
 
 
 @query(

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.sql import functions as F
 
 from driver_queries.registry import Tables, portable, query
 from driver_queries.views import CDC, FILES
 from tidemark import names as n
 from tidemark.operators.quality import bytes_reconcile
-from tidemark.session import hadoop_path, shared_dir
 from tidemark.sources import deliveries
 from tidemark.sources.manifest import read_manifest
 from tidemark.sources.snapshot import SnapshotTable
@@ -20,17 +16,13 @@ RUN_TS = "2024-02-01 00:00:00"
 CDC_CTE = f"cdc AS ({portable(CDC)})"
 
 
-def scratch(t: Tables, name: str) -> str:
-    return f"{shared_dir(t.spark)}/driver-{name}-{uuid.uuid4().hex}"
-
-
 def feed(t: Tables):
     return t.sql(CDC).drop("phase")
 
 
 def landing(t: Tables) -> str:
     """The change feed as delivery folders, written by one partitioned job."""
-    root = scratch(t, "landing")
+    root = t.scratch("landing")
     rows = feed(t).repartition(n.FINGERPRINT, n.DELIVERY)
     rows.write.partitionBy(n.FINGERPRINT, n.DELIVERY).parquet(f"{root}/cc_user")
     return root
@@ -98,7 +90,7 @@ def q_folders(t):
        amount, GW_FINGERPRINT FROM cdc""",
 )
 def q_merged(t):
-    root = scratch(t, "merged")
+    root = t.scratch("merged")
     for fingerprint in ("aaaa", "bbbb"):
         rows = feed(t).filter(F.col(n.FINGERPRINT) == fingerprint).drop(n.FINGERPRINT, n.DELIVERY)
         rows = rows if fingerprint == "aaaa" else rows.drop("status")
@@ -113,9 +105,8 @@ def q_merged(t):
        count(*) AS rows_read, count(*) AS rows_written, 'S' AS status FROM cdc GROUP BY 1, 2""",
 )
 def q_land(t):
-    root, raw = scratch(t, "source"), scratch(t, "raw")
+    root, raw = t.scratch("source"), t.scratch("raw")
     source = feed(t)
-    # Landing folders in their plain form: rename the partition folders of one Spark write.
     source.repartition(n.FINGERPRINT, n.DELIVERY).write.partitionBy(
         n.FINGERPRINT, n.DELIVERY
     ).parquet(f"{root}/cc_user")
@@ -135,7 +126,7 @@ def q_land(t):
 FROM ({portable(FILES)}) f GROUP BY table_name""",
 )
 def q_manifest(t):
-    path = scratch(t, "manifest")
+    path = t.scratch("manifest")
     entry = F.struct(
         F.concat(F.lit("CC/"), F.upper("table_name")).alias("dataFilespath"),
         F.max("gw_timestamp").alias("lastSuccessfulWriteTimestamp"),
@@ -164,7 +155,7 @@ def q_manifest(t):
 FROM orders""",
 )
 def q_snapshot(t):
-    store = SnapshotTable(t.spark, scratch(t, "snapshot"))
+    store = SnapshotTable(t.spark, t.scratch("snapshot"))
     store.write(t.sql("SELECT o_orderkey AS id, o_orderstatus AS state FROM {orders}"))
     current = store.read()
     open_ = F.col("state") == "O"
@@ -176,7 +167,7 @@ def q_snapshot(t):
     "SELECT r_name AS name FROM region UNION ALL SELECT n_name FROM nation",
 )
 def q_append(t):
-    store = SnapshotTable(t.spark, scratch(t, "append"))
+    store = SnapshotTable(t.spark, t.scratch("append"))
     assert not store.exists()
     store.append(t.sql("SELECT r_name AS name FROM {region}"))
     return store.append(t.sql("SELECT n_name AS name FROM {nation}"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_dir
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -22,6 +25,16 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def scratch(self, name: str) -> str:
+        """A new path in the shared folder."""
+        return f"{shared_dir(self.spark)}/driver-{name}-{uuid.uuid4().hex}"
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a derived table once, as the jobs do, and read it back."""
+        path = self.scratch(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         """Run SQL whose ``{name}`` fields are the given frames or tables."""
         used = {field for _, field, _, _ in Formatter().parse(text) if field}

@@ -58,9 +58,17 @@ def scd2_initial(source: DataFrame, surrogate: str, run_sk: int, prefix: int = 3
     return numbered.withColumn(n.INSERT_RUN, F.lit(str(run_sk)))
 
 
+INSERT = "_insert"
+
+
+def is_active() -> Column:
+    """Active version; a form that reaches the parquet scan and never yields NULL."""
+    return F.col(n.ACTIVE).eqNullSafe(F.lit("Y"))
+
+
 def key_states(target: DataFrame) -> DataFrame:
     """One narrow row per key of the target; three columns are read."""
-    active = F.col(n.ACTIVE) == "Y"
+    active = is_active()
     return target.groupBy(n.KEY_HASH).agg(
         F.count(F.lit(1)).alias("_versions"),
         F.max(F.when(active, F.col(n.CHANGE_HASH))).alias("_active_hash"),
@@ -85,7 +93,7 @@ def classify(source: DataFrame, target: DataFrame, reactivate: bool = False) ->
         (F.col("_versions") == 1) & (change == F.col("_any_hash"))
     )
     return pairs.select(
-        n.KEY_HASH, insert.alias("_insert"), F.coalesce(known, F.lit(False)).alias("_known")
+        n.KEY_HASH, insert.alias(INSERT), F.coalesce(known, F.lit(False)).alias("_known")
     )
 
 
@@ -104,15 +112,19 @@ def number_inserts(
     reactivate: bool = False,
     prefix: int = 3,
 ) -> DataFrame:
-    """Give the source rows that will be inserted the next free surrogate keys.
+    """Mark the source rows that will be inserted (``_insert``) and give them the next free
+    surrogate keys.
 
     Works on (key hash, change hash, flag) only, so no wide row moves for the numbering.
     """
-    inserts = classify(source, target, reactivate).filter("_insert").select(n.KEY_HASH)
+    inserts = classify(source, target, reactivate).filter(INSERT).select(n.KEY_HASH)
     numbered = assign_surrogate(inserts, "_sk", highest(target, surrogate), prefix=prefix)
     joined = source.join(numbered, n.KEY_HASH, "left")
-    return joined.withColumn(
-        surrogate, F.coalesce(F.col("_sk"), F.col(surrogate)).cast("bigint")
+    return joined.withColumns(
+        {
+            INSERT: F.col("_sk").isNotNull(),
+            surrogate: F.coalesce(F.col("_sk"), F.col(surrogate)).cast("bigint"),
+        }
     ).drop("_sk")
 
 
@@ -126,28 +138,29 @@ def scd2_merge(
     * same change hash, or key missing from the source: nothing happens;
     * key with closed versions only: nothing, unless ``reactivate``.
 
-    Closed versions never change, so they are passed through without a shuffle; of those only
-    the distinct key hashes take part in the join. The active versions meet the source in ONE
-    full outer join, and a changed pair yields two rows there, so neither side is evaluated
-    twice.
+    Closed versions never change, so they are passed through without a shuffle. The active
+    versions meet the source in ONE full outer join, and a changed pair yields two rows there,
+    so neither side is evaluated twice. A source that went through ``number_inserts`` already
+    says which unmatched keys are new; otherwise the distinct keys of the closed versions are
+    looked up.
     """
     source = align_to_target(spelled_like(source, target.schema), target)
-    added = [c for c in source.columns if named(target, c) is None]
-    is_active = F.coalesce(F.col(n.ACTIVE) == "Y", F.lit(False))
-    active = target.filter(is_active)
-    closed = target.filter(~is_active)
-    if not reactivate:
-        closed_keys = closed.select(n.KEY_HASH).distinct().withColumn("_closed", F.lit(True))
-        source = source.join(closed_keys, n.KEY_HASH, "left")
+    active = target.filter(is_active())
+    closed = target.filter(~is_active())
+    if INSERT not in source.columns:
+        source = source.withColumn(INSERT, F.lit(True))
+        if not reactivate:
+            closed_keys = closed.select(n.KEY_HASH).distinct().withColumn("_closed", F.lit(True))
+            joined = source.join(closed_keys, n.KEY_HASH, "left")
+            source = joined.withColumn(INSERT, F.col("_closed").isNull()).drop("_closed")
+    added = [c for c in source.columns if c != INSERT and named(target, c) is None]
 
     incoming = source.withColumnsRenamed({c: f"_s_{c}" for c in source.columns})
     pairs = active.join(incoming, F.col(n.KEY_HASH) == F.col(f"_s_{n.KEY_HASH}"), "full_outer")
     old_exists = F.col(n.KEY_HASH).isNotNull()
     new_exists = F.col(f"_s_{n.KEY_HASH}").isNotNull()
     changed = old_exists & new_exists & differs(F.col(n.CHANGE_HASH), F.col(f"_s_{n.CHANGE_HASH}"))
-    fresh = ~old_exists & new_exists
-    if not reactivate:
-        fresh = fresh & F.col("_s__closed").isNull()
+    fresh = ~old_exists & new_exists & F.col(f"_s_{INSERT}")
     sides = (
         F.when(changed, F.array(F.lit(0), F.lit(1)))
         .when(old_exists, F.array(F.lit(0)))
@@ -174,8 +187,7 @@ def scd2_merge(
             new = F.lit(str(run_sk))
         return F.when(F.col("_side") == 0, old).otherwise(new)
 
-    columns = [*target.columns, *[c for c in added if c != "_closed"]]
-    moved = versions.select(*[value(c).alias(c) for c in columns])
+    moved = versions.select(*[value(c).alias(c) for c in [*target.columns, *added]])
     return closed.unionByName(moved, allowMissingColumns=True)
 
 
@@ -225,7 +237,7 @@ def scd2_reconcile(
 
 def current_rows(refined: DataFrame) -> DataFrame:
     """Active versions only."""
-    return refined.filter(F.col(n.ACTIVE) == "Y")
+    return refined.filter(is_active())
 
 
 def duplicate_active_keys(refined: DataFrame) -> DataFrame:
@@ -256,9 +268,8 @@ def _expire(
     }
     if compat:
         return update_where_in(refined, gone, on, values)
-    is_active = F.coalesce(F.col(n.ACTIVE) == "Y", F.lit(False))
-    touched = update_where_in(refined.filter(is_active), gone, on, values)
-    return refined.filter(~is_active).unionByName(touched)
+    touched = update_where_in(refined.filter(is_active()), gone, on, values)
+    return refined.filter(~is_active()).unionByName(touched)
 
 
 def expire_soft_deleted(
