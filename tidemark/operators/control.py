@@ -307,9 +307,26 @@ def mark_loaded(
     )
 
 
-def mark_complete(metadata: DataFrame, table: str, xcenter: str, run_ts) -> DataFrame:
-    """Set a table's load status to 'C'."""
-    hit = (F.upper("table_name") == table.upper()) & (F.col("xcenter") == xcenter)
+def mark_loaded_until(files: DataFrame, ends: DataFrame, xcenter: str, run_ts) -> DataFrame:
+    """``mark_loaded`` for many tables at once; ``ends`` has (table_name, end_timestamp)."""
+    ends = ends.select(F.lower("table_name").alias("_t"), F.col("end_timestamp").alias("_end"))
+    joined = files.join(ends, F.lower("table_name") == F.col("_t"), "left")
+    hit = (
+        (F.col("xcenter") == xcenter) & ~F.col("is_loaded") & (epoch("gw_timestamp") <= F.col("_end"))
+    )
+    values = {
+        "is_loaded": F.col("is_loaded") | F.coalesce(hit, F.lit(False)),
+        "update_date_time": F.when(hit, as_timestamp(run_ts)).otherwise(F.col("update_date_time")),
+    }
+    return joined.withColumns(values).select(*files.columns)
+
+
+def mark_complete(
+    metadata: DataFrame, tables: str | Sequence[str], xcenter: str, run_ts
+) -> DataFrame:
+    """Set the load status of one or several tables to 'C'."""
+    wanted = [t.upper() for t in ([tables] if isinstance(tables, str) else tables)]
+    hit = F.upper("table_name").isin(wanted) & (F.col("xcenter") == xcenter)
     return metadata.withColumns(
         {
             "load_status": F.when(hit, "C").otherwise(F.col("load_status")),

@@ -12,6 +12,7 @@ from tidemark.plans.balancing import balance_refined, balance_run, publish_metri
 from tidemark.plans.housekeeping import housekeeping
 from tidemark.plans.ingest import REPLICA_STEP, ingest
 from tidemark.plans.jobspec import JobSpec
+from tidemark.plans.parallel import for_each
 from tidemark.plans.refine import refine
 from tidemark.plans.replicate import replicate
 from tidemark.plans.validate import validate_table
@@ -38,11 +39,16 @@ def run_cycle(
     previous_run: int = 0,
     rules: Mapping[str, Sequence[Rule]] | None = None,
     balance: bool = True,
+    workers: int = 8,
 ) -> CycleResult:
-    """Ingest, replicate, balance, validate, refine, balance again, clean up."""
-    result = CycleResult(ingest(wh, landing, xcenter, run_sk, run_ts))
-    for table in result.loaded:
-        result.replicas.append(replicate(wh, table, run_sk, run_ts, xcenter))
+    """Ingest, replicate, balance, validate, refine, balance again, clean up.
+
+    Tables of one layer do not depend on each other and run side by side.
+    """
+    result = CycleResult(ingest(wh, landing, xcenter, run_sk, run_ts, workers))
+    result.replicas = for_each(
+        lambda table: replicate(wh, table, run_sk, run_ts, xcenter), result.loaded, workers
+    )
     if balance:
         metrics = balance_run(wh, cyc_sk, run_sk, run_ts, xcenter)
         result.balances.append(publish_metrics(wh.spark, wh, metrics))
@@ -51,9 +57,11 @@ def run_cycle(
             validate_table(wh, table, its_rules, xcenter, REPLICA_STEP, run_sk, run_ts)
         )
     wh.publish_replicas(sorted({*result.loaded, *_sources(wh, specs)}))
-    for spec in specs:
-        rows = spec.rows(wh.spark)
-        result.refined.append(refine(wh, spec, rows, run_sk, run_ts, previous_run))
+    result.refined = for_each(
+        lambda spec: refine(wh, spec, spec.rows(wh.spark), run_sk, run_ts, previous_run),
+        specs,
+        workers,
+    )
     if balance and len(specs) == 2:
         metrics = balance_refined(wh, cyc_sk, run_sk, run_ts, specs[0].target, specs[1].target)
         result.balances.append(publish_metrics(wh.spark, wh, metrics))

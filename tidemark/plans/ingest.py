@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import as_timestamp
 from tidemark.operators import control
 from tidemark.operators.surrogate import assign_surrogate
+from tidemark.plans.parallel import for_each
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources import deliveries
 from tidemark.sources.manifest import read_manifest
@@ -80,39 +81,52 @@ def sync_jobs(wh: Warehouse, xcenter: str, run_ts) -> DataFrame:
     return wh.control("jobs").write(jobs)
 
 
-def land(wh: Warehouse, landing: str, xcenter: str, run_sk: int, run_ts) -> list[str]:
+def land(
+    wh: Warehouse, landing: str, xcenter: str, run_sk: int, run_ts, workers: int = 8
+) -> list[str]:
     """Bring every pending delivery into the raw zone; returns the tables that succeeded.
 
-    The loop is over tables. Folder names come to the driver because a scan needs its paths;
-    rows never do. A table is marked loaded only when both zones hold the same rows.
+    Tables are landed side by side. The names of the pending folders come to the driver in one
+    small job, because a scan needs its paths; rows never do. A table is marked loaded only
+    when both zones hold the same rows.
     """
     files = wh.control_rows("file_loads")
     window = control.pending_window(wh.control_rows("jobs"), files, RAW_STEP, xcenter)
-    loaded, landed, registered = [], files, None
-    for job in window.orderBy("table_name").collect():
-        table, end = job["table_name"], job["end_timestamp"]
-        pending = control.pending_files(files, table, xcenter, job["start_timestamp"], end)
-        pairs = [
-            (r["gw_fingerprint"], r["gw_timestamp"])
-            for r in pending.select("gw_fingerprint", "gw_timestamp").collect()
-        ]
-        deliveries.land_to_raw(wh.spark, pairs, landing, wh.raw, table)
-        if not _rows_agree(wh, pairs, landing, table):
-            continue
-        landed = control.mark_loaded(landed, table, xcenter, end, run_ts)
-        rows = pending.select(
-            "table_name", "gw_fingerprint", "gw_timestamp", "cloud_path", "xcenter"
-        ).withColumn("cyc_run_sk", F.lit(run_sk))
-        registered = rows if registered is None else registered.unionByName(rows)
-        loaded.append(table)
-    if registered is None:
+    window = window.select(F.col("table_name").alias("_t"), "start_timestamp", "end_timestamp")
+    waiting = files.filter(~F.col("is_loaded") & (F.col("xcenter") == xcenter)).join(
+        window, F.lower("table_name") == F.col("_t")
+    )
+    pending: dict[str, list[tuple[str, str]]] = {}
+    ends: dict[str, int] = {}
+    for row in waiting.select("_t", "gw_fingerprint", "gw_timestamp", "end_timestamp").collect():
+        pending.setdefault(row["_t"], []).append((row["gw_fingerprint"], row["gw_timestamp"]))
+        ends[row["_t"]] = row["end_timestamp"]
+
+    def land_one(table: str) -> bool:
+        deliveries.land_to_raw(wh.spark, pending[table], landing, wh.raw, table)
+        return _rows_agree(wh, pending[table], landing, table)
+
+    tables = sorted(pending)
+    loaded = [t for t, ok in zip(tables, for_each(land_one, tables, workers)) if ok]
+    if not loaded:
         return []
-    wh.control("raw_table_load").append(registered)
-    wh.control("file_loads").write(landed)
+    done = wh.spark.createDataFrame(
+        [(t, ends[t]) for t in loaded], "table_name string, end_timestamp bigint"
+    )
+    landed = waiting.filter(F.col("_t").isin(loaded)).select(
+        "table_name",
+        "gw_fingerprint",
+        "gw_timestamp",
+        "cloud_path",
+        "xcenter",
+        F.lit(run_sk).alias("cyc_run_sk"),
+    )
+    wh.control("raw_table_load").append(landed)
+    wh.control("file_loads").write(control.mark_loaded_until(files, done, xcenter, run_ts))
     metadata = wh.control_rows("table_load_metadata")
-    for table in loaded:
-        metadata = control.mark_complete(metadata, table, xcenter, run_ts)
-    wh.control("table_load_metadata").write(metadata)
+    wh.control("table_load_metadata").write(
+        control.mark_complete(metadata, loaded, xcenter, run_ts)
+    )
     return loaded
 
 
@@ -129,9 +143,11 @@ def _rows_agree(wh: Warehouse, pairs, landing: str, table: str) -> bool:
     return bool(verdict["ok"])
 
 
-def ingest(wh: Warehouse, landing: str, xcenter: str, run_sk: int, run_ts) -> list[str]:
+def ingest(
+    wh: Warehouse, landing: str, xcenter: str, run_sk: int, run_ts, workers: int = 8
+) -> list[str]:
     """Manifest, detection, registration and landing of one cycle."""
     manifest = load_manifest(wh, landing, xcenter, run_sk, run_ts)
     register_files(wh, landing, manifest, xcenter, run_sk, run_ts)
     sync_jobs(wh, xcenter, run_ts)
-    return land(wh, landing, xcenter, run_sk, run_ts)
+    return land(wh, landing, xcenter, run_sk, run_ts, workers)
