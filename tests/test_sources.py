@@ -9,7 +9,7 @@ from tidemark.session import Staging, has_at_most
 from tidemark.sources import deliveries
 from tidemark.sources.jdbc import jdbc_options
 from tidemark.sources.manifest import read_manifest
-from tidemark.sources.snapshot import SnapshotTable
+from tidemark.sources.snapshot import HistoryTable, SnapshotTable
 
 
 def deliver(spark, root, fingerprint, ts, data, columns="id int, v string"):
@@ -146,3 +146,44 @@ def test_schema_alignment(spark):
     back = align_to_target(new, old)
     assert dict(back.dtypes)["A"] == "int" and rows(back, "A") == [(7,)]
     assert align_to_target(old, old) is old
+
+
+def versions(spark, *data, columns="id int, v string"):
+    return spark.createDataFrame(list(data), f"{columns}, {n.ACTIVE} string")
+
+
+def test_history_writes_closed_versions_once(spark, tmp_path):
+    store = HistoryTable(spark, str(tmp_path / "h"), n.ACTIVE)
+    assert not store.exists()
+    store.write_all(versions(spark, (1, "a", "Y"), (2, "b", "Y"), (3, "c", "N")))
+    store.write_step(versions(spark, (1, "a", "N"), (1, "A", "Y"), (2, "b", "Y")))
+    wide = versions(spark, (1, "A", "x", "N"), (1, "AA", "x", "Y"), (2, "b", None, "Y"), columns="id int, v string, w string")
+    store.write_step(wide)
+    expected = [
+        (1, "A", "x", "N"), (1, "AA", "x", "Y"), (1, "a", None, "N"), (2, "b", None, "Y"), (3, "c", None, "N"),
+    ]
+    assert rows(store.read()) == expected
+    assert "Union" not in plan(store.read())
+    active = store.read().filter(F.col(n.ACTIVE).eqNullSafe(F.lit("Y")))
+    assert "PartitionFilters: [(ETL_ActiveRow_Flag" in plan(active)
+    store.compact()
+    assert rows(store.read()) == expected
+    store.write_step(versions(spark, (2, "b", None, "Y"), columns="id int, v string, w string"))
+    left = sorted(p.name for p in (tmp_path / "h").iterdir() if p.name.startswith("version="))
+    assert left == ["version=4-full", "version=5"]
+    assert rows(store.read().filter("ETL_ActiveRow_Flag = 'Y'"), "id") == [(2,)]
+
+
+def test_history_ignores_unfinished_versions_and_allows_empty_ones(spark, tmp_path):
+    store = HistoryTable(spark, str(tmp_path / "h"), n.ACTIVE)
+    with pytest.raises(FileNotFoundError):
+        store.read()
+    store.write_all(versions(spark))
+    assert store.read().count() == 0
+    store.write_step(versions(spark, (1, "a", "Y")))
+    broken = tmp_path / "h" / "version=3" / f"{n.ACTIVE}=N"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("half a file")
+    assert rows(store.read(), "id") == [(1,)]
+    store.write_step(versions(spark, (1, "a", "N"), (1, "b", "Y")))
+    assert rows(store.read(), "v", n.ACTIVE) == [("a", "N"), ("b", "Y")]

@@ -138,23 +138,30 @@ def scd2_merge(
     * same change hash, or key missing from the source: nothing happens;
     * key with closed versions only: nothing, unless ``reactivate``.
 
-    Closed versions never change, so they are passed through without a shuffle. The active
-    versions meet the source in ONE full outer join, and a changed pair yields two rows there,
-    so neither side is evaluated twice. A source that went through ``number_inserts`` already
-    says which unmatched keys are new; otherwise the distinct keys of the closed versions are
-    looked up.
+    Closed versions never change, so they are passed through without a shuffle. A source that
+    went through ``number_inserts`` already says which unmatched keys are new; otherwise the
+    distinct keys of the closed versions are looked up.
     """
-    source = align_to_target(spelled_like(source, target.schema), target)
-    active = target.filter(is_active())
     closed = target.filter(~is_active())
+    if INSERT not in source.columns and not reactivate:
+        closed_keys = closed.select(n.KEY_HASH).distinct().withColumn("_closed", F.lit(True))
+        joined = source.join(closed_keys, n.KEY_HASH, "left")
+        source = joined.withColumn(INSERT, F.col("_closed").isNull()).drop("_closed")
+    moved = scd2_step(target.filter(is_active()), source, run_sk, run_ts)
+    return closed.unionByName(moved, allowMissingColumns=True)
+
+
+def scd2_step(active: DataFrame, source: DataFrame, run_sk: int, run_ts) -> DataFrame:
+    """The part of a merge that touches rows: active versions in, active and newly closed
+    versions out.
+
+    ONE full outer join; a changed pair yields two rows there, so neither side is evaluated
+    twice. Source rows without ``_insert`` never add a version for an unmatched key.
+    """
+    source = align_to_target(spelled_like(source, active.schema), active)
     if INSERT not in source.columns:
         source = source.withColumn(INSERT, F.lit(True))
-        if not reactivate:
-            closed_keys = closed.select(n.KEY_HASH).distinct().withColumn("_closed", F.lit(True))
-            joined = source.join(closed_keys, n.KEY_HASH, "left")
-            source = joined.withColumn(INSERT, F.col("_closed").isNull()).drop("_closed")
-    added = [c for c in source.columns if c != INSERT and named(target, c) is None]
-
+    added = [c for c in source.columns if c != INSERT and named(active, c) is None]
     incoming = source.withColumnsRenamed({c: f"_s_{c}" for c in source.columns})
     pairs = active.join(incoming, F.col(n.KEY_HASH) == F.col(f"_s_{n.KEY_HASH}"), "full_outer")
     old_exists = F.col(n.KEY_HASH).isNotNull()
@@ -168,14 +175,7 @@ def scd2_merge(
     )
     versions = pairs.withColumn("_changed", changed).withColumn("_side", F.explode(sides))
     expired = F.col("_changed") & (F.col("_side") == 0)
-    now = as_timestamp(run_ts)
-    closing = {
-        n.ACTIVE: F.lit("N"),
-        n.EXPIRY: now,
-        n.UPDATED: now,
-        n.LAST_RUN: F.lit(str(run_sk)),
-    }
-    closing = {k.lower(): v for k, v in closing.items()}
+    closing = {c.lower(): v for c, v in _closing(run_sk, run_ts).items()}
     delivered = {c.lower() for c in source.columns}
 
     def value(c: str) -> Column:
@@ -187,8 +187,18 @@ def scd2_merge(
             new = F.lit(str(run_sk))
         return F.when(F.col("_side") == 0, old).otherwise(new)
 
-    moved = versions.select(*[value(c).alias(c) for c in [*target.columns, *added]])
-    return closed.unionByName(moved, allowMissingColumns=True)
+    return versions.select(*[value(c).alias(c) for c in [*active.columns, *added]])
+
+
+def _closing(run_sk: int, run_ts) -> dict[str, Column]:
+    """Columns set on a version that is closed."""
+    now = as_timestamp(run_ts)
+    return {
+        n.ACTIVE: F.lit("N"),
+        n.EXPIRY: now,
+        n.UPDATED: now,
+        n.LAST_RUN: F.lit(str(run_sk)),
+    }
 
 
 def scd2_reconcile(
@@ -255,17 +265,11 @@ def _expire(
     run_ts,
     compat: bool,
 ) -> DataFrame:
-    now = as_timestamp(run_ts)
     on = [
         (F.trim(F.col(k).cast("string")), F.trim(F.col(d).cast("string")))
         for k, d in zip(keys, driving_keys)
     ]
-    values = {
-        n.ACTIVE: F.lit("N"),
-        n.EXPIRY: now,
-        n.UPDATED: now,
-        n.LAST_RUN: F.lit(str(run_sk)),
-    }
+    values = _closing(run_sk, run_ts)
     if compat:
         return update_where_in(refined, gone, on, values)
     touched = update_where_in(refined.filter(is_active()), gone, on, values)
@@ -320,7 +324,11 @@ def expire_gone(
     run_ts,
     compat: bool = False,
 ) -> DataFrame:
-    """Soft-delete and retire propagation in one pass over the refined table."""
+    """Soft-delete and retire propagation in one pass over the given versions.
+
+    Rows that are closed already pass through, so this also serves on the rows that
+    ``scd2_step`` returns.
+    """
     reason = F.col(n.SOFT_DELETE) == "Y"
     retired = named(driving, "retired")
     if retired is not None:

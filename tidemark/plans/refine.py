@@ -10,6 +10,7 @@ from tidemark.operators.control import job_metrics
 from tidemark.operators.dedup import unique_source
 from tidemark.operators.scd2 import (
     expire_gone,
+    is_active,
     number_inserts,
     scd2_hash,
     scd2_initial,
@@ -17,6 +18,7 @@ from tidemark.operators.scd2 import (
     scd2_metadata,
     scd2_reconcile,
     scd2_rows_read,
+    scd2_step,
 )
 from tidemark.plans.jobspec import JobSpec
 from tidemark.plans.warehouse import Warehouse
@@ -45,26 +47,31 @@ def refine(
 ) -> DataFrame:
     """Create or update the history table and return the metrics row of the job.
 
-    The source is staged once; classification and numbering read three of its columns. Merge
-    and delete propagation are one plan and one write of the table.
+    The source is staged once; classification and numbering read three columns of it and of
+    the history. Merge and delete propagation are one plan over the open versions, and the run
+    writes those and the versions it closed. ``compat`` changes closed versions as well, so it
+    writes the whole table.
     """
     refined = wh.refined(spec.target)
     driving = wh.replica(spec.driving_table).read()
+    gone = (driving, spec.keys, spec.driving_keys, previous_run, run_sk, run_ts)
     with Staging(wh.spark) as staging:
         source = staging.put(refined_source(spec, rows, run_sk, run_ts, compat), "source")
         first = not refined.exists()
         if first:
-            state = scd2_initial(source, spec.surrogate, run_sk)
             read = scd2_rows_read(source)
+            loaded = scd2_initial(source, spec.surrogate, run_sk)
+            state = refined.write_all(expire_gone(loaded, *gone, compat))
         else:
             target = refined.read()
             read = scd2_rows_read(source, target)
             numbered = number_inserts(source, target, spec.surrogate, reactivate)
-            state = scd2_merge(target, numbered, run_sk, run_ts, reactivate)
-        state = expire_gone(
-            state, driving, spec.keys, spec.driving_keys, previous_run, run_sk, run_ts, compat
-        )
-        state = refined.write(state)
+            if compat:
+                merged = scd2_merge(target, numbered, run_sk, run_ts)
+                state = refined.write_all(expire_gone(merged, *gone, compat))
+            else:
+                moved = scd2_step(target.filter(is_active()), numbered, run_sk, run_ts)
+                state = refined.write_step(expire_gone(moved, *gone))
         balance = scd2_reconcile(read, state, run_sk, initial=first, after_expiry=True)
         metrics = job_metrics(balance, spec.job_sk, spec.target)
         return wh.spark.createDataFrame(metrics.collect(), metrics.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import names as n
-from tidemark.sources.snapshot import SnapshotTable
+from tidemark.sources.snapshot import HistoryTable, SnapshotTable
 
 # --- fixed values: control table columns -----------------------------------------
 CONTROL = {
@@ -57,9 +57,8 @@ class Warehouse:
     def replica(self, table: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/replica/{table}")
 
-    def refined(self, table: str) -> SnapshotTable:
-        """History tables are split by active flag, so that current rows are one folder."""
-        return SnapshotTable(self.spark, f"{self.root}/refined/{table}", partition_by=[n.ACTIVE])
+    def refined(self, table: str) -> HistoryTable:
+        return HistoryTable(self.spark, f"{self.root}/refined/{table}", n.ACTIVE)
 
     def balance_source(self, table: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/balance/{table}")

@@ -7,9 +7,11 @@ state to ``{path}/v=<number>`` and readers take the highest version that holds t
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.session import hadoop_path
 
@@ -74,9 +76,13 @@ class SnapshotTable:
             df = self.read().unionByName(df, allowMissingColumns=True)
         return self.write(df)
 
-    def register(self, name: str) -> None:
-        """Make the current version visible to SQL as a table of this session."""
-        self.read().createOrReplaceTempView(name)
+    def register(self, name: str, across_sessions: bool = False) -> None:
+        """Make the current version visible to SQL, in this session or (under
+        ``global_temp``) in all sessions of the application."""
+        if across_sessions:
+            self.read().createOrReplaceGlobalTempView(name)
+        else:
+            self.read().createOrReplaceTempView(name)
 
     def save_as_table(self, name: str) -> None:
         """Register the current version in the catalog, without moving its files."""
@@ -87,3 +93,103 @@ class SnapshotTable:
         for number in self.versions()[: -self.keep]:
             fs, old = hadoop_path(self.spark, f"{self.path}/v={number}")
             fs.delete(old, True)
+
+
+class HistoryTable:
+    """A history table whose closed versions are written once.
+
+    ``{path}/version=<n>`` is split by the active flag. Its active part holds ALL versions
+    open after run n, its closed part only those CLOSED by run n; in ``version=<n>-full`` both
+    are complete. The current state is the active part of the last version plus the closed
+    parts since the last full one. A run thus writes as many rows as are open, however long
+    the history is, and one Spark write commits both parts.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, flag: str, keep: int = 2):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.flag = flag
+        self.keep = max(keep, 1)
+
+    def _at(self, relative: str):
+        return hadoop_path(self.spark, f"{self.path}/{relative}")
+
+    def _has(self, relative: str) -> bool:
+        fs, handle = self._at(relative)
+        return fs.exists(handle)
+
+    def _folders(self, committed: bool = True) -> list[tuple[int, str]]:
+        """(number, folder name) of the versions, oldest first."""
+        fs, root = hadoop_path(self.spark, self.path)
+        if not fs.exists(root):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(root)]
+        names = [x for x in names if x.startswith("version=")]
+        found = [(int(x.split("=")[1].split("-")[0]), x) for x in names]
+        return sorted(f for f in found if not committed or self._has(f"{f[1]}/_SUCCESS"))
+
+    def exists(self) -> bool:
+        return bool(self._folders())
+
+    def _since_full(self) -> list[tuple[int, str]]:
+        folders = self._folders()
+        if not folders:
+            raise FileNotFoundError(f"no committed version under {self.path}")
+        start = max(i for i, (_, name) in enumerate(folders) if name.endswith("-full"))
+        return folders[start:]
+
+    def read(self) -> DataFrame:
+        """Current state, as one scan. Rows of versions older than a column hold NULL there."""
+        folders = self._since_full()
+        number, newest = folders[-1]
+        parts = [f"{name}/{self.flag}=N" for _, name in folders] + [f"{newest}/{self.flag}=Y"]
+        paths = [f"{self.path}/{part}" for part in parts if self._has(part)]
+        schema = self._schema(number)
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        partitions = [T.StructField("version", T.StringType())]
+        stored = T.StructType([f for f in schema.fields if f.name != self.flag] + partitions
+                              + [T.StructField(self.flag, T.StringType())])
+        rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths)
+        return rows.select(*[f.name for f in schema.fields])
+
+    def write_all(self, df: DataFrame) -> DataFrame:
+        """Commit a complete state: the first load, a compaction, or a rewritten history."""
+        return self._commit(df, "-full")
+
+    def write_step(self, df: DataFrame) -> DataFrame:
+        """Commit a run: every version that is open now, and those the run closed."""
+        return self._commit(df, "")
+
+    def compact(self) -> DataFrame:
+        """Gather the closed parts of all runs in one new full version."""
+        return self.write_all(self.read())
+
+    def _commit(self, df: DataFrame, suffix: str) -> DataFrame:
+        number = max((k for k, _ in self._folders(committed=False)), default=0) + 1
+        self._save_schema(number, df.schema)
+        writer = df.write.mode("errorifexists").option("compression", "snappy")
+        writer.partitionBy(self.flag).parquet(f"{self.path}/version={number}{suffix}")
+        self._clean()
+        return self.read()
+
+    def _save_schema(self, number: int, schema: T.StructType) -> None:
+        fs, handle = self._at(f"schema-{number}.json")
+        out = fs.create(handle, True)
+        out.write(bytearray(schema.json().encode()))
+        out.close()
+
+    def _schema(self, number: int) -> T.StructType:
+        text = self.spark.read.text(f"{self.path}/schema-{number}.json", wholetext=True)
+        return T.StructType.fromJson(json.loads(text.first()[0]))
+
+    def _clean(self) -> None:
+        """Drop active parts nobody reads any more, and everything before the last full
+        version; the last ``keep`` versions stay readable."""
+        folders = self._folders()
+        needed = {name for _, name in self._since_full()}
+        for _, name in folders[: -self.keep]:
+            relative = f"{name}/{self.flag}=Y" if name in needed else name
+            if self._has(relative):
+                fs, handle = self._at(relative)
+                fs.delete(handle, True)
