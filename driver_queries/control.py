@@ -184,6 +184,17 @@ def q_history(t):
     return c.schema_history(manifest(t))
 
 
+@query(
+    "fingerprint_text",
+    f"""WITH m AS ({portable(MANIFEST)}) SELECT datafilespath, fp AS fingerprint FROM m""",
+)
+def q_fingerprint_text(t):
+    text = F.concat(F.lit("{'"), F.col("fp"), F.lit("': "), F.col("first_seen"), F.lit("}"))
+    return t.sql(MANIFEST).withColumn("history", text).select(
+        "datafilespath", c.fingerprint_in_text("history").alias("fingerprint")
+    )
+
+
 @query(
     "shift_metadata",
     f"""WITH {ctes('metadata')}, m AS ({portable(MANIFEST)}),

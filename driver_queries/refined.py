@@ -27,19 +27,26 @@ def q_claim_detail(t):
     return claim_detail(t.sql(CLAIM), t.sql(POLICY))
 
 
-@query(
-    "claim_financial",
-    f"""WITH claim AS ({portable(CLAIM)}), {TXN_CTE}
+CLAIM_FINANCIAL = f"""WITH claim AS ({portable(CLAIM)}), {TXN_CTE}
 SELECT t.id, t.publicid AS transaction_publicid, t.claimid, t.amount, t.costtype, t.costcategory,
        c.claimnumber, c.lossdate, c.losstype, c.state AS lossstate,
        t.CYC_RUN_SK AS cyc_run_sk, t.Soft_Delete
-FROM txn t LEFT JOIN claim c ON t.claimid = c.id WHERE t.Soft_Delete = 'N'""",
-)
+FROM txn t LEFT JOIN claim c ON t.claimid = c.id WHERE t.Soft_Delete = 'N'"""
+
+
+@query("claim_financial", CLAIM_FINANCIAL)
 def q_claim_financial(t):
     transactions = latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER)
     return claim_financial(transactions, t.sql(CLAIM))
 
 
+@query("claim_financial_salted", CLAIM_FINANCIAL)
+def q_claim_financial_salted(t):
+    """The same join with hot claims and missing claims spread over several tasks."""
+    transactions = t.stored(latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER), "txn")
+    return claim_financial(transactions, t.sql(CLAIM), salts=8)
+
+
 # One job per customer nation; each parameter is a column of the given nation and region rows.
 PARAMETERS = """
 SELECT CAST(c_custkey AS INT) * 10 + k AS parm_sk, c_custkey AS job_sk,

@@ -26,6 +26,11 @@ def schema_history(manifest: DataFrame) -> DataFrame:
     )
 
 
+def fingerprint_in_text(column: str):
+    """First fingerprint of a history kept as text, such as ``{'<32 hex digits>': 17}``."""
+    return F.regexp_extract(F.col(column), "'([^']{32})", 1)
+
+
 def latest_fingerprint(compat: bool = False):
     """Newest fingerprint of a history map; ``compat`` takes its first entry instead."""
     entries = F.map_entries("schemahistory")

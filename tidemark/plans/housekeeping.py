@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from tidemark.operators.control import archive_older_than, snapshot_copy
+from tidemark.plans.parallel import for_each
 from tidemark.plans.warehouse import CONTROL, Warehouse
 
 BACKED_UP = ("manifest", "table_load_metadata", "file_loads", "raw_table_load", "jobs")
@@ -14,10 +15,12 @@ def housekeeping(
     wh: Warehouse, xcenter: str, now, days: int = 30, tables: Sequence[str] = BACKED_UP
 ) -> None:
     """Copy the control tables of a centre to ``<name>_backup``, then move old file rows."""
-    for name in tables:
-        rows = wh.control_rows(name)
+
+    def back_up(name: str) -> None:
         wanted = xcenter if "xcenter" in CONTROL[name] else None
-        wh.control(f"{name}_backup").write(snapshot_copy(rows, wanted))
+        wh.control(f"{name}_backup").write(snapshot_copy(wh.control_rows(name), wanted))
+
+    for_each(back_up, list(tables))
     kept, archive = archive_older_than(
         wh.control_rows("file_loads"), wh.control_rows("file_loads_archive"), now, xcenter, days
     )

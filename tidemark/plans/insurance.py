@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.functions.columns import named
+from tidemark.operators.skew import skew_left_join
 
 DELIVERY_COLUMNS = ("cyc_run_sk", "Soft_Delete", "GW_FINGERPRINT", "GW_TIMESTAMP", "ABC_AUDIT_DATE_TIME")
 
@@ -72,13 +73,16 @@ def enrich(
     from_driving: Mapping[str, str],
     from_lookup: Mapping[str, str],
     lookup_key: str = "id",
+    salts: int = 0,
 ) -> DataFrame:
     """Live driving rows with columns of the row they refer to, if any (left outer).
 
     The soft-delete filter is on the driving side only: a deleted lookup row still joins.
     Both sides are cut to the columns used before they move. ``lookup`` is unique on its key,
-    so no row multiplies; rows without a foreign key skip the join, as they can be many and
-    would all meet in one task, and Spark splits a key that many rows share (AQE skew join).
+    so no row multiplies. Rows without a foreign key skip the join, as they can be many and
+    would all meet in one task. A key that many rows share is split by Spark at run time (AQE
+    skew join); ``salts`` > 1 spreads such keys in the plan itself, at the price of one more
+    pass over the foreign key column.
     """
     live = driving.filter(F.col(n.SOFT_DELETE) == "N")
     own, other = _present(driving, from_driving), _present(lookup, from_lookup)
@@ -91,15 +95,21 @@ def enrich(
     right = lookup.select(
         F.col(lookup_key).alias("_pk"), *[F.col(c).alias(out) for out, c in other.items()]
     )
+    order = [*own, *other, *delivery]
+    if salts > 1:
+        return skew_left_join(left, right, "_fk", "_pk", F.col("id"), salts).select(*order)
     matched = left.filter(F.col("_fk").isNotNull()).join(right, F.col("_fk") == F.col("_pk"), "left")
     alone = left.filter(F.col("_fk").isNull())
-    order = [*own, *other, *delivery]
     return matched.unionByName(alone, allowMissingColumns=True).select(*order)
 
 
-def claim_detail(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    return enrich(claims, policies, "policyid", DETAIL_FROM_CLAIM, DETAIL_FROM_POLICY)
+def claim_detail(claims: DataFrame, policies: DataFrame, salts: int = 0) -> DataFrame:
+    return enrich(
+        claims, policies, "policyid", DETAIL_FROM_CLAIM, DETAIL_FROM_POLICY, salts=salts
+    )
 
 
-def claim_financial(transactions: DataFrame, claims: DataFrame) -> DataFrame:
-    return enrich(transactions, claims, "claimid", FINANCIAL_FROM_TRANSACTION, FINANCIAL_FROM_CLAIM)
+def claim_financial(transactions: DataFrame, claims: DataFrame, salts: int = 0) -> DataFrame:
+    return enrich(
+        transactions, claims, "claimid", FINANCIAL_FROM_TRANSACTION, FINANCIAL_FROM_CLAIM, salts=salts
+    )
