@@ -10,6 +10,7 @@ from tidemark import names as n
 from tidemark.functions.columns import business_columns
 from tidemark.operators.dedup import unique_source
 from tidemark.operators.scd2 import (
+    classify,
     current_rows,
     duplicate_active_keys,
     expire_retired,
@@ -132,7 +133,9 @@ def target(t: Tables):
 
 def merged(t: Tables, reactivate: bool = False):
     tgt, src = stored_target(t), t.stored(source(t, 2), "source")
-    return scd2_merge(tgt, number_inserts(src, tgt, SK, reactivate), 2, T2, reactivate)
+    known = t.stored(classify(src, tgt, reactivate), "classified")
+    numbered = number_inserts(src, tgt, SK, classified=known)
+    return scd2_merge(tgt, numbered, 2, T2, reactivate)
 
 
 @query(
@@ -203,8 +206,9 @@ SELECT rows_read, rows_inserted + rows_updated AS rows_loaded, rows_inserted, ro
 )
 def q_reconcile(t):
     tgt, src = stored_target(t), t.stored(source(t, 2), "source")
-    state = scd2_merge(tgt, number_inserts(src, tgt, SK), 2, T2)
-    return scd2_reconcile(scd2_rows_read(src, tgt), state, 2)
+    known = t.stored(classify(src, tgt), "classified")
+    state = scd2_merge(tgt, number_inserts(src, tgt, SK, classified=known), 2, T2)
+    return scd2_reconcile(scd2_rows_read(src, tgt, known), state, 2)
 
 
 @query(

@@ -97,12 +97,15 @@ def classify(source: DataFrame, target: DataFrame, reactivate: bool = False) ->
     )
 
 
-def scd2_rows_read(source: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def scd2_rows_read(
+    source: DataFrame, target: DataFrame | None = None, classified: DataFrame | None = None
+) -> DataFrame:
     """Source rows that are new work: all of them on a first load, else those the target
-    does not hold yet."""
+    does not hold yet. ``classified`` is the output of ``classify`` if it is at hand."""
     if target is None:
         return source.agg(F.count(F.lit(1)).alias("rows_read"))
-    return classify(source, target).agg(F.count_if(~F.col("_known")).alias("rows_read"))
+    classified = classify(source, target) if classified is None else classified
+    return classified.agg(F.count_if(~F.col("_known")).alias("rows_read"))
 
 
 def number_inserts(
@@ -111,13 +114,17 @@ def number_inserts(
     surrogate: str,
     reactivate: bool = False,
     prefix: int = 3,
+    classified: DataFrame | None = None,
 ) -> DataFrame:
     """Mark the source rows that will be inserted (``_insert``) and give them the next free
     surrogate keys.
 
-    Works on (key hash, change hash, flag) only, so no wide row moves for the numbering.
+    Works on (key hash, change hash, flag) only, so no wide row moves for the numbering. The
+    numbering reads the classification twice; a job passes a stored one as ``classified``.
     """
-    inserts = classify(source, target, reactivate).filter(INSERT).select(n.KEY_HASH)
+    if classified is None:
+        classified = classify(source, target, reactivate)
+    inserts = classified.filter(INSERT).select(n.KEY_HASH)
     numbered = assign_surrogate(inserts, "_sk", highest(target, surrogate), prefix=prefix)
     joined = source.join(numbered, n.KEY_HASH, "left")
     return joined.withColumns(

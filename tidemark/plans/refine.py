@@ -9,6 +9,7 @@ from tidemark import names as n
 from tidemark.operators.control import job_metrics
 from tidemark.operators.dedup import unique_source
 from tidemark.operators.scd2 import (
+    classify,
     expire_gone,
     is_active,
     number_inserts,
@@ -47,8 +48,8 @@ def refine(
 ) -> DataFrame:
     """Create or update the history table and return the metrics row of the job.
 
-    The source is staged once; classification and numbering read three columns of it and of
-    the history. Merge and delete propagation are one plan over the open versions, and the run
+    The source and its classification (three columns of it and of the history) are staged
+    once. Merge and delete propagation are one plan over the open versions, and the run
     writes those and the versions it closed. ``compat`` changes closed versions as well, so it
     writes the whole table.
     """
@@ -64,8 +65,9 @@ def refine(
             state = refined.write_all(expire_gone(loaded, *gone, compat))
         else:
             target = refined.read()
-            read = scd2_rows_read(source, target)
-            numbered = number_inserts(source, target, spec.surrogate, reactivate)
+            known = staging.put(classify(source, target, reactivate), "classified")
+            read = scd2_rows_read(source, target, known)
+            numbered = number_inserts(source, target, spec.surrogate, classified=known)
             if compat:
                 merged = scd2_merge(target, numbered, run_sk, run_ts)
                 state = refined.write_all(expire_gone(merged, *gone, compat))
