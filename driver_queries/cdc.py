@@ -108,13 +108,12 @@ def replica(t: Tables):
 
 def batches(t: Tables, phase: int, partial: bool = False) -> list[Batch]:
     rows = feed(t, phase)
+    newest = rows.groupBy(n.FINGERPRINT).agg(F.max(n.DELIVERY).alias("last")).collect()
     out = []
-    for fingerprint in FINGERPRINTS:
+    for fingerprint, last in sorted((r[0], r[1]) for r in newest):
         mine = rows.filter(F.col(n.FINGERPRINT) == fingerprint)
-        last = mine.agg(F.max(n.DELIVERY)).first()[0]
-        if last is not None:
-            mine = mine.drop("amount") if partial and fingerprint == "bbbb" else mine
-            out.append(Batch(fingerprint, last, mine))
+        mine = mine.drop("amount") if partial and fingerprint == "bbbb" else mine
+        out.append(Batch(fingerprint, last, mine))
     return out
 
 

@@ -106,12 +106,9 @@ def source(t: Tables, run: int):
     return scd2_metadata(scd2_hash(rows, ["id"]), SK, run, T1 if run == 1 else T2)
 
 
-def stored_target(t: Tables):
-    return t.stored(target(t), "history")
-
-
 def target(t: Tables):
-    first = scd2_initial(source(t, 1), SK, 1)
+    """History after run 1; the numbered rows are stored once, the rest is a cheap union."""
+    first = t.stored(scd2_initial(source(t, 1), SK, 1), "history")
     inactive = F.col("id") % 17 == 0
     base = first.withColumns(
         {
@@ -132,7 +129,7 @@ def target(t: Tables):
 
 
 def merged(t: Tables, reactivate: bool = False):
-    tgt, src = stored_target(t), t.stored(source(t, 2), "source")
+    tgt, src = target(t), t.stored(source(t, 2), "source")
     known = t.stored(classify(src, tgt, reactivate), "classified")
     numbered = number_inserts(src, tgt, SK, classified=known)
     return scd2_merge(tgt, numbered, 2, T2, reactivate)
@@ -192,7 +189,7 @@ SELECT (SELECT count(*) FROM src) - count(DISTINCT k) AS rows_read FROM (
 
 @query("scd2_rows_read", f"WITH {SETUP} {_READ}")
 def q_rows_read(t):
-    return scd2_rows_read(source(t, 2), stored_target(t))
+    return scd2_rows_read(source(t, 2), target(t))
 
 
 @query(
@@ -205,7 +202,7 @@ SELECT rows_read, rows_inserted + rows_updated AS rows_loaded, rows_inserted, ro
        CASE WHEN rows_read = rows_inserted THEN 'S' ELSE 'F' END AS status FROM r, c""",
 )
 def q_reconcile(t):
-    tgt, src = stored_target(t), t.stored(source(t, 2), "source")
+    tgt, src = target(t), t.stored(source(t, 2), "source")
     known = t.stored(classify(src, tgt), "classified")
     state = scd2_merge(tgt, number_inserts(src, tgt, SK, classified=known), 2, T2)
     return scd2_reconcile(scd2_rows_read(src, tgt, known), state, 2)
@@ -293,19 +290,19 @@ EXPIRED = ["id", SK, n.ACTIVE, n.EXPIRY, n.UPDATED, n.LAST_RUN]
 
 @query("expire_soft_deleted", _expire_sql("Soft_Delete = 'Y'"))
 def q_expire(t):
-    out = expire_soft_deleted(stored_target(t), t.sql(CLAIM), ["id"], ["id"], 1, 2, T2)
+    out = expire_soft_deleted(target(t), t.sql(CLAIM), ["id"], ["id"], 1, 2, T2)
     return as_text(out.select(*EXPIRED), n.EXPIRY, n.UPDATED)
 
 
 @query("expire_soft_deleted_compat", _expire_sql("Soft_Delete = 'Y'", compat=True))
 def q_expire_compat(t):
-    out = expire_soft_deleted(stored_target(t), t.sql(CLAIM), ["id"], ["id"], 1, 2, T2, compat=True)
+    out = expire_soft_deleted(target(t), t.sql(CLAIM), ["id"], ["id"], 1, 2, T2, compat=True)
     return as_text(out.select(*EXPIRED), n.EXPIRY, n.UPDATED)
 
 
 @query("expire_retired", _expire_sql("retired <> 0"))
 def q_expire_retired(t):
-    out = expire_retired(stored_target(t), t.sql(CLAIM), ["id"], ["id"], 1, 2, T2)
+    out = expire_retired(target(t), t.sql(CLAIM), ["id"], ["id"], 1, 2, T2)
     return as_text(out.select(*EXPIRED), n.EXPIRY, n.UPDATED)
 
 

@@ -24,6 +24,8 @@ def test_read_listing_and_landing(spark, tmp_path):
     listed = deliveries.list_deliveries(spark, root, "CC")
     assert rows(listed, "cloud_path") == [("cc_a/1e5/0100",), ("cc_a/1e5/0200",), ("cc_a/ff/0300",)]
     assert "content" not in plan(listed)
+    assert deliveries.list_deliveries(spark, root, "CC", ["cc_a", "absent"]).count() == 3
+    assert deliveries.list_deliveries(spark, root, "CC", ["absent"]).count() == 0
     both = deliveries.read_raw(spark, root, "cc_a", merge_schema=True)
     assert rows(both, "id", "v", "w", n.FINGERPRINT, n.DELIVERY) == [
         (1, "a", None, "1e5", "0100"), (2, "b", None, "1e5", "0200"),

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import names as n
+from tidemark.functions.schema import union_aligned
 from tidemark.operators.balance import (
     balance_raw_vs_replica,
     balance_replica_vs_refined,
@@ -12,7 +14,6 @@ from tidemark.operators.balance import (
 )
 from tidemark.operators.dedup import latest_per_key
 from tidemark.plans.replicate import table_batches
-from tidemark.functions.schema import union_aligned
 from tidemark.plans.warehouse import Warehouse
 
 CLAIM, TRANSACTION = "cc_claim", "cc_transaction"
@@ -37,10 +38,9 @@ def refresh_or_keep(
 
 def balance_run(wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, xcenter: str) -> DataFrame:
     """Metrics raw -> replica of this cycle."""
-    files = wh.control_rows("file_loads").filter(f"xcenter = '{xcenter}'")
-    loaded = wh.control_rows("raw_table_load").filter(
-        f"xcenter = '{xcenter}' and cyc_run_sk = {int(run_sk)}"
-    )
+    mine = F.col("xcenter") == xcenter
+    files = wh.control_rows("file_loads").filter(mine)
+    loaded = wh.control_rows("raw_table_load").filter(mine & (F.col("cyc_run_sk") == run_sk))
     sources = {}
     for table in (CLAIM, TRANSACTION):
         source = refresh_or_keep(wh, table, files, loaded)

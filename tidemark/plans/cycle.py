@@ -47,7 +47,10 @@ def run_cycle(
     """
     result = CycleResult(ingest(wh, landing, xcenter, run_sk, run_ts, workers))
     result.replicas = for_each(
-        lambda table: replicate(wh, table, run_sk, run_ts, xcenter), result.loaded, workers
+        wh.spark,
+        lambda table: replicate(wh, table, run_sk, run_ts, xcenter),
+        result.loaded,
+        workers,
     )
     if balance:
         metrics = balance_run(wh, cyc_sk, run_sk, run_ts, xcenter)
@@ -58,6 +61,7 @@ def run_cycle(
         )
     wh.publish_replicas(sorted({*result.loaded, *_sources(wh, specs)}))
     result.refined = for_each(
+        wh.spark,
         lambda spec: refine(wh, spec, spec.rows(wh.spark), run_sk, run_ts, previous_run),
         specs,
         workers,

@@ -20,7 +20,7 @@ def housekeeping(
         wanted = xcenter if "xcenter" in CONTROL[name] else None
         wh.control(f"{name}_backup").write(snapshot_copy(wh.control_rows(name), wanted))
 
-    for_each(back_up, list(tables))
+    for_each(wh.spark, back_up, list(tables))
     kept, archive = archive_older_than(
         wh.control_rows("file_loads"), wh.control_rows("file_loads_archive"), now, xcenter, days
     )

@@ -51,11 +51,17 @@ def _with_new_tables(metadata: DataFrame, manifest: DataFrame, xcenter: str, run
 def register_files(
     wh: Warehouse, landing: str, manifest: DataFrame, xcenter: str, run_sk: int, run_ts
 ) -> DataFrame:
-    """Add the delivery folders that are new to the file table."""
+    """Add the delivery folders that are new to the file table.
+
+    After the first run only the folders of tables with news are listed; the names of those
+    tables come to the driver for that.
+    """
     known = wh.control_rows("file_loads")
     metadata = wh.control_rows("table_load_metadata")
     mine = F.col("xcenter") == xcenter
-    listed = deliveries.list_deliveries(wh.spark, landing, xcenter)
+    news = control.tables_with_news(metadata.filter(mine), known.filter(mine))
+    tables = [r["table_name"].lower() for r in news.select("table_name").collect()]
+    listed = deliveries.list_deliveries(wh.spark, landing, xcenter, tables)
     found = control.detect_new(
         listed,
         metadata.filter(mine),
@@ -107,7 +113,7 @@ def land(
         return _rows_agree(wh, pending[table], landing, table)
 
     tables = sorted(pending)
-    loaded = [t for t, ok in zip(tables, for_each(land_one, tables, workers)) if ok]
+    loaded = [t for t, ok in zip(tables, for_each(wh.spark, land_one, tables, workers)) if ok]
     if not loaded:
         return []
     done = wh.spark.createDataFrame(

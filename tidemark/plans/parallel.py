@@ -10,16 +10,17 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 Item = TypeVar("Item")
 Result = TypeVar("Result")
 
 
 def for_each(
-    fn: Callable[[Item], Result], items: Sequence[Item], workers: int = 8
+    spark: SparkSession, fn: Callable[[Item], Result], items: Sequence[Item], workers: int = 8
 ) -> list[Result]:
     """``fn`` of every item, in the order of the items; the first error is raised."""
     if not items:
         return []
     with ThreadPoolExecutor(max_workers=min(workers, len(items))) as pool:
-        return list(pool.map(inheritable_thread_target(fn), items))
+        return list(pool.map(inheritable_thread_target(spark)(fn), items))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark import names as n
 from tidemark.functions.columns import path_segment, with_delivery_columns
+from tidemark.session import hadoop_path
 
 KEYS = ["table_name", "gw_fingerprint", "gw_timestamp"]
 
@@ -52,17 +53,22 @@ def read_zone(spark: SparkSession, root: str, table: str) -> DataFrame:
     return reader.schema(T.StructType(fields)).parquet(path)
 
 
-def _files(spark: SparkSession, root: str) -> DataFrame:
-    """Path and size of every parquet file below ``root``; contents are not read."""
+def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Path and size of every parquet file below ``paths``; contents are not read."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(root)
+        .load(paths)
     )
     return listing.select("path", "length")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, handle = hadoop_path(spark, path)
+    return fs.exists(handle)
+
+
 def _parsed(files: DataFrame) -> DataFrame:
     path = F.col("path")
     return files.select(
@@ -73,9 +79,18 @@ def _parsed(files: DataFrame) -> DataFrame:
     )
 
 
-def list_deliveries(spark: SparkSession, root: str, xcenter: str) -> DataFrame:
-    """One row per delivery folder below ``root``."""
-    found = _parsed(_files(spark, root)).select(*KEYS).distinct()
+def list_deliveries(
+    spark: SparkSession, root: str, xcenter: str, tables: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per delivery folder below ``root``, of all tables or of the named ones."""
+    if tables is None:
+        paths = [root]
+    else:
+        paths = [p for p in (f"{root}/{t}" for t in sorted(tables)) if _exists(spark, p)]
+    if paths:
+        found = _parsed(_files(spark, paths)).select(*KEYS).distinct()
+    else:
+        found = spark.createDataFrame([], ", ".join(f"{k} string" for k in KEYS))
     return found.select(
         *KEYS, F.concat_ws("/", *KEYS).alias("cloud_path"), F.lit(xcenter).alias("xcenter")
     )
@@ -83,7 +98,7 @@ def list_deliveries(spark: SparkSession, root: str, xcenter: str) -> DataFrame:
 
 def folder_bytes(spark: SparkSession, root: str) -> DataFrame:
     """Files and bytes per delivery folder."""
-    return _parsed(_files(spark, root)).groupBy(*KEYS).agg(
+    return _parsed(_files(spark, [root])).groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
 

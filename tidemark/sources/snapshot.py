@@ -159,7 +159,7 @@ class HistoryTable:
 
     def write_step(self, df: DataFrame) -> DataFrame:
         """Commit a run: every version that is open now, and those the run closed."""
-        return self._commit(df, "")
+        return self._commit(df, "" if self.exists() else "-full")
 
     def compact(self) -> DataFrame:
         """Gather the closed parts of all runs in one new full version."""
