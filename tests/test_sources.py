@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark import names as n
 from tidemark.functions.columns import last_segment, path_segment, spatial_to_hex
 from tidemark.functions.schema import align_to_target, type_changes, union_aligned
-from tidemark.session import Staging, has_at_most
+from tidemark.session import Staging, data_bytes, fits_broadcast, has_at_most
 from tidemark.sources import deliveries
 from tidemark.sources.jdbc import jdbc_options
 from tidemark.sources.manifest import read_manifest
@@ -120,6 +120,11 @@ def test_staging(spark):
         kept = staging.put(spark.range(5), "x")
         assert kept.count() == 5
         assert has_at_most(kept, 5) and not has_at_most(kept, 4)
+        assert fits_broadcast(kept) and not fits_broadcast(kept, rows=4)
+        wide = spark.createDataFrame([("x" * 1000, [1, 2]), (None, None)], "s string, a array<int>")
+        assert data_bytes(wide) == 1000 + len('{"a":[1,2]}') + len("{}") + 4 * 16
+        assert not fits_broadcast(wide, limit=1000)
+        assert data_bytes(wide.limit(0)) == 0
     with pytest.raises(Exception):
         spark.read.parquet(f"{staging.root}/x")
 

@@ -51,7 +51,7 @@ def refine(
     The source and its classification (three columns of it and of the history) are staged
     once. Merge and delete propagation are one plan over the open versions, and the run
     writes those and the versions it closed. ``compat`` changes closed versions as well, so it
-    writes the whole table.
+    writes the whole table, once for the merge and once for the propagation.
     """
     refined = wh.refined(spec.target)
     driving = wh.replica(spec.driving_table).read()
@@ -69,14 +69,16 @@ def refine(
             read = scd2_rows_read(source, target, known)
             numbered = number_inserts(source, target, spec.surrogate, classified=known)
             if compat:
-                merged = scd2_merge(target, numbered, run_sk, run_ts)
-                state = refined.write_all(expire_gone(merged, *gone, compat))
+                state = refined.write_all(scd2_merge(target, numbered, run_sk, run_ts))
             else:
                 moved = scd2_step(target.filter(is_active()), numbered, run_sk, run_ts)
                 state = refined.write_step(expire_gone(moved, *gone))
         balance = scd2_reconcile(read, state, run_sk, initial=first, after_expiry=True)
         metrics = job_metrics(balance, spec.job_sk, spec.target)
-        return wh.spark.createDataFrame(metrics.collect(), metrics.schema)
+        metrics = wh.spark.createDataFrame(metrics.collect(), metrics.schema)
+        if compat and not first:
+            refined.write_all(expire_gone(state, *gone, compat))
+        return metrics
 
 
 def previous_versions(refined: DataFrame) -> DataFrame:

@@ -19,10 +19,10 @@ from tidemark.operators.control import job_metrics
 from tidemark.operators.dedup import split_ops
 from tidemark.operators.merge import apply_changes
 from tidemark.plans.warehouse import Warehouse
-from tidemark.session import Staging, has_at_most
+from tidemark.session import Staging, fits_broadcast
 from tidemark.sources import deliveries
 
-# A change set of at most this many rows is broadcast to the tasks that scan the replica.
+# A change set of at most this many rows (and 64 MB) goes to every task that scans the replica.
 BROADCAST_ROWS = 200_000
 
 
@@ -85,7 +85,7 @@ def replicate(
             target = align_target_to_source(replica.read(), batches[-1].rows)
             changes = incremental_changes(target, batches, run_sk, run_ts)
             changes = changes.staged(staging, "changes")
-            small = has_at_most(changes.rows, broadcast_rows)
+            small = fits_broadcast(changes.rows, broadcast_rows)
             state = replica.write(apply_changes(target, changes, run_sk, broadcast_changes=small))
             balance = cdc_reconcile(_count(batches), changes, state, run_sk)
         metrics = job_metrics(balance, job_sk, table)

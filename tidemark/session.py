@@ -8,8 +8,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -81,7 +85,26 @@ class Staging:
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """True when ``df`` holds no more than ``rows`` rows.
 
-    The probe stops after ``rows + 1`` rows, so it is cheap on a staged table. It
-    guards broadcasts; it never removes rows from a result.
+    The probe stops after ``rows + 1`` rows, so it is cheap on a staged table. It never
+    removes rows from a result.
     """
     return df.limit(rows + 1).count() <= rows
+
+
+def data_bytes(df: DataFrame) -> int:
+    """Bytes of the values of ``df``: text and binary by length, nested values by their JSON
+    text, everything else at 16 bytes."""
+    sizes = [F.lit(16 * len(df.columns)).cast("long")]
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)))
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)))
+    return df.agg(F.sum(reduce(add, sizes)).alias("bytes")).first()["bytes"] or 0
+
+
+def fits_broadcast(df: DataFrame, rows: int = 200_000, limit: int = 64 << 20) -> bool:
+    """True when a staged ``df`` is small enough, in rows and in bytes, to be sent to every
+    executor. Both are measured, not estimated."""
+    return has_at_most(df, rows) and data_bytes(df) <= limit
