@@ -23,11 +23,17 @@ def feed(t: Tables):
 def landing(t: Tables) -> str:
     """The change feed as delivery folders, written by one partitioned job."""
     root = t.scratch("landing")
-    rows = feed(t).repartition(n.FINGERPRINT, n.DELIVERY)
-    rows.write.partitionBy(n.FINGERPRINT, n.DELIVERY).parquet(f"{root}/cc_user")
+    write_feed(feed(t), root)
     return root
 
 
+def write_feed(rows, root: str) -> None:
+    """Few files per delivery; a delivery that holds many of the rows is written by 8 tasks."""
+    part = F.pmod(F.xxhash64(n.SEQUENCE), F.lit(8))
+    spread = rows.repartition(F.col(n.FINGERPRINT), F.col(n.DELIVERY), part)
+    spread.write.partitionBy(n.FINGERPRINT, n.DELIVERY).parquet(f"{root}/cc_user")
+
+
 @query(
     "delivery_listing",
     f"""WITH {CDC_CTE}
@@ -107,9 +113,7 @@ def q_merged(t):
 def q_land(t):
     root, raw = t.scratch("source"), t.scratch("raw")
     source = feed(t)
-    source.repartition(n.FINGERPRINT, n.DELIVERY).write.partitionBy(
-        n.FINGERPRINT, n.DELIVERY
-    ).parquet(f"{root}/cc_user")
+    write_feed(source, root)
     zone = deliveries.read_raw(t.spark, root, "cc_user")
     zone.write.partitionBy(n.FINGERPRINT, n.DELIVERY).parquet(f"{raw}/cc_user")
     return deliveries.rows_reconcile(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.operators.skew import hot_keys, skew_left_join
+from tidemark.operators.update import update_where_in
 from tidemark.plans.insurance import claim_detail
 
 
@@ -59,3 +60,12 @@ def test_claim_detail_with_a_hot_policy(spark):
     plain, salted = claim_detail(claims, policies), claim_detail(claims, policies, salts=16)
     assert plain.count() == 2970
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def test_salted_update_equals_plain_update(spark):
+    target = skewed(spark, 3000).withColumn("state", F.lit("a"))
+    keys = spark.createDataFrame([(7,), (2,), (7,), (None,)], "k long")
+    args = (target, keys, [(F.col("fk"), F.col("k"))], {"state": F.lit("b")})
+    plain, salted = update_where_in(*args), update_where_in(*args, salts=8)
+    assert plain.filter("state = 'b'").count() == 1001
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0

@@ -6,26 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import names as n
-
-
-def _content_hash(df: DataFrame):
-    """Hash of the whole row; it orders rows that tie on everything else, so that a
-    recomputed task picks the same winner."""
-    hashable = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
-    return F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-
-
-def _holds_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.MapType):
-        return True
-    if isinstance(dtype, T.ArrayType):
-        return _holds_map(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return any(_holds_map(f.dataType) for f in dtype.fields)
-    return False
+from tidemark.functions.hashing import content_hash
 
 
 def latest_per_key(
@@ -38,7 +21,7 @@ def latest_per_key(
     reaches its reducer as one row per map task.
     """
     window = Window.partitionBy(*keys).orderBy(
-        *[F.col(c).desc() for c in order], _content_hash(df)
+        *[F.col(c).desc() for c in order], content_hash(df)
     )
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.functions.columns import named
+from tidemark.functions.hashing import content_hash
+from tidemark.operators.skew import skew_left_join
 
 
 def assign(df: DataFrame, hit: Column, values: Mapping[str, Column]) -> DataFrame:
@@ -29,18 +31,23 @@ def update_where_in(
     on: Sequence[tuple[Column, Column]],
     values: Mapping[str, Column],
     guard: Column | None = None,
+    salts: int = 0,
 ) -> DataFrame:
     """Update rows whose key occurs in ``keys_df``.
 
     ``on`` pairs an expression over ``df`` with one over ``keys_df``. The key side is made
     unique first, so the join neither multiplies rows nor loses any; NULL keys never hit.
+    ``salts`` > 1 spreads a single key that many rows of ``df`` share over that many tasks.
     """
     names = [f"_k{i}" for i in range(len(on))]
     wanted = keys_df.select(*[right.alias(k) for (_, right), k in zip(on, names)]).distinct()
     wanted = wanted.dropna().withColumn("_hit", F.lit(True))
     left = df.withColumns({f"_l{i}": expr for i, (expr, _) in enumerate(on)})
-    condition = [F.col(f"_l{i}") == F.col(f"_k{i}") for i in range(len(on))]
-    joined = left.join(wanted, condition, "left")
+    if salts > 1 and len(on) == 1:
+        joined = skew_left_join(left, wanted, "_l0", "_k0", content_hash(df), salts)
+    else:
+        condition = [F.col(f"_l{i}") == F.col(f"_k{i}") for i in range(len(on))]
+        joined = left.join(wanted, condition, "left")
     hit = F.col("_hit").isNotNull()
     if guard is not None:
         hit = hit & guard
