@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import ledger
-from tidemark.llm.registry import QUERIES, SQL, query, table
+from tidemark.llm import ledger, packing, token_files
+from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -55,3 +55,17 @@ def quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "failures", (~ledger.passes(ledger.BASE)).alias("base_failed"), "kept",
     )
+
+
+@query("op3_token_files")
+def token_output(spark, sf_dir):
+    path = folder(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_tokens(docs, path, public_vocabulary("word_bpe_49k.json"), "dropped")
+    return token_files.read_tokens(spark, path)
+
+
+@query("op7_packing")
+def pack(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_vocabulary("byte_bpe_50k.json"))
