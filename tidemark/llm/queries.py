@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import ledger, packing, token_files
+from tidemark.llm import ledger, packing, simhash, token_files
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
+from tidemark.session import Staging
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -65,6 +66,11 @@ def token_output(spark, sf_dir):
     return token_files.read_tokens(spark, path)
 
 
+@query("op5_simhash")
+def simhash_near_dedup(spark, sf_dir):
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"), Staging(spark))
+
+
 @query("op7_packing")
 def pack(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
