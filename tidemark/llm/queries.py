@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import ledger, packing, simhash, token_files
+from tidemark.llm import ledger, packing, simhash, substrings, suffixes, token_files
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
 from tidemark.session import Staging
 
@@ -66,6 +66,11 @@ def token_output(spark, sf_dir):
     return token_files.read_tokens(spark, path)
 
 
+@query("op4_substrings")
+def substring_dedup(spark, sf_dir):
+    return substrings.dedup_passages(table(spark, sf_dir, "documents"), Staging(spark))
+
+
 @query("op5_simhash")
 def simhash_near_dedup(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), Staging(spark))
@@ -75,3 +80,8 @@ def simhash_near_dedup(spark, sf_dir):
 def pack(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_vocabulary("byte_bpe_50k.json"))
+
+
+@query("op10_suffix_dedup")
+def suffix_array_dedup(spark, sf_dir):
+    return suffixes.dedup_substrings(table(spark, sf_dir, "documents"), Staging(spark))

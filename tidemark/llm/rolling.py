@@ -20,6 +20,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def chain(name: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Names of sequences that are one word longer."""
+    with np.errstate(over="ignore"):
+        return mix(name * MULTIPLIER + word)
+
+
 def gram_hashes(items: np.ndarray, k: int, multiplier: np.uint64 = MULTIPLIER) -> np.ndarray:
     """Hashes of the ``len(items) - k + 1`` runs of ``k`` items (uint64), by doubling."""
     n = len(items) - k + 1
