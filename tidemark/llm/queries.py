@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import ledger, packing, simhash, substrings, suffixes, token_files, vectors
+from tidemark.llm import langcrf, ledger, packing, simhash, substrings, suffixes, token_files, vectors
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
 from tidemark.session import Staging
 
@@ -87,6 +87,13 @@ def pack(spark, sf_dir):
     return packing.pack_documents(docs, public_vocabulary("byte_bpe_50k.json"))
 
 
+@query("op9_language")
+def language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = langcrf.label_documents(docs, langcrf.learn_from(docs))
+    return rows.select("doc_id", langcrf.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query("op10_suffix_dedup")
 def suffix_array_dedup(spark, sf_dir):
     return suffixes.dedup_substrings(table(spark, sf_dir, "documents"), Staging(spark))
