@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import langcrf, ledger, packing, simhash, substrings, suffixes, token_files, vectors
+from tidemark.llm import html_paths, langcrf, ledger, packing, simhash, substrings, suffixes, token_files, vectors
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
 from tidemark.session import Staging
 
@@ -58,6 +58,11 @@ def quality_rules(spark, sf_dir):
     )
 
 
+@query("op1_html")
+def html_extraction(spark, sf_dir):
+    return html_paths.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op2_vectors")
 def embedding_near_dedup(spark, sf_dir):
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), Staging(spark))
