@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_paths, langcrf, ledger, packing, simhash, substrings, suffixes, token_files, vectors
+from tidemark.llm import html_paths, langcrf, ledger, packing, pieces, simhash, substrings, suffixes, token_files, vectors
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
 from tidemark.session import Staging
 
@@ -86,6 +86,16 @@ def simhash_near_dedup(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), Staging(spark))
 
 
+@query("op6_pieces")
+def sentence_pieces(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = pieces.encode_texts(docs, public_vocabulary("piece_bpe_32k.model"))
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32",
+        F.length("decoded").cast("long").alias("n_chars"), F.sha2("decoded", 256).alias("text_sha256"),
+    )
+
+
 @query("op7_packing")
 def pack(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
