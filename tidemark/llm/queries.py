@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import html_paths, langcrf, ledger, packing, pieces, simhash, substrings, suffixes, token_files, vectors
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
-from tidemark.session import Staging
+from tidemark.llm.scratch import Scratch
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -65,7 +65,7 @@ def html_extraction(spark, sf_dir):
 
 @query("op2_vectors")
 def embedding_near_dedup(spark, sf_dir):
-    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), Staging(spark))
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), Scratch(spark))
 
 
 @query("op3_token_files")
@@ -78,12 +78,13 @@ def token_output(spark, sf_dir):
 
 @query("op4_substrings")
 def substring_dedup(spark, sf_dir):
-    return substrings.dedup_passages(table(spark, sf_dir, "documents"), Staging(spark))
+    rows = substrings.dedup_passages(table(spark, sf_dir, "documents"), Scratch(spark))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query("op5_simhash")
 def simhash_near_dedup(spark, sf_dir):
-    return simhash.simhash_groups(table(spark, sf_dir, "documents"), Staging(spark))
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
 @query("op6_pieces")
@@ -111,4 +112,8 @@ def language(spark, sf_dir):
 
 @query("op10_suffix_dedup")
 def suffix_array_dedup(spark, sf_dir):
-    return suffixes.dedup_substrings(table(spark, sf_dir, "documents"), Staging(spark))
+    rows = suffixes.dedup_substrings(table(spark, sf_dir, "documents"), Scratch(spark))
+    return rows.select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

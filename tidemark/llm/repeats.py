@@ -5,7 +5,7 @@
    text. Anchors travel as sorted 48-bit hashes in blobs; a false agreement costs time, not truth.
 2. The texts that hold repeated anchors meet the list of them again, one text per distinct content.
 3. The operator compares what surrounds the anchors and returns marks per text (its own step).
-4. The marks meet the texts, and every document gets its result.
+4. The marks meet the texts, and every document is cut.
 
 Before any shuffle a task reduces what it has: an anchor that occurs in several of its texts leaves
 once, as does one that occurs in all of them. Equal texts are compared once, by the smallest id
@@ -47,12 +47,14 @@ class Plan:
         return self.span - self.k + 1
 
 
-def text_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, text, h1, h2``: the last two are a 128-bit name of the text."""
+def text_rows(docs: DataFrame, doc_id: str, text: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, text, h1, h2, carried``: h1 and h2 are a 128-bit name of the text, carried is a
+    struct of the columns that go along."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    along = F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in carry])
     return docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), body.alias("text"),
-        F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(7), body).alias("h2"),
+        F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(7), body).alias("h2"), along.alias("carried"),
     )
 
 
@@ -253,9 +255,9 @@ def _unpack_seeds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(gaps, dtype=np.uint64)[: int(n)], names[place]
 
 
-def first_holders(base: DataFrame) -> DataFrame:
+def first_holders(rows: DataFrame) -> DataFrame:
     """``h1, h2, first``: the smallest id that has each text."""
-    return base.where("doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
+    return rows.where("doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
 
 
 def texts_with(rows: DataFrame, anchors: DataFrame, first: DataFrame) -> DataFrame:
@@ -265,7 +267,7 @@ def texts_with(rows: DataFrame, anchors: DataFrame, first: DataFrame) -> DataFra
         anchors.groupBy("h1").agg(F.collect_list("keys").alias("keys"))
         .join(first.withColumnRenamed("first", "doc_id"), "h1")
     )
-    return rows.join(wanted, ["h1", "h2", "doc_id"])
+    return rows.drop("carried").join(wanted, ["h1", "h2", "doc_id"])
 
 
 def wanted_runs(batch: pa.RecordBatch, flat: Flat, plan: Plan):
@@ -290,20 +292,35 @@ def _name(row: np.ndarray, key: np.ndarray) -> np.ndarray:
         return key ^ (row.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """Texts and the marks found in them: ``doc_id, h1, h2, text, marks``. A mark carries the id
-    and the low half of the text's name."""
+def judged(rows: DataFrame, marks: DataFrame, first: DataFrame) -> DataFrame:
+    """All rows with what is known of them: ``marks``, a list of blobs or null, and ``copy``, true
+    where a document with a smaller id has the same text. A mark carries the id and the low half of
+    the text's name. The texts are shuffled once, the lists are narrow."""
+    low = F.expr("CAST(h1 & 4294967295L AS bigint)").alias("h32")
     lists = marks.groupBy("doc_id", "h32").agg(F.collect_list("marks").alias("marks"))
-    keyed = rows.withColumn("h32", F.expr("CAST(h1 & 4294967295L AS bigint)"))
-    return keyed.join(lists, ["doc_id", "h32"]).drop("h32")
+    copies = (
+        rows.select("doc_id", "h1", "h2").join(first, ["h1", "h2"]).where("doc_id > first")
+        .select("doc_id", low, F.lit(True).alias("copy")).distinct()
+    )
+    known = lists.join(copies, ["doc_id", "h32"], "full_outer")
+    keyed = rows.select("doc_id", "text", "carried", low)
+    return keyed.join(known, ["doc_id", "h32"], "left").select(
+        "doc_id", "text", "carried", "marks", F.coalesce("copy", F.lit(False)).alias("copy")
+    )
 
 
-def settle(base: DataFrame, first: DataFrame, fixed: DataFrame, columns: dict) -> DataFrame:
-    """One row per document from the results of the first holders. ``fixed`` has ``doc_id, h1, h2``
-    and results; ``columns`` gives each output column from ``own`` (document is the first holder
-    with marks) and ``copy`` (an earlier document has the same text)."""
-    results = first.join(
-        fixed.withColumnRenamed("doc_id", "first").dropDuplicates(["h1", "h2", "first"]),
-        ["h1", "h2", "first"], "left",
-    )
-    return base.join(results, ["h1", "h2"], "left").select("doc_id", *[c.alias(n) for n, c in columns.items()])
+def stretches(gone: np.ndarray) -> np.ndarray:
+    """Maximal runs of true values, as rows of first place and length."""
+    edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
+    first = np.flatnonzero(edge == 1)
+    return np.stack([first, np.flatnonzero(edge == -1) - first], axis=1)
+
+
+SPANS = pa.list_(pa.struct([("first", pa.int64()), ("length", pa.int64())]))
+
+
+def span_lists(spans: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, spans)]).astype(np.int32)
+    flat = np.concatenate([np.empty((0, 2), np.int64), *spans]).astype(np.int64)
+    pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["first", "length"])
+    return pa.ListArray.from_arrays(pa.array(ends), pairs)

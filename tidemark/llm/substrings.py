@@ -15,8 +15,6 @@ early; an empty table gives no rows; columns other than the two named ones are n
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,11 +24,12 @@ from pyspark.sql import functions as F
 from tidemark.llm import repeats
 from tidemark.llm.repeats import blob_batch, pack, runs, slices, unpack
 from tidemark.llm.rolling import gram_hashes
-from tidemark.session import Staging
+from tidemark.llm.scratch import Scratch
 
 SPAN = 20
 ANCHOR = 6
 OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
+_NO_SPANS = np.empty((0, 2), np.int64)
 _KINDS = (np.uint64, np.uint32, np.uint32, np.int64, np.uint32)
 
 
@@ -180,60 +179,51 @@ def covered(size: int, starts: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def remove(texts: DataFrame) -> DataFrame:
-    """Apply the marks: ``doc_id, h1, h2, n_removed, kept_sha256``."""
+def dedup_passages(
+    docs: DataFrame, stage: Scratch, doc_id: str = "doc_id", text: str = "text",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per document: ``doc_id, kept`` (the words that stay, joined by one blank),
+    ``n_words, n_removed``, ``removed`` (maximal runs, as first word and number) and ``carried``, a
+    struct of the columns named in ``carry``."""
+    rows = repeats.text_rows(docs, doc_id, text, carry)
+    buckets = repeats.bucket_count(rows)
+    usable = rows.where("doc_id IS NOT NULL")
+    first = repeats.first_holders(rows)
+    seeds = repeats.repeated_anchors(usable, PLAN, buckets).union(anchors_within(usable))
+    texts = repeats.texts_with(usable, stage.put(seeds, "seeds"), first)
+    found = stage.put(marks(texts, buckets), "marks")
+    known = repeats.judged(rows, found, first)
 
     def cut(batches):
         for batch in batches:
-            gone_n, sha = [], []
-            for text, lists in zip(batch["text"], batch["marks"], strict=True):
-                words = text.as_py().encode().split()
-                gone = covered(len(words), np.frombuffer(b"".join(lists.as_py()), "<u4").astype(np.int64))
-                kept = b" ".join([words[i] for i in np.flatnonzero(~gone)])
-                gone_n.append(int(gone.sum()))
-                sha.append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["h1"], batch["h2"], pa.array(gone_n, pa.int64()),
-                 pa.array(sha, pa.string())],
-                names=["doc_id", "h1", "h2", "n_removed", "kept_sha256"],
-            )
-
-    return texts.mapInArrow(cut, "doc_id long, h1 long, h2 long, n_removed long, kept_sha256 string")
-
-
-def whole(rows: DataFrame) -> DataFrame:
-    """``doc_id, h1, h2, n_words, sha`` of every row, with nothing removed."""
-
-    def count(batches):
-        for batch in batches:
-            words = [t.as_py().encode().split() for t in batch["text"]]
-            sha = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["h1"], batch["h2"], pa.array([len(w) for w in words], pa.int64()),
-                 pa.array(sha, pa.string())],
-                names=["doc_id", "h1", "h2", "n_words", "sha"],
-            )
-
-    return rows.mapInArrow(count, "doc_id long, h1 long, h2 long, n_words long, sha string")
-
-
-def dedup_passages(docs: DataFrame, stage: Staging, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_removed, kept_sha256``."""
-    rows = repeats.text_rows(docs, doc_id, text)
-    buckets = repeats.bucket_count(rows)
-    base = stage.put(whole(rows), "base")
-    first = repeats.first_holders(base)
-    usable = rows.where("doc_id IS NOT NULL")
-    anchors = repeats.repeated_anchors(usable, PLAN, buckets).union(anchors_within(usable))
-    found = marks(repeats.texts_with(usable, anchors, first), buckets)
-    fixed = remove(repeats.with_marks(rows, found))
-    copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= SPAN)
-    own = F.col("doc_id") == F.col("first")
-    result = lambda name, all_of_it, none: (
-        F.when(copy, all_of_it).when(own, F.coalesce(F.col(name), none)).otherwise(none)
+            for part in repeats.sub_batches(batch):
+                kept, sizes, spans = [], [], []
+                for body, lists, copy in zip(part["text"], part["marks"], part["copy"], strict=True):
+                    words = body.as_py().encode().split()
+                    n = len(words)
+                    if copy.as_py() and n >= SPAN:
+                        gone = np.ones(n, bool)
+                    elif lists.is_valid:
+                        starts = np.frombuffer(b"".join(lists.as_py()), "<u4").astype(np.int64)
+                        gone = covered(n, starts)
+                        words = [words[i] for i in np.flatnonzero(~gone)]
+                    else:
+                        gone = None
+                    if gone is not None and gone.all():
+                        words = []
+                    sizes.append(n)
+                    kept.append(b" ".join(words).decode())
+                    spans.append(_NO_SPANS if gone is None else repeats.stretches(gone))
+                lost = [int(s[:, 1].sum()) for s in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array(kept, pa.string()), pa.array(sizes, pa.int64()),
+                     pa.array(lost, pa.int64()), repeats.span_lists(spans), part["carried"]],
+                    names=["doc_id", "kept", "n_words", "n_removed", "removed", "carried"],
+                )
+
+    along = known.schema["carried"].dataType.simpleString()
+    return known.mapInArrow(
+        cut, "doc_id long, kept string, n_words long, n_removed long,"
+        f" removed array<struct<first:long,length:long>>, carried {along}",
     )
-    return repeats.settle(base, first, fixed, {
-        "n_words": F.col("n_words"),
-        "n_removed": result("n_removed", F.col("n_words"), F.lit(0).cast("long")),
-        "kept_sha256": result("kept_sha256", F.lit(hashlib.sha256(b"").hexdigest()), F.col("sha")),
-    })

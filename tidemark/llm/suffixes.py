@@ -19,8 +19,6 @@ rows; columns other than the two named ones are not read.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import repeats
 from tidemark.llm.repeats import blob_batch, pack, runs, slices, unpack
 from tidemark.llm.rolling import chain
-from tidemark.session import Staging
+from tidemark.llm.scratch import Scratch
 
 SPAN = 50
 ANCHOR = 20
@@ -37,6 +35,7 @@ LEAD = 16
 #: Documents whose suffixes the splitters are drawn from, about, and suffixes taken of each.
 SAMPLE_DOCS = 4000
 SAMPLE_EACH = 16
+_NO_SPANS = np.empty((0, 2), np.int64)
 _KINDS = (np.int64, np.uint32, np.uint32, np.uint8, np.uint8)
 
 
@@ -230,29 +229,6 @@ def _compare(blobs: list[bytes], before: int) -> tuple:
     return doc[hit], h32[hit], place[hit], mask[hit]
 
 
-def remove(texts: DataFrame) -> DataFrame:
-    """Apply the marks: ``doc_id, h1, h2, n_removed, n_spans, kept_sha256``."""
-
-    def cut(batches):
-        for batch in batches:
-            out = []
-            for text, lists in zip(batch["text"], batch["marks"], strict=True):
-                raw = np.frombuffer(text.as_py().encode(), np.uint8)
-                gone = covered(raw.size, b"".join(lists.as_py()))
-                spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
-                out.append((int(gone.sum()), spans, hashlib.sha256(raw[~gone].tobytes()).hexdigest()))
-            n, spans, sha = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["h1"], batch["h2"], pa.array(n, pa.int64()),
-                 pa.array(spans, pa.int64()), pa.array(sha, pa.string())],
-                names=["doc_id", "h1", "h2", "n_removed", "n_spans", "kept_sha256"],
-            )
-
-    return texts.mapInArrow(
-        cut, "doc_id long, h1 long, h2 long, n_removed long, n_spans long, kept_sha256 string"
-    )
-
-
 def covered(size: int, marks_of_text: bytes) -> np.ndarray:
     """Which bytes the marked windows cover."""
     place, mask = np.frombuffer(marks_of_text, "<u4").reshape(-1, 2).T
@@ -265,33 +241,52 @@ def covered(size: int, marks_of_text: bytes) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _marked(docs: DataFrame, stage: Staging, doc_id: str, text: str):
-    rows = repeats.text_rows(docs, doc_id, text)
+def dedup_substrings(
+    docs: DataFrame, stage: Scratch, doc_id: str = "doc_id", text: str = "text",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per document: ``doc_id, kept`` (the bytes that stay), ``n_bytes, n_removed``,
+    ``removed`` (maximal runs, as first byte and length) and ``carried``, a struct of the columns
+    named in ``carry``."""
+    rows = repeats.text_rows(docs, doc_id, text, carry)
     buckets = repeats.bucket_count(rows)
-    base = stage.put(
-        rows.select("doc_id", "h1", "h2", F.octet_length("text").cast("long").alias("n_bytes"),
-                    F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "base",
-    )
-    first = repeats.first_holders(base)
     usable = rows.where("doc_id IS NOT NULL")
-    anchors = repeats.repeated_anchors(usable, PLAN, buckets)
+    first = repeats.first_holders(rows)
+    anchors = stage.put(repeats.repeated_anchors(usable, PLAN, buckets), "anchors")
     texts = repeats.texts_with(usable, anchors, first)
-    return rows, base, first, marks(texts, splitters(rows, buckets), buckets)
-
-
-def dedup_substrings(docs: DataFrame, stage: Staging, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    rows, base, first, found = _marked(docs, stage, doc_id, text)
-    fixed = remove(repeats.with_marks(rows, found))
-    copy = (F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= SPAN)
-    own = F.col("doc_id") == F.col("first")
-    nothing = hashlib.sha256(b"").hexdigest()
-    result = lambda name, whole, none: (
-        F.when(copy, whole).when(own, F.coalesce(F.col(name), none)).otherwise(none)
+    found = stage.put(marks(texts, splitters(rows, buckets), buckets), "marks")
+    known = repeats.judged(rows, found, first)
+
+    def cut(batches):
+        for batch in batches:
+            for part in repeats.sub_batches(batch):
+                kept, sizes, spans = [], [], []
+                for body, lists, copy in zip(part["text"], part["marks"], part["copy"], strict=True):
+                    raw = np.frombuffer(body.as_py().encode(), np.uint8)
+                    if copy.as_py() and raw.size >= SPAN:
+                        gone = np.ones(raw.size, bool)
+                    elif lists.is_valid:
+                        gone = covered(raw.size, b"".join(lists.as_py()))
+                    else:
+                        gone = None
+                    sizes.append(raw.size)
+                    kept.append((raw if gone is None else raw[~gone]).tobytes())
+                    spans.append(_NO_SPANS if gone is None else repeats.stretches(gone))
+                lost = [int(s[:, 1].sum()) for s in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()),
+                     pa.array(lost, pa.int64()), repeats.span_lists(spans), part["carried"]],
+                    names=["doc_id", "kept", "n_bytes", "n_removed", "removed", "carried"],
+                )
+
+    along = known.schema["carried"].dataType.simpleString()
+    return known.mapInArrow(
+        cut, "doc_id long, kept binary, n_bytes long, n_removed long,"
+        f" removed array<struct<first:long,length:long>>, carried {along}",
     )
-    return repeats.settle(base, first, fixed, {
-        "n_bytes": F.col("n_bytes"),
-        "n_removed": result("n_removed", F.col("n_bytes"), F.lit(0).cast("long")),
-        "n_spans": result("n_spans", F.lit(1).cast("long"), F.lit(0).cast("long")),
-        "kept_sha256": result("kept_sha256", F.lit(nothing), F.col("sha")),
-    })
+
+
+def whole_characters(kept: bytes) -> str:
+    """Kept bytes as text. A removed run may begin or end inside a character; what is left of such
+    a character is no text and goes."""
+    return kept.decode("utf-8", "ignore")
