@@ -265,7 +265,18 @@ def _fuse(blocks: list[Block], chosen: list[bool]) -> list[bool]:
                 depth[id(e)] = d
     total = max(mass.values())
     holder = max((k for k in mass if mass[k] >= HOLDS * total), key=lambda k: depth[k])
+    # An element that says it is the content holds it.
+    some = next(b.holder for b, c in zip(blocks, chosen, strict=True) if c and holder in map(id, stack_of(b.holder)))
+    above = list(stack_of(some))
+    above = above[[id(e) for e in above].index(holder):]
+    holder = next((id(e) for e in above if e.tag in CONTENT), holder)
     inner = [any(id(e) == holder for e in stack_of(b.holder)) for b in blocks]
+    # Headings right before it, in an element around it, are its own.
+    around = {id(e) for e in above}
+    for i in range(inner.index(True) - 1, -1, -1):
+        if not blocks[i].heading or id(blocks[i].holder.parent) not in around:
+            break
+        inner[i] = True
     if sum(inner) == 1:  # one block: its siblings belong to it
         own = next(b for b, i in zip(blocks, inner, strict=True) if i).holder
         near = own.parent
