@@ -42,15 +42,16 @@ t0 AS (
   FROM latest WHERE rn = 1 AND gwcbi___operation <> 1)"""
 
 
-def _batch_cte(name: str, fingerprint: str, phase: int) -> str:
+def _batch_cte(name: str, fingerprint: str, *phases: int) -> str:
+    chosen = ", ".join(map(str, phases))
     return f"""
 {name}_m AS (SELECT max(GW_TIMESTAMP) AS last_ts FROM cdc
-             WHERE phase = {phase} AND GW_FINGERPRINT = '{fingerprint}'),
+             WHERE phase IN ({chosen}) AND GW_FINGERPRINT = '{fingerprint}'),
 {name} AS (
   SELECT id, status, amount, gwcbi___operation, GW_FINGERPRINT, last_ts AS GW_TIMESTAMP
   FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY gwcbi___payload_ts_ms DESC,
                gwcbi___seqval_hex DESC) AS rn
-        FROM cdc WHERE phase = {phase} AND GW_FINGERPRINT = '{fingerprint}') x, {name}_m
+        FROM cdc WHERE phase IN ({chosen}) AND GW_FINGERPRINT = '{fingerprint}') x, {name}_m
   WHERE rn = 1)"""
 
 

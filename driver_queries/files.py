@@ -8,6 +8,7 @@ from driver_queries.registry import Tables, portable, query
 from driver_queries.views import CDC, FILES
 from tidemark import names as n
 from tidemark.operators.quality import bytes_reconcile
+from tidemark.plans.parallel import for_each
 from tidemark.sources import deliveries
 from tidemark.sources.manifest import read_manifest
 from tidemark.sources.snapshot import SnapshotTable
@@ -105,19 +106,32 @@ def q_merged(t):
     return merged.select("id", "status", "amount", n.FINGERPRINT)
 
 
+LOST = "CAST(1704067200000 + 86400000 * 9 AS VARCHAR)"
+
+
 @query(
     "land_to_raw",
     f"""WITH {CDC_CTE} SELECT GW_FINGERPRINT AS gw_fingerprint, GW_TIMESTAMP AS gw_timestamp,
-       count(*) AS rows_read, count(*) AS rows_written, 'S' AS status FROM cdc GROUP BY 1, 2""",
+       count(*) AS rows_read, CASE WHEN GW_TIMESTAMP = {LOST} THEN 0 ELSE count(*) END AS rows_written,
+       CASE WHEN GW_TIMESTAMP = {LOST} THEN 'F' ELSE 'S' END AS status FROM cdc GROUP BY 1, 2""",
 )
 def q_land(t):
-    root, raw = t.scratch("source"), t.scratch("raw")
-    source = feed(t)
-    write_feed(source, root)
-    zone = deliveries.read_raw(t.spark, root, "cc_user")
-    zone.write.partitionBy(n.FINGERPRINT, n.DELIVERY).parquet(f"{raw}/cc_user")
+    """The deliveries of one day do not arrive, and are found out."""
+    source, raw = t.scratch("source"), t.scratch("raw")
+    rows = t.stored(feed(t), "feed")
+    found = rows.select(n.FINGERPRINT, n.DELIVERY).distinct().collect()  # two a day at most
+    pairs = sorted((r[0], r[1]) for r in found)
+
+    def deliver(pair):
+        own = rows.filter((F.col(n.FINGERPRINT) == pair[0]) & (F.col(n.DELIVERY) == pair[1]))
+        deliveries.write_delivery(own.drop(n.FINGERPRINT, n.DELIVERY), source, "cc_user", *pair)
+
+    for_each(t.spark, deliver, pairs)
+    day = str(1704067200000 + 86400000 * 9)
+    deliveries.land_to_raw(t.spark, [p for p in pairs if p[1] != day], source, raw, "cc_user")
     return deliveries.rows_reconcile(
-        deliveries.folder_rows(source), deliveries.folder_rows(deliveries.read_zone(t.spark, raw, "cc_user"))
+        deliveries.folder_rows(deliveries.read_raw(t.spark, source, "cc_user")),
+        deliveries.folder_rows(deliveries.read_zone(t.spark, raw, "cc_user")),
     )
 
 

@@ -9,7 +9,7 @@ from tidemark.session import Staging, data_bytes, fits_broadcast, has_at_most
 from tidemark.sources import deliveries
 from tidemark.sources.jdbc import jdbc_options
 from tidemark.sources.manifest import read_manifest
-from tidemark.sources.snapshot import HistoryTable, SnapshotTable
+from tidemark.sources.snapshot import VERSION, HistoryTable, LogTable, SnapshotTable
 
 
 def deliver(spark, root, fingerprint, ts, data, columns="id int, v string"):
@@ -176,8 +176,8 @@ def test_history_writes_closed_versions_once(spark, tmp_path):
     store.compact()
     assert rows(store.read()) == expected
     store.write_step(versions(spark, (2, "b", None, "Y"), columns="id int, v string, w string"))
-    left = sorted(p.name for p in (tmp_path / "h").iterdir() if p.name.startswith("version="))
-    assert left == ["version=4-full", "version=5"]
+    left = sorted(p.name for p in (tmp_path / "h").iterdir() if p.name.startswith(f"{VERSION}="))
+    assert left == [f"{VERSION}=4-full", f"{VERSION}=5"]
     assert rows(store.read().filter("ETL_ActiveRow_Flag = 'Y'"), "id") == [(2,)]
 
 
@@ -194,3 +194,34 @@ def test_history_ignores_unfinished_versions_and_allows_empty_ones(spark, tmp_pa
     assert rows(store.read(), "id") == [(1,)]
     store.write_step(versions(spark, (1, "a", "N"), (1, "b", "Y")))
     assert rows(store.read(), "v", n.ACTIVE) == [("a", "N"), ("b", "Y")]
+
+
+def test_history_with_a_column_named_version(spark, tmp_path):
+    store = HistoryTable(spark, str(tmp_path / "h"), n.ACTIVE)
+    columns = f"id int, version string, {n.ACTIVE} string"
+    store.write_all(spark.createDataFrame([(1, "a7", "Y"), (2, "b", "N")], columns))
+    store.write_step(spark.createDataFrame([(1, "a7", "N"), (1, "a8", "Y")], columns))
+    assert rows(store.read()) == [(1, "a7", "N"), (1, "a8", "Y"), (2, "b", "N")]
+    clash = spark.createDataFrame([(1, "x", "Y")], f"id int, {VERSION} string, {n.ACTIVE} string")
+    with pytest.raises(ValueError, match=VERSION):
+        store.write_step(clash)
+
+
+def test_log_table_appends_without_rewriting(spark, tmp_path):
+    log = LogTable(spark, str(tmp_path / "log"))
+    empty = spark.createDataFrame([], "id int")
+    assert not log.exists() and log.read_or(empty).count() == 0
+    log.append(spark.createDataFrame([(1,)], "id int"))
+    before = {p for p in (tmp_path / "log").rglob("*.parquet")}
+    log.append(spark.createDataFrame([(1,), (2,)], "id int"))
+    (tmp_path / "log" / "rows-unfinished").mkdir()
+    assert rows(log.read()) == [(1,), (1,), (2,)]
+    assert before < {p for p in (tmp_path / "log").rglob("*.parquet")}
+
+
+def test_leftovers_of_failed_writes_go(spark, tmp_path):
+    store = SnapshotTable(spark, str(tmp_path / "s"))
+    store.write(spark.range(1))
+    (tmp_path / "s" / "v=2").mkdir()
+    store.write(spark.range(2))
+    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["v=1", "v=3"]

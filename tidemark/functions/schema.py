@@ -46,8 +46,37 @@ def align_to_target(source: DataFrame, target: DataFrame) -> DataFrame:
     return cast_like(source, target.schema)
 
 
-def align_target_to_source(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Give the target the column types of the newest source schema."""
+def is_lossless(have: T.DataType, want: T.DataType) -> bool:
+    """Whether every value of one type has an equal one in the other."""
+    if isinstance(want, T.StringType):
+        return not isinstance(have, (T.StructType, T.ArrayType, T.MapType, T.BinaryType))
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    if isinstance(have, WHOLE_NUMBERS):
+        if isinstance(want, WHOLE_NUMBERS):
+            return digits[type(have)] <= digits[type(want)]
+        if isinstance(want, T.DecimalType):
+            return want.precision - want.scale >= digits[type(have)]
+        most = {T.FloatType: 5, T.DoubleType: 10}
+        return digits[type(have)] <= most.get(type(want), 0)
+    if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType):
+        return want.scale >= have.scale and want.precision - want.scale >= have.precision - have.scale
+    pairs = ((T.FloatType, T.DoubleType), (T.DateType, T.TimestampType), (T.DateType, T.TimestampNTZType))
+    return any(isinstance(have, a) and isinstance(want, b) for a, b in pairs)
+
+
+def align_target_to_source(target: DataFrame, source: DataFrame, compat: bool = True) -> DataFrame:
+    """Give the target the column types of the newest source schema.
+
+    A change that can lose stored values is refused with ``compat=False``; else such values
+    become NULL.
+    """
+    lossy = [
+        f"{c}: {have.simpleString()} to {want.simpleString()}"
+        for c, (have, want) in type_changes(target, source.schema).items()
+        if not is_lossless(have, want)
+    ]
+    if lossy and not compat:
+        raise ValueError("values may be lost by a change of type of " + ", ".join(lossy))
     return cast_like(target, source.schema)
 
 

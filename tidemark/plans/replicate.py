@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import names as n
+from tidemark.functions.columns import spatial_to_hex
 from tidemark.functions.schema import align_target_to_source
 from tidemark.operators.cdc import (
     Batch,
@@ -52,6 +53,32 @@ def _count(batches: list[Batch]) -> DataFrame:
     return rows
 
 
+def waiting_deliveries(wh: Warehouse, xcenter: str) -> DataFrame:
+    """Landed deliveries of a centre that no replica holds yet, whichever run landed them."""
+    identity = ["_t", "gw_fingerprint", "gw_timestamp"]
+    mine = F.col("xcenter") == xcenter
+    named = F.upper("table_name").alias("_t")
+    applied = wh.control_rows("replica_load").filter(mine).select(named, *identity[1:])
+    landed = wh.control_rows("raw_table_load").filter(mine).withColumn("_t", named)
+    return landed.join(applied.distinct(), identity, "left_anti")
+
+
+def waiting_tables(wh: Warehouse, xcenter: str) -> list[str]:
+    """Names, in lower case, of the tables with deliveries to apply."""
+    names = waiting_deliveries(wh, xcenter).select(F.lower("table_name").alias("t")).distinct()
+    return sorted(r["t"] for r in names.collect())
+
+
+def failed_job(wh: Warehouse, table: str, error: Exception, job_sk: int = 0) -> DataFrame:
+    """Metrics row of a job that ended with an error; its deliveries stay waiting."""
+    none = wh.spark.range(1).select(
+        *[F.lit(0).cast("long").alias(f"rows_{x}") for x in ("read", "loaded", "inserted", "updated")],
+        F.lit("F").alias("status"),
+    )
+    row = job_metrics(none, job_sk, table).withColumn("error_msg", F.lit(str(error)[:500]))
+    return wh.spark.createDataFrame(row.collect(), row.schema)
+
+
 def replicate(
     wh: Warehouse,
     table: str,
@@ -60,34 +87,36 @@ def replicate(
     xcenter: str,
     job_sk: int = 0,
     broadcast_rows: int = BROADCAST_ROWS,
+    compat: bool = False,
 ) -> DataFrame:
     """Create or update the replica and return the metrics row of the job.
 
-    First run: every delivery of the raw zone. Later runs: the deliveries landed in this run.
+    First run: every landed delivery. Later runs: those that no earlier run applied, so what a
+    failed run left behind is taken up again. Applying a delivery twice gives the same rows.
     The deduplicated changes are staged, so they are computed once, their size is known
     before a broadcast is chosen, and every count reads them instead of the raw files.
     """
     replica = wh.replica(table)
-    landed = wh.control_rows("raw_table_load").filter(
-        (F.upper("table_name") == table.upper()) & (F.col("xcenter") == xcenter)
-    )
+    waiting = waiting_deliveries(wh, xcenter).filter(F.col("_t") == table.upper())
     with Staging(wh.spark) as staging:
+        waiting = staging.put(waiting.drop("_t"), "waiting")
+        batches = table_batches(wh, table, waiting)
+        if not batches:
+            raise LookupError(f"no delivery of {table} waits to be applied")
         if not replica.exists():
-            batches = table_batches(wh, table, landed)
             latest = initial_latest([b.rows for b in batches], run_sk, run_ts)
             latest = staging.put(latest, "latest")
             state = replica.write(split_ops(latest, initial=True)[1])
             balance = cdc_reconcile_initial(_count(batches), latest, state, run_sk)
         else:
-            batches = table_batches(wh, table, landed.filter(F.col(n.RUN.lower()) == run_sk))
-            if not batches:
-                raise LookupError(f"no delivery of {table} was landed in run {run_sk}")
-            target = align_target_to_source(replica.read(), batches[-1].rows)
+            newest = spatial_to_hex(batches[-1].rows)
+            target = align_target_to_source(replica.read(), newest, compat)
             changes = incremental_changes(target, batches, run_sk, run_ts)
             changes = changes.staged(staging, "changes")
             small = fits_broadcast(changes.rows, broadcast_rows)
             state = replica.write(apply_changes(target, changes, run_sk, broadcast_changes=small))
             balance = cdc_reconcile(_count(batches), changes, state, run_sk)
+        wh.control("replica_load").append(waiting.withColumn("cyc_run_sk", F.lit(run_sk)))
         metrics = job_metrics(balance, job_sk, table)
         # The staged tables go away now, so the one metrics row is fetched before that.
         return wh.spark.createDataFrame(metrics.collect(), metrics.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import names as n
-from tidemark.sources.snapshot import HistoryTable, SnapshotTable
+from tidemark.sources.snapshot import HistoryTable, LogTable, SnapshotTable
 
 # --- fixed values: control table columns -----------------------------------------
 CONTROL = {
@@ -35,10 +35,17 @@ CONTROL = {
         "aud_dt_tm timestamp, cur_cyc_valid string"
     ),
 }
+CONTROL["replica_load"] = CONTROL["raw_table_load"]
 CONTROL["manifest_archive"] = CONTROL["manifest"]
 CONTROL["file_loads_archive"] = CONTROL["file_loads"]
 
 
+#: Control tables that only grow; every other one is replaced by its new state.
+LOGS = (
+    "raw_table_load", "replica_load", "balance_metrics", "validation_error_log", "validation_runs",
+)
+
+
 class Warehouse:
     """Folders below one root that every executor can reach."""
 
@@ -47,8 +54,9 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.raw = f"{self.root}/raw"
 
-    def control(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/control/{name}")
+    def control(self, name: str) -> SnapshotTable | LogTable:
+        kind = LogTable if name in LOGS else SnapshotTable
+        return kind(self.spark, f"{self.root}/control/{name}")
 
     def control_rows(self, name: str) -> DataFrame:
         """Current rows of a control table; empty before its first write."""

@@ -8,6 +8,7 @@ state to ``{path}/v=<number>`` and readers take the highest version that holds t
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,16 +91,62 @@ class SnapshotTable:
         self.spark.catalog.createTable(name, path=self.location(), source="parquet")
 
     def _clean(self) -> None:
-        for number in self.versions()[: -self.keep]:
+        committed = self.versions()
+        # A write that failed leaves a folder without the marker; those below the newest
+        # committed version will never get one.
+        left = [n for n in self._numbers(committed=False) if n not in committed and n < committed[-1]]
+        for number in [*committed[: -self.keep], *left]:
             fs, old = hadoop_path(self.spark, f"{self.path}/v={number}")
             fs.delete(old, True)
 
 
+class LogTable:
+    """A table that only grows: each append is one committed folder, nothing is rewritten.
+
+    Appends do not depend on each other, so jobs may append side by side. Folders have the
+    columns of the first one; rows that lack a column hold NULL there.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def _folders(self) -> list[str]:
+        fs, root = hadoop_path(self.spark, self.path)
+        if not fs.exists(root):
+            return []
+        names = sorted(s.getPath().getName() for s in fs.listStatus(root))
+        paths = [f"{self.path}/{name}" for name in names if name.startswith("rows-")]
+        return [p for p in paths if fs.exists(hadoop_path(self.spark, f"{p}/_SUCCESS")[1])]
+
+    def exists(self) -> bool:
+        return bool(self._folders())
+
+    def read(self) -> DataFrame:
+        folders = self._folders()
+        if not folders:
+            raise FileNotFoundError(f"nothing was appended to {self.path}")
+        schema = self.spark.read.parquet(folders[0]).schema
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def read_or(self, default: DataFrame) -> DataFrame:
+        return self.read() if self.exists() else default
+
+    def append(self, df: DataFrame) -> None:
+        df.write.mode("errorifexists").option("compression", "snappy").parquet(
+            f"{self.path}/rows-{uuid.uuid4().hex}"
+        )
+
+
+#: Partition column of the folders of a history table; no table may have a column of this name.
+VERSION = "tidemark__version"
+
+
 class HistoryTable:
     """A history table whose closed versions are written once.
 
-    ``{path}/version=<n>`` is split by the active flag. Its active part holds ALL versions
-    open after run n, its closed part only those CLOSED by run n; in ``version=<n>-full`` both
+    ``{path}/tidemark__version=<n>`` is split by the active flag. Its active part holds ALL versions
+    open after run n, its closed part only those CLOSED by run n; in ``…=<n>-full`` both
     are complete. The current state is the active part of the last version plus the closed
     parts since the last full one. A run thus writes as many rows as are open, however long
     the history is, and one Spark write commits both parts.
@@ -124,7 +171,7 @@ class HistoryTable:
         if not fs.exists(root):
             return []
         names = [status.getPath().getName() for status in fs.listStatus(root)]
-        names = [x for x in names if x.startswith("version=")]
+        names = [x for x in names if x.startswith(f"{VERSION}=")]
         found = [(int(x.split("=")[1].split("-")[0]), x) for x in names]
         return sorted(f for f in found if not committed or self._has(f"{f[1]}/_SUCCESS"))
 
@@ -147,7 +194,7 @@ class HistoryTable:
         schema = self._schema(number)
         if not paths:
             return self.spark.createDataFrame([], schema)
-        partitions = [T.StructField("version", T.StringType())]
+        partitions = [T.StructField(VERSION, T.StringType())]
         stored = T.StructType([f for f in schema.fields if f.name != self.flag] + partitions
                               + [T.StructField(self.flag, T.StringType())])
         rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths)
@@ -166,10 +213,12 @@ class HistoryTable:
         return self.write_all(self.read())
 
     def _commit(self, df: DataFrame, suffix: str) -> DataFrame:
+        if VERSION in (c.lower() for c in df.columns):
+            raise ValueError(f"{VERSION} is no name for a column of a history table")
         number = max((k for k, _ in self._folders(committed=False)), default=0) + 1
         self._save_schema(number, df.schema)
         writer = df.write.mode("errorifexists").option("compression", "snappy")
-        writer.partitionBy(self.flag).parquet(f"{self.path}/version={number}{suffix}")
+        writer.partitionBy(self.flag).parquet(f"{self.path}/{VERSION}={number}{suffix}")
         self._clean()
         return self.read()
 
