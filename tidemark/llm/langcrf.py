@@ -259,18 +259,24 @@ class _Reader:
         return np.fromiter(map(at.__getitem__, words), np.int64, len(words))
 
 
-def label_documents(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score, spans``: spans are the stretches of one language among the words
-    with letters, each as language, first such word and number."""
+def label_documents(
+    docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """``doc_id, lang_pred, score, spans, carried``: spans are the stretches of one language among
+    the words with letters, each as language, first such word and number; carried is a struct of
+    the columns named in ``carry``."""
+    along = F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in carry])
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
-                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), along.alias("carried"))
+    spans = "array<struct<lang:string,first:long,words:long>>"
     schema = (
-        "doc_id long, lang_pred string, score double,"
-        " spans array<struct<lang:string,first:long,words:long>>"
+        f"doc_id long, lang_pred string, score double, spans {spans},"
+        f" carried {rows.schema['carried'].dataType.simpleString()}"
     )
     if model is None:
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
-                           F.lit(None).cast("array<struct<lang:string,first:long,words:long>>").alias("spans"))
+                           F.lit(None).cast(spans).alias("spans"), "carried")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES rows of weights
 
     def label(batches):
@@ -314,8 +320,9 @@ def _label_part(part: pa.RecordBatch, reader: _Reader) -> pa.RecordBatch:
     kind = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("words", pa.int64())]))
     listed = pa.array([[{"lang": a, "first": b, "words": c} for a, b, c in s] for s in spans], kind)
     return pa.RecordBatch.from_arrays(
-        [part["doc_id"], pa.array(names[pred], pa.string()), pa.array(np.minimum(score, 1.0)), listed],
-        names=["doc_id", "lang_pred", "score", "spans"],
+        [part["doc_id"], pa.array(names[pred], pa.string()), pa.array(np.minimum(score, 1.0)), listed,
+         part["carried"]],
+        names=["doc_id", "lang_pred", "score", "spans", "carried"],
     )
 
 

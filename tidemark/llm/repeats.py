@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.rolling import gram_hashes, window_min
 
 #: Items that are hashed at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Bytes of text whose anchors one task brings together.
 BUCKET_BYTES = 16 << 20
 KEY_BITS = np.uint64(48)
@@ -122,9 +122,10 @@ def runs(*sorted_columns: np.ndarray) -> np.ndarray:
 
 
 def slices(sorted_buckets: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    firsts = runs(sorted_buckets)
-    for a, b in zip(firsts, np.append(firsts[1:], len(sorted_buckets)), strict=True):
-        yield int(sorted_buckets[a]), int(a), int(b)
+    """Bucket, first place and end of each run."""
+    firsts = [*runs(sorted_buckets).tolist(), len(sorted_buckets)]
+    for a, b in zip(firsts, firsts[1:], strict=False):
+        yield int(sorted_buckets[a]), a, b
 
 
 def binary(values: np.ndarray, firsts: np.ndarray) -> pa.Array:
@@ -166,7 +167,7 @@ def distinct_texts(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch if len(first) == batch.num_rows else batch.take(pa.array(np.sort(first)))
 
 
-def sub_batches(batch: pa.RecordBatch, column: str = "text", most: int = 8 << 20):
+def sub_batches(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20):
     """The batch in stretches of about ``most`` bytes of text."""
     import pyarrow.compute as pc
 

@@ -20,8 +20,9 @@ rows; columns other than the two named ones are not read.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
@@ -290,3 +291,13 @@ def whole_characters(kept: bytes) -> str:
     """Kept bytes as text. A removed run may begin or end inside a character; what is left of such
     a character is no text and goes."""
     return kept.decode("utf-8", "ignore")
+
+
+def text_of(kept: Column) -> Column:
+    """The kept bytes of a column as text."""
+
+    def decode(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else whole_characters(bytes(v)))
+
+    decode.__annotations__ = {"values": pd.Series, "return": pd.Series}
+    return F.pandas_udf(decode, "string")(kept)
