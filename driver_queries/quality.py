@@ -10,7 +10,7 @@ from tidemark import names as n
 from tidemark.operators.collect import collect_chunks
 from tidemark.operators.quality import (
     Rule,
-    error_log,
+    error_lists,
     failing_rows,
     run_rule,
     select_rules,
@@ -73,9 +73,9 @@ def _chunks_sql(group: str, rows: str, value: str, chunk: int = CHUNK) -> str:
 @query(
     "rule_error_log",
     f"""WITH {CLAIM_CTE}
-SELECT 'rule_claim' AS gw_table_name, 'publicid' AS gw_primary_key, "values" AS gw_error_values,
+SELECT 'rule_claim' AS gw_table_name, 'publicid' AS gw_primary_key, publicid AS gw_error_values,
        '7' AS val_sk, '70' AS val_run_sk
-FROM {_chunks_sql("", f"(SELECT publicid FROM claim WHERE {FAILED}) f", "publicid")} c""",
+FROM claim WHERE {FAILED}""",
 )
 def q_error_log(t):
     return evaluated(t).error_log.drop("inserted_date")
@@ -85,12 +85,12 @@ def q_error_log(t):
     "rule_error_log_chunked",
     f"""WITH {CLAIM_CTE}
 SELECT 'rule_claim' AS gw_table_name, 'publicid' AS gw_primary_key, "values" AS gw_error_values,
-       '7' AS val_sk, '70' AS val_run_sk
+       '7' AS val_sk, '70' AS val_run_sk, chunk
 FROM {_chunks_sql("", f"(SELECT publicid FROM claim WHERE {FAILED}) f", "publicid", 100)} c""",
 )
 def q_error_log_chunked(t):
     failed = failing_rows(t.spark, RULE.query, {"rule_claim": t.sql(CLAIM)})
-    return error_log(failed, RULE, 70, RUN_TS, chunk_rows=100).drop("inserted_date")
+    return error_lists(failed, RULE, 70, RUN_TS, chunk_rows=100).drop("inserted_date")
 
 
 @query(

@@ -93,7 +93,9 @@ def test_rule_with_failures(spark):
     out = run_rule(RULE, keys(spark, "p2", "p1", "p3"), target(spark), 2, 9, TS)
     assert rows(out.counts) == [(2, 0, 2, "F")]
     assert rows(out.flagged, "publicid", n.VALIDATION) == [("p1", "F"), ("p2", "F"), ("p3", None)]
-    assert rows(out.error_log, "gw_error_values", "val_sk", "val_run_sk") == [("p1,p2,p3", "3", "9")]
+    assert rows(out.error_log, "gw_error_values", "val_sk", "val_run_sk") == [
+        ("p1", "3", "9"), ("p2", "3", "9"), ("p3", "3", "9"),
+    ]
 
 
 def test_failures_of_other_runs_only_write_no_log(spark):

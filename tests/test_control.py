@@ -156,3 +156,15 @@ def test_job_spec_joins_query_parts_in_order(spark):
     assert (spec.keys, spec.driving_keys, spec.exclusions) == (("id", "part"), ("id", "part"), ("a", "b"))
     assert render_sql(spec.query, "cat", "sch") == "SELECT * FROM cat.sch.cc_claim"
     assert render_sql(spec.query) == "SELECT * FROM cc_claim"
+
+
+def test_shift_stays_within_the_centre(spark):
+    meta = metadata(spark, ("CC_A", "10", "5", "C"))
+    both = meta.unionByName(meta.withColumn("xcenter", F.lit("PC")))
+    manifest = spark.createDataFrame(
+        [("PC/cc_a", "20", {"f9": "15"}, "3", "PC", NOW, 2)], CONTROL["manifest"]
+    )
+    moved = c.shift_load_metadata(both, manifest, 2, NOW, "PC")
+    shown = ("xcenter", "latest_lastsuccessfulwritetimestamp", "load_status")
+    assert rows(moved, *shown) == [("CC", "10", "C"), ("PC", "20", "I")]
+    assert rows(c.new_table_metadata(meta, manifest, "PC")) == [("CC_A",)]

@@ -173,3 +173,34 @@ def test_projections_equal_the_job_queries(spark, world):
     ):
         wanted = spec.rows(spark)
         assert rows(built.select(*wanted.columns)) == rows(wanted)
+
+
+def test_a_failed_table_does_not_stop_the_others(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    landing, wh = Landing(spark, str(tmp_path / "landing")), Warehouse(spark, str(tmp_path / "wh"))
+
+    def run(number):
+        return run_cycle(wh, landing.root, "CC", [], 1, number, f"2024-01-0{number} 00:00:00", balance=False)
+
+    plain = f"id string, v string, {CDC}"
+    for table in ("cc_a", "cc_b"):
+        landing.deliver(table, "f", 1000, [("a", "x", 0, 1)], plain)
+    assert {k: r["status"] for k, r in metrics(run(1)).items()} == {"cc_a": "S", "cc_b": "S"}
+    landing.deliver("cc_a", "g", 2000, [("b", 1, 0, 2)], plain.replace("v string", "v int"))
+    landing.deliver("cc_b", "f", 2000, [("b", "y", 0, 2)], plain)
+    got = metrics(run(2))
+    assert (got["cc_a"]["status"], got["cc_b"]["status"]) == ("F", "S")
+    assert "v: string to int" in got["cc_a"]["error_msg"]
+    again = metrics(run(3))  # nothing new has landed, but one delivery still waits
+    assert set(again) == {"cc_a"}
+    wh.control("file_loads_archive").write(wh.control_rows("file_loads"))
+    wh.control("file_loads").write(wh.control_rows("file_loads").limit(0))
+    assert run(4).loaded == [] and wh.control_rows("file_loads").count() == 0
+
+
+def test_arguments_of_a_cycle(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="no job writes"):
+        run_cycle(wh, "", "CC", [DETAIL], 1, 1, "", refined_balance=("claim_detail", "other"))
+    with pytest.raises(ValueError, match="first_val_run"):
+        run_cycle(wh, "", "CC", [], 1, 1, "", rules={"cc_a": []})

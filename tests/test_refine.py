@@ -3,10 +3,10 @@
 import random
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
 from tidemark import names as n
-from tidemark.operators.scd2 import expire_gone, number_inserts, scd2_initial, scd2_merge
+from tidemark.operators.scd2 import expire_gone, number_inserts, scd2_initial, scd2_merge, scd2_step
 from tidemark.plans.jobspec import JobSpec
 from tidemark.plans.refine import refine, refined_source
 from tidemark.plans.warehouse import Warehouse
@@ -65,3 +65,14 @@ def test_rows_with_a_null_key_and_duplicates(spark, tmp_path):
     metrics = refine(wh, SPEC, data, 1, "2024-01-01 00:00:00").first()
     assert rows(wh.refined("detail").read(), "id", "v", "sk") == [(1, "new", 1)]
     assert (metrics["rows_read"], metrics["rows_inserted"], metrics["status"]) == (1, 1, "S")
+
+
+def test_a_run_joins_the_open_versions_once(spark):
+    data = spark.createDataFrame([(1, "a", "1001")], f"id int, v string, {n.DELIVERY} string")
+    source = refined_source(SPEC, data, 1, "2024-01-01 00:00:00")
+    target = scd2_initial(source, "sk", 1)
+    driving = spark.createDataFrame([], f"id int, {n.RUN} int, {n.SOFT_DELETE} string")
+    numbered = number_inserts(source, target, "sk")
+    moved = scd2_step(target, numbered, 2, "2024-01-02 00:00:00")
+    state = expire_gone(moved, driving, ["id"], ["id"], 0, 2, "2024-01-02 00:00:00", split=False)
+    assert plan(state).count("FullOuter") == plan(moved).count("FullOuter") >= 1

@@ -62,7 +62,10 @@ def shift_load_metadata(
         latest_fingerprint(compat).alias("_fp"),
     )
     latest = "latest_lastsuccessfulwritetimestamp"
-    joined = metadata.join(new, F.upper("table_name") == F.col("_t"), "left")
+    same = F.upper("table_name") == F.col("_t")
+    if not compat:  # a table name may occur in several centres
+        same = same & (F.col("xcenter") == xcenter)
+    joined = metadata.join(new, same, "left")
     hit = F.col("_t").isNotNull()
     if not compat:
         hit = hit & ~epoch("_ts").eqNullSafe(epoch(latest))
@@ -88,7 +91,8 @@ def new_table_metadata(metadata: DataFrame, manifest: DataFrame, xcenter: str) -
     named = manifest.filter(F.col("xcenter") == xcenter).select(
         last_segment(F.col("datafilespath")).alias("table_name")
     )
-    return named.join(metadata.select(F.upper("table_name").alias("table_name")), "table_name", "left_anti")
+    mine = metadata.filter(F.col("xcenter") == xcenter)
+    return named.join(mine.select(F.upper("table_name").alias("table_name")), "table_name", "left_anti")
 
 
 # -------------------------------------------------------------------------- detection

@@ -59,22 +59,33 @@ def rule_counts(flagged: DataFrame, run_sk: int) -> DataFrame:
     )
 
 
-def error_log(
-    failed: DataFrame, rule: Rule, val_run_sk: int, run_ts, chunk_rows: int = 10_000
-) -> DataFrame:
-    """Failing keys as text: no row without failures, one row up to ``chunk_rows`` keys,
-    several rows beyond that."""
-    lists = collect_chunks(failed, rule.primary_key, chunk_rows=chunk_rows)
-    return lists.select(
+def _logged(failed: DataFrame, value: str, rule: Rule, val_run_sk: int, run_ts, *more: str) -> DataFrame:
+    return failed.select(
         F.lit(rule.table_name).alias("gw_table_name"),
         F.lit(rule.primary_key).alias("gw_primary_key"),
-        F.col("values").alias("gw_error_values"),
+        F.col(value).cast("string").alias("gw_error_values"),
         F.lit(str(rule.val_sk)).alias("val_sk"),
         F.lit(str(val_run_sk)).alias("val_run_sk"),
         as_timestamp(run_ts).alias("inserted_date"),
+        *more,
     )
 
 
+def error_log(failed: DataFrame, rule: Rule, val_run_sk: int, run_ts) -> DataFrame:
+    """One row per failing key, however many there are; a NULL key gives none."""
+    keys = failed.filter(F.col(rule.primary_key).isNotNull())
+    return _logged(keys, rule.primary_key, rule, val_run_sk, run_ts)
+
+
+def error_lists(
+    failed: DataFrame, rule: Rule, val_run_sk: int, run_ts, chunk_rows: int = 10_000
+) -> DataFrame:
+    """The failing keys as comma lists, for readers that want text: ``chunk`` numbers lists of
+    about ``chunk_rows`` keys (keys are dealt to lists by hash)."""
+    lists = collect_chunks(failed, rule.primary_key, chunk_rows=chunk_rows)
+    return _logged(lists, "values", rule, val_run_sk, run_ts, "chunk")
+
+
 def run_rule(
     rule: Rule, failed: DataFrame, target: DataFrame, run_sk: int, val_run_sk: int, run_ts
 ) -> RuleResult:

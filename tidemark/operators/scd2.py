@@ -271,7 +271,10 @@ def _expire(
     run_sk: int,
     run_ts,
     compat: bool,
+    split: bool = True,
 ) -> DataFrame:
+    """``split`` reads active and closed rows apart, so that the closed rows of a stored table
+    skip the join; on a computed frame that would compute it twice."""
     on = [
         (F.trim(F.col(k).cast("string")), F.trim(F.col(d).cast("string")))
         for k, d in zip(keys, driving_keys)
@@ -279,6 +282,8 @@ def _expire(
     values = _closing(run_sk, run_ts)
     if compat:
         return update_where_in(refined, gone, on, values)
+    if not split:
+        return update_where_in(refined, gone, on, values, guard=is_active())
     touched = update_where_in(refined.filter(is_active()), gone, on, values)
     return refined.filter(~is_active()).unionByName(touched)
 
@@ -330,15 +335,16 @@ def expire_gone(
     run_sk: int,
     run_ts,
     compat: bool = False,
+    split: bool = True,
 ) -> DataFrame:
     """Soft-delete and retire propagation in one pass over the given versions.
 
     Rows that are closed already pass through, so this also serves on the rows that
-    ``scd2_step`` returns.
+    ``scd2_step`` returns; there ``split=False`` keeps the plan from being run twice.
     """
     reason = F.col(n.SOFT_DELETE) == "Y"
     retired = named(driving, "retired")
     if retired is not None:
         reason = reason | (F.col(retired) != 0)
     gone = driving.filter((F.col(n.RUN) > previous_run) & reason)
-    return _expire(refined, gone, keys, driving_keys, run_sk, run_ts, compat)
+    return _expire(refined, gone, keys, driving_keys, run_sk, run_ts, compat, split)

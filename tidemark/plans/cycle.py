@@ -85,7 +85,7 @@ def run_cycle(
     if balance and refined_balance:
         metrics = balance_refined(wh, cyc_sk, run_sk, run_ts, *refined_balance)
         result.balances.append(publish_metrics(wh.spark, wh, metrics))
-    housekeeping(wh, xcenter, run_ts)
+    housekeeping(wh, xcenter, run_ts, refined=sorted(known))
     return result
 
 

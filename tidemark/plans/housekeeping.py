@@ -8,13 +8,25 @@ from tidemark.operators.control import archive_older_than, snapshot_copy
 from tidemark.plans.parallel import for_each
 from tidemark.plans.warehouse import CONTROL, Warehouse
 
-BACKED_UP = ("manifest", "table_load_metadata", "file_loads", "raw_table_load", "jobs")
+BACKED_UP = (
+    "manifest", "manifest_archive", "table_load_metadata", "file_loads", "file_loads_archive",
+    "raw_table_load", "replica_load", "jobs",
+)
+#: Runs after which the closed versions of a history table are gathered.
+MOST_PARTS = 24
 
 
 def housekeeping(
-    wh: Warehouse, xcenter: str, now, days: int = 30, tables: Sequence[str] = BACKED_UP
+    wh: Warehouse,
+    xcenter: str,
+    now,
+    days: int = 30,
+    tables: Sequence[str] = BACKED_UP,
+    refined: Sequence[str] = (),
+    most_parts: int = MOST_PARTS,
 ) -> None:
-    """Copy the control tables of a centre to ``<name>_backup``, then move old file rows."""
+    """Copy the control tables of a centre to ``<name>_backup``, move old file rows, and compact
+    the named history tables that have gathered more than ``most_parts`` parts."""
 
     def back_up(name: str) -> None:
         wanted = xcenter if "xcenter" in CONTROL[name] else None
@@ -26,3 +38,6 @@ def housekeeping(
     )
     wh.control("file_loads_archive").write(archive)
     wh.control("file_loads").write(kept)
+    for name in refined:
+        if wh.refined(name).parts() > most_parts:
+            wh.refined(name).compact()

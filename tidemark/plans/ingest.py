@@ -56,7 +56,9 @@ def register_files(
     After the first run only the folders of tables with news are listed; the names of those
     tables come to the driver for that.
     """
-    known = wh.control_rows("file_loads")
+    files = wh.control_rows("file_loads")
+    # What was moved to the archive is known as well, or a run would register it again.
+    known = files.unionByName(wh.control_rows("file_loads_archive"))
     metadata = wh.control_rows("table_load_metadata")
     mine = F.col("xcenter") == xcenter
     news = control.tables_with_news(metadata.filter(mine), known.filter(mine))
@@ -75,7 +77,7 @@ def register_files(
     rows = assign_surrogate(keyed, "file_load_id", start, key_hash="_h", prefix=1).withColumns(
         {"is_loaded": F.lit(False), "insert_date_time": now, "update_date_time": now}
     )
-    return wh.control("file_loads").write(known.unionByName(rows.drop("_h")))
+    return wh.control("file_loads").write(files.unionByName(rows.drop("_h")))
 
 
 def sync_jobs(wh: Warehouse, xcenter: str, run_ts) -> DataFrame:

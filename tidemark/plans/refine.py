@@ -62,7 +62,7 @@ def refine(
         if first:
             read = scd2_rows_read(source)
             loaded = scd2_initial(source, spec.surrogate, run_sk)
-            state = refined.write_all(expire_gone(loaded, *gone, compat))
+            state = refined.write_all(expire_gone(loaded, *gone, compat, split=False))
         else:
             target = refined.read()
             known = staging.put(classify(source, target, reactivate), "classified")
@@ -72,7 +72,7 @@ def refine(
                 state = refined.write_all(scd2_merge(target, numbered, run_sk, run_ts))
             else:
                 moved = scd2_step(target.filter(is_active()), numbered, run_sk, run_ts)
-                state = refined.write_step(expire_gone(moved, *gone))
+                state = refined.write_step(expire_gone(moved, *gone, split=False))
         balance = scd2_reconcile(read, state, run_sk, initial=first, after_expiry=True)
         metrics = job_metrics(balance, spec.job_sk, spec.target)
         metrics = wh.spark.createDataFrame(metrics.collect(), metrics.schema)

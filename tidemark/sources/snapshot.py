@@ -200,6 +200,10 @@ class HistoryTable:
         rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths)
         return rows.select(*[f.name for f in schema.fields])
 
+    def parts(self) -> int:
+        """Versions that a read has to gather."""
+        return len(self._since_full()) if self.exists() else 0
+
     def write_all(self, df: DataFrame) -> DataFrame:
         """Commit a complete state: the first load, a compaction, or a rewritten history."""
         return self._commit(df, "-full")
