@@ -15,13 +15,19 @@ from driver_queries.cdc import (
     _batch_cte,
 )
 from driver_queries.registry import Tables, portable, query
-from driver_queries.views import CDC, CLAIM, POLICY
+from driver_queries.views import CDC, CLAIM, FILES, POLICY
 from tidemark import names as n
+from tidemark.functions.schema import align_target_to_source
 from tidemark.operators.quality import Rule
+from tidemark.plans.balancing import refresh_or_keep
+from tidemark.plans.housekeeping import housekeeping
+from tidemark.plans.jobspec import JobSpec
+from tidemark.plans.refine import refine
 from tidemark.plans.replicate import replicate
 from tidemark.plans.validate import validate_table
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources import deliveries
+from tidemark.sources.snapshot import SnapshotTable
 
 TABLE = "cc_user"
 
@@ -96,3 +102,131 @@ def q_validate(t):
     return summary.select(
         "val_run_sk", "val_sk", "val_rule", "val_status", "total_count", "passed_count", "failed_count"
     )
+
+
+DETAIL = JobSpec(1, "job_detail", ("id",), "detail_sk", "job_driving", ("id",), "")
+FIRST = """
+SELECT o_orderkey AS id, o_orderstatus AS version, o_custkey AS policyid, '1000' AS GW_TIMESTAMP
+FROM {orders}"""
+SECOND = """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS version,
+       o_custkey AS policyid, '2000' AS GW_TIMESTAMP
+FROM {orders} WHERE o_orderpriority <> '3-MEDIUM'
+UNION ALL
+SELECT o_orderkey + 1000000000, o_orderstatus, o_custkey, '2000'
+FROM {orders} WHERE o_orderpriority = '1-URGENT'"""
+DRIVING = """
+SELECT o_orderkey AS id, 2 AS CYC_RUN_SK,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'Y' ELSE 'N' END AS Soft_Delete,
+       CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END AS retired
+FROM {orders}"""
+
+
+@query(
+    "refine_two_runs",
+    f"""WITH a AS ({portable(FIRST)}), b AS ({portable(SECOND)}), d AS ({portable(DRIVING)}),
+gone AS (SELECT id FROM d WHERE Soft_Delete = 'Y' OR retired <> 0),
+changed AS (SELECT a.id FROM a JOIN b ON a.id = b.id WHERE a.version <> b.version)
+SELECT id, version, policyid,
+       CASE WHEN id IN (SELECT id FROM changed) OR id IN (SELECT id FROM gone) THEN 'N' ELSE 'Y' END AS flag,
+       CASE WHEN id IN (SELECT id FROM changed) OR id IN (SELECT id FROM gone) THEN '2' ELSE '1' END AS last_run,
+       '1' AS ins_run FROM a
+UNION ALL
+SELECT id, version, policyid, CASE WHEN id IN (SELECT id FROM gone) THEN 'N' ELSE 'Y' END, '2', '2'
+FROM b WHERE id IN (SELECT id FROM changed) OR id NOT IN (SELECT id FROM a)""",
+)
+def q_refine(t):
+    """The refine job twice, with changes, new keys, deletes and retirements, and a business
+    column called version."""
+    wh = Warehouse(t.spark, t.scratch("warehouse"))
+    wh.replica("job_driving").write(t.sql(DRIVING).limit(0))
+    refine(wh, DETAIL, t.sql(FIRST), 1, "2024-01-01 00:00:00")
+    wh.replica("job_driving").write(t.sql(DRIVING))
+    refine(wh, DETAIL, t.sql(SECOND), 2, "2024-02-01 00:00:00", previous_run=1)
+    state = wh.refined("job_detail").read()
+    return state.select(
+        "id", "version", "policyid", F.col(n.ACTIVE).alias("flag"), F.col(n.LAST_RUN).alias("last_run"),
+        F.col(n.INSERT_RUN).alias("ins_run"),
+    )
+
+
+@query(
+    "history_read",
+    f"""WITH a AS ({portable(FIRST)}), b AS ({portable(SECOND)})
+SELECT a.id, a.version, CASE WHEN a.version <> b.version THEN 'N' ELSE 'Y' END AS flag
+FROM a LEFT JOIN b ON a.id = b.id
+UNION ALL SELECT b.id, b.version, 'Y' FROM b LEFT JOIN a ON a.id = b.id
+WHERE a.id IS NULL OR a.version <> b.version""",
+)
+def q_history(t):
+    """A history table of two steps, gathered and read back."""
+    wh = Warehouse(t.spark, t.scratch("warehouse"))
+    wh.replica("job_driving").write(t.sql(DRIVING).limit(0))
+    refine(wh, DETAIL, t.sql(FIRST), 1, "2024-01-01 00:00:00")
+    refine(wh, DETAIL, t.sql(SECOND), 2, "2024-02-01 00:00:00", previous_run=1)
+    store = wh.refined("job_detail")
+    assert store.parts() == 2
+    store.compact()
+    assert store.parts() == 1
+    return store.read().select("id", "version", F.col(n.ACTIVE).alias("flag"))
+
+
+@query(
+    "schema_replace_roundtrip",
+    """SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS code FROM orders
+UNION ALL SELECT -c_custkey, c_name FROM customer""",
+)
+def q_schema_replace(t):
+    """A stored table takes the wider type of a new schema version and is read back with it."""
+    store = SnapshotTable(t.spark, t.scratch("replace"))
+    store.write(t.sql("SELECT o_orderkey AS id, o_custkey AS code FROM {orders}"))
+    newest = t.sql("SELECT -c_custkey AS id, c_name AS code FROM {customer}")
+    store.write(align_target_to_source(store.read(), newest, compat=False).unionByName(newest))
+    return store.read()
+
+
+@query(
+    "refresh_or_keep",
+    f"""WITH {CDC_CTE}, latest AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY GW_TIMESTAMP DESC,
+         gwcbi___payload_ts_ms DESC, gwcbi___seqval_hex DESC) AS rn FROM cdc WHERE phase = 1)
+SELECT cycle, id, status, amount FROM latest, (SELECT 'loaded' AS cycle UNION ALL SELECT 'idle') c
+WHERE rn = 1""",
+)
+def q_refresh(t):
+    """A cycle that loaded deliveries builds the balance source, an idle one keeps it."""
+    wh = Warehouse(t.spark, t.scratch("warehouse"))
+    _land(t, wh, 1)
+    files = wh.control_rows("raw_table_load")
+    loaded = refresh_or_keep(wh, TABLE, files, files)
+    idle = refresh_or_keep(wh, TABLE, files, files.filter("cyc_run_sk = 2"))
+    both = loaded.withColumn("cycle", F.lit("loaded")).unionByName(idle.withColumn("cycle", F.lit("idle")))
+    return both.select("cycle", "id", "status", "amount")
+
+
+OLD_FILES = f"""
+SELECT CAST(file_load_id AS BIGINT) AS file_load_id, table_name, gw_fingerprint, gw_timestamp,
+       table_name AS cloud_path, d < 28 AS is_loaded,
+       CAST(CASE WHEN d < 10 THEN '2024-01-01 00:00:00' ELSE '2024-02-20 00:00:00' END AS TIMESTAMP)
+         AS insert_date_time,
+       CAST('2024-02-20 00:00:00' AS TIMESTAMP) AS update_date_time, xcenter, 1 AS cyc_run_sk
+FROM ({FILES}) f"""
+
+
+@query(
+    "housekeeping",
+    f"""WITH f AS ({portable(OLD_FILES)})
+SELECT 'file_loads_backup' AS part, file_load_id FROM f
+UNION ALL SELECT CASE WHEN is_loaded AND insert_date_time < TIMESTAMP '2024-01-26 00:00:00'
+                      THEN 'file_loads_archive' ELSE 'file_loads' END, file_load_id FROM f""",
+)
+def q_housekeeping(t):
+    """Backup of the file table, then its old rows go to the archive."""
+    wh = Warehouse(t.spark, t.scratch("warehouse"))
+    wh.control("file_loads").write(t.sql(OLD_FILES))
+    housekeeping(wh, "CC", "2024-02-25 00:00:00")
+    parts = [
+        wh.control(name).read().select(F.lit(name).alias("part"), "file_load_id")
+        for name in ("file_loads", "file_loads_archive", "file_loads_backup")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
