@@ -29,6 +29,7 @@ BLOCK = 1 << 18
 #: Bytes of text whose anchors one task brings together.
 BUCKET_BYTES = 16 << 20
 KEY_BITS = np.uint64(48)
+BLOBS = "bucket int, kind int, data binary"
 
 Flat = tuple[np.ndarray, np.ndarray]
 
@@ -138,9 +139,9 @@ def binary(values: np.ndarray, firsts: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
-def shuffled(rows: DataFrame, buckets: int, make, gather, schema: str) -> DataFrame:
-    """``make`` turns batches into (bucket, kind, data) blobs, which meet by bucket; ``gather`` gets
-    all blobs of a bucket by kind and gives batches of ``schema``."""
+def dealt(blobs: DataFrame, buckets: int, gather, schema: str) -> DataFrame:
+    """Blobs (``bucket, kind, data``) meet by bucket; ``gather`` gets all of a bucket, by kind, and
+    gives batches of ``schema``. Few large rows travel, whatever the number of their entries."""
 
     def collect(batches):
         kinds: dict[int, list[bytes]] = {}
@@ -150,8 +151,15 @@ def shuffled(rows: DataFrame, buckets: int, make, gather, schema: str) -> DataFr
         if kinds:
             yield from gather(kinds)
 
-    blobs = rows.mapInArrow(make, "bucket int, kind int, data binary")
-    return blobs.repartitionById(buckets, F.col("bucket")).select("kind", "data").mapInArrow(collect, schema)
+    met = blobs.repartitionById(buckets, F.col("bucket")).select("kind", "data")
+    return met.mapInArrow(collect, schema)
+
+
+def shuffled(rows: DataFrame, buckets: int, make, compare, gather, schema: str) -> DataFrame:
+    """Two rounds of ``dealt``: ``make`` deals entries by what they are compared on, ``compare`` deals
+    what it finds by text, and ``gather`` gives one row per text."""
+    entries = rows.mapInArrow(make, BLOBS)
+    return dealt(dealt(entries, buckets, compare, BLOBS), buckets, gather, schema)
 
 
 def blob_batch(blobs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -206,15 +214,9 @@ def repeated_anchors(rows: DataFrame, plan: Plan, buckets: int) -> DataFrame:
             for bucket, a, b in slices((seed * np.uint64(buckets)) >> KEY_BITS):
                 blobs.append((bucket, 0, _pack_seeds(seed[a:b], name[a:b])))
             hit = np.repeat(sizes > 1, sizes)
-            key, h1 = key[hit], h1[hit]
-            to = (h1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            key, h1 = key[order], h1[order]
-            for bucket, a, b in slices(to[order]):
-                blobs.append((bucket, 1, pack(key[a:b], h1[a:b])))
-            yield blob_batch(blobs)
+            yield blob_batch(blobs + by_text(buckets, h1[hit], key[hit]))
 
-    def gather(kinds):
+    def compare(kinds):
         seeds = [_unpack_seeds(d) for d in kinds.get(0, [])]
         key = np.concatenate([np.empty(0, np.uint64), *(s[0] for s in seeds)])
         h1 = np.concatenate([np.empty(0, np.int64), *(s[1] for s in seeds)])
@@ -225,21 +227,34 @@ def repeated_anchors(rows: DataFrame, plan: Plan, buckets: int) -> DataFrame:
             sizes = np.diff(np.append(firsts, len(key)))
             several = np.minimum.reduceat(h1, firsts) != np.maximum.reduceat(h1, firsts)
             hit = np.repeat(several, sizes)
-            key, h1 = key[hit], h1[hit]
-        known = [unpack(d, np.uint64, np.int64) for d in kinds.get(1, [])]
-        key = np.concatenate([key, *(x[0] for x in known)])
-        h1 = np.concatenate([h1, *(x[1] for x in known)])
+            yield blob_batch(by_text(buckets, h1[hit], key[hit]))
+        if 1 in kinds:
+            known = [unpack(d, np.int64, np.uint64) for d in kinds[1]]
+            h1, key = (np.concatenate([k[i] for k in known]) for i in range(2))
+            yield blob_batch(by_text(buckets, h1, key))
+
+    def gather(kinds):
+        found = [unpack(d, np.int64, np.uint64) for d in kinds[1]]
+        h1, key = (np.concatenate([f[i] for f in found]) for i in range(2))
         order = np.lexsort((key, h1))
-        key, h1 = key[order], h1[order]
+        h1, key = h1[order], key[order]
         keep = runs(h1, key)
-        key, h1 = key[keep], h1[keep]
+        h1, key = h1[keep], key[keep]
         firsts = runs(h1)
         if len(firsts):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1[firsts]), binary(key, firsts)], names=["h1", "keys"]
             )
 
-    return shuffled(rows.select("h1", "text"), buckets, make, gather, "h1 long, keys binary")
+    return shuffled(rows.select("h1", "text"), buckets, make, compare, gather, "h1 long, keys binary")
+
+
+def by_text(buckets: int, name: np.ndarray, *columns: np.ndarray) -> list:
+    """Blobs (kind 1) of entries, dealt by the name of their text, the first column."""
+    to = (name.astype(np.int64).view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    parts = [c[order] for c in (name, *columns)]
+    return [(k, 1, pack(*(c[a:b] for c in parts))) for k, a, b in slices(to[order])]
 
 
 def _pack_seeds(key: np.ndarray, h1: np.ndarray) -> bytes:

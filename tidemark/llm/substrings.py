@@ -102,13 +102,16 @@ def marks(texts: DataFrame, buckets: int) -> DataFrame:
                 blobs += _window_blobs(part, buckets)
             yield blob_batch(blobs)
 
-    def gather(kinds):
-        found = [unpack(d, np.int64, np.uint32, np.uint32) for d in kinds.get(1, [])]
+    def compare(kinds):
         if 0 in kinds:
             seeds = [_unpack_windows(d) for d in kinds[0]]
             columns = [np.concatenate([s[i] for s in seeds]) for i in range(5)]
-            found.append(_later(*columns)[0])
-        doc, h32, start = (np.concatenate([f[i] for f in found]) for i in range(3))
+            yield blob_batch(repeats.by_text(buckets, *_later(*columns)[0]))
+        if 1 in kinds:
+            yield blob_batch(repeats.by_text(buckets, *_marked(kinds[1])))
+
+    def gather(kinds):
+        doc, h32, start = _marked(kinds[1])
         order = np.lexsort((start, h32, doc))
         doc, h32, start = doc[order], h32[order], start[order]
         firsts = runs(doc, h32)
@@ -119,11 +122,16 @@ def marks(texts: DataFrame, buckets: int) -> DataFrame:
             )
 
     return repeats.shuffled(
-        texts.select("doc_id", "h1", "text", "keys"), buckets, make, gather,
+        texts.select("doc_id", "h1", "text", "keys"), buckets, make, compare, gather,
         "doc_id long, h32 long, marks binary",
     )
 
 
+def _marked(blobs: list[bytes]) -> list[np.ndarray]:
+    found = [unpack(d, np.int64, np.uint32, np.uint32) for d in blobs]
+    return [np.concatenate([f[i] for f in found]) for i in range(3)]
+
+
 def _later(name, check, start, doc, h32):
     """Windows that have an earlier equal, as (doc, h32, start); and the places of the others."""
     order = np.lexsort((start, doc, check, name))
@@ -153,12 +161,7 @@ def _window_blobs(batch: pa.RecordBatch, buckets: int) -> list:
     h32 = (batch["h1"].to_numpy()[row] & 0xFFFFFFFF).astype(np.uint32)
     start = (at - offsets[row]).astype(np.uint32)
     known, stay = _later(name, check, start, doc, h32)
-    blobs = []
-    if len(known[0]):
-        to = (known[1] % np.uint32(buckets)).astype(np.int64)
-        turn = np.argsort(to, kind="stable")
-        columns = [c[turn] for c in known]
-        blobs += [(k, 1, pack(*(c[a:b] for c in columns))) for k, a, b in slices(to[turn])]
+    blobs = repeats.by_text(buckets, *known)
     name, check, start, doc, h32 = (x[stay] for x in (name, check, start, doc, h32))
     to = ((name >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     for k, a, b in slices(to):

@@ -119,11 +119,15 @@ def marks(texts: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
                 blobs += _suffix_blobs(part, cuts, buckets, before)
             yield blob_batch(blobs)
 
-    def gather(kinds):
-        found = [unpack(d, np.int64, np.uint32, np.uint32, np.uint32) for d in kinds.get(1, [])]
+    def compare(kinds):
         if 0 in kinds:
-            found.append(_compare(kinds[0], before))
-        doc, h32, place, mask = (np.concatenate([f[i] for f in found]) for i in range(4))
+            doc, h32, place, mask = _compare(kinds[0], before)
+            yield blob_batch(repeats.by_text(buckets, doc, h32, place, mask))
+        if 1 in kinds:
+            yield blob_batch(repeats.by_text(buckets, *_marked(kinds[1])))
+
+    def gather(kinds):
+        doc, h32, place, mask = _marked(kinds[1])
         order = np.lexsort((h32, doc))
         doc, h32 = doc[order], h32[order]
         firsts = runs(doc, h32)
@@ -135,11 +139,16 @@ def marks(texts: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
             )
 
     return repeats.shuffled(
-        texts.select("doc_id", "h1", "text", "keys"), buckets, make, gather,
+        texts.select("doc_id", "h1", "text", "keys"), buckets, make, compare, gather,
         "doc_id long, h32 long, marks binary",
     )
 
 
+def _marked(blobs: list[bytes]) -> list[np.ndarray]:
+    found = [unpack(d, np.int64, np.uint32, np.uint32, np.uint32) for d in blobs]
+    return [np.concatenate([f[i] for f in found]) for i in range(4)]
+
+
 def _suffix_blobs(batch: pa.RecordBatch, cuts: np.ndarray, buckets: int, before: int) -> list:
     flat = flatten(batch["text"])
     items, offsets = flat
@@ -179,10 +188,9 @@ def _suffix_blobs(batch: pa.RecordBatch, cuts: np.ndarray, buckets: int, before:
     blobs = []
     if len(known):
         mask = ((np.uint64(2) << o2[known].astype(np.uint64)) - (np.uint64(1) << o1[known].astype(np.uint64)))
-        to = (h32[known] % np.uint32(buckets)).astype(np.int64)
-        turn = np.argsort(to, kind="stable")
-        columns = [c[turn] for c in (doc[known], h32[known], place[known], mask.astype(np.uint32))]
-        blobs += [(k, 1, pack(*(c[a:b] for c in columns))) for k, a, b in slices(to[turn])]
+        blobs = repeats.by_text(
+            buckets, doc[known], h32[known], place[known], mask.astype(np.uint32)
+        )
     lead = np.ascontiguousarray(context[order, before : before + LEAD]).view(f"S{LEAD}").reshape(-1)
     turn = np.argsort(lead, kind="stable")
     order = order[turn]
