@@ -151,6 +151,11 @@ def test_main_text(kind):
     assert html_paths.main_text(page) == "\n".join(["Title", *PARAGRAPHS])
 
 
+def test_quotes_in_tags():
+    page = """<p class="a" ">One, two.</p><p title="x > y" data='">'>Three, four.</p><p it's>Five, six.</p>"""
+    assert html_paths.main_text(page) == "One, two.\nThree, four.\nFive, six."
+
+
 def test_extraction_of_odd_pages(spark):
     odd = [(1, "u", None), (2, None, ""), (3, "u", "just text, no tags"), (None, "u", "<p>One.<p>Two."), (4, "u", "<<<>"),
            (4, "u", "<div"), (5, "u", "<p>" * 3000 + "deep"), (6, "u", "<script>x"), (7, "u", "a" * 200_000)]
