@@ -26,6 +26,10 @@ def test_read_listing_and_landing(spark, tmp_path):
     assert "content" not in plan(listed)
     assert deliveries.list_deliveries(spark, root, "CC", ["cc_a", "absent"]).count() == 3
     assert deliveries.list_deliveries(spark, root, "CC", ["absent"]).count() == 0
+    last = max(int(r["gw_timestamp"]) for r in listed.filter("table_name = 'cc_a'").collect())
+    newer = deliveries.list_deliveries(spark, root, "CC", ["cc_a"], {"cc_a": last - 1})
+    assert {int(r["gw_timestamp"]) for r in newer.collect()} == {last}
+    assert deliveries.list_deliveries(spark, root, "CC", ["cc_a"], {"cc_a": last}).count() == 0
     both = deliveries.read_raw(spark, root, "cc_a", merge_schema=True)
     assert rows(both, "id", "v", "w", n.FINGERPRINT, n.DELIVERY) == [
         (1, "a", None, "1e5", "0100"), (2, "b", None, "1e5", "0200"),

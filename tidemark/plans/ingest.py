@@ -53,8 +53,9 @@ def register_files(
 ) -> DataFrame:
     """Add the delivery folders that are new to the file table.
 
-    After the first run only the folders of tables with news are listed; the names of those
-    tables come to the driver for that.
+    After the first run only the folders of tables with news are listed, and of those only the
+    ones newer than the table's previous write; names and times of those tables come to the
+    driver for that.
     """
     files = wh.control_rows("file_loads")
     # What was moved to the archive is known as well, or a run would register it again.
@@ -62,8 +63,11 @@ def register_files(
     metadata = wh.control_rows("table_load_metadata")
     mine = F.col("xcenter") == xcenter
     news = control.tables_with_news(metadata.filter(mine), known.filter(mine))
-    tables = [r["table_name"].lower() for r in news.select("table_name").collect()]
-    listed = deliveries.list_deliveries(wh.spark, landing, xcenter, tables)
+    previous = F.col("previous_lastsuccessfulwritetimestamp").try_cast("bigint").alias("after")
+    after = {r[0].lower(): r[1] or -1 for r in news.select("table_name", previous).collect()}
+    listed = deliveries.list_deliveries(
+        wh.spark, landing, xcenter, list(after), after if known.limit(1).count() else None
+    )
     found = control.detect_new(
         listed,
         metadata.filter(mine),

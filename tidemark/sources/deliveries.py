@@ -6,7 +6,8 @@ The raw zone that ``land_to_raw`` writes names its folders ``GW_FINGERPRINT=..``
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,11 +65,6 @@ def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return listing.select("path", "length")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, handle = hadoop_path(spark, path)
-    return fs.exists(handle)
-
-
 def _parsed(files: DataFrame) -> DataFrame:
     path = F.col("path")
     return files.select(
@@ -79,19 +75,50 @@ def _parsed(files: DataFrame) -> DataFrame:
     )
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if it does not exist."""
+    fs, handle = hadoop_path(spark, path)
+    if not fs.exists(handle):
+        return []
+    found = [s.getPath().getName() for s in fs.listStatus(handle) if s.isDirectory()]
+    return sorted(x for x in found if not x.startswith((".", "_")))
+
+
+def _holds_rows(spark: SparkSession, path: str) -> bool:
+    fs, handle = hadoop_path(spark, path)
+    return any(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(handle))
+
+
 def list_deliveries(
-    spark: SparkSession, root: str, xcenter: str, tables: Sequence[str] | None = None
+    spark: SparkSession,
+    root: str,
+    xcenter: str,
+    tables: Sequence[str] | None = None,
+    after: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """One row per delivery folder below ``root``, of all tables or of the named ones."""
-    if tables is None:
-        paths = [root]
-    else:
-        paths = [p for p in (f"{root}/{t}" for t in sorted(tables)) if _exists(spark, p)]
-    if paths:
-        found = _parsed(_files(spark, paths)).select(*KEYS).distinct()
-    else:
-        found = spark.createDataFrame([], ", ".join(f"{k} string" for k in KEYS))
-    return found.select(
+    """One row per delivery folder below ``root``, of all tables or of the named ones.
+
+    Only folder names are listed, not the files of every delivery ever made. ``after`` gives a
+    table's last known delivery time; older folders are not looked into.
+    """
+    after = after or {}
+
+    def of_table(table: str) -> list[tuple[str, str, str]]:
+        found = []
+        for fingerprint in _names(spark, f"{root}/{table}"):
+            for delivery in _names(spark, f"{root}/{table}/{fingerprint}"):
+                time = delivery.split("=")[-1]
+                if time.isdigit() and int(time) <= after.get(table.lower(), -1):
+                    continue
+                if _holds_rows(spark, f"{root}/{table}/{fingerprint}/{delivery}"):
+                    found.append((table, fingerprint.split("=")[-1], time))
+        return found
+
+    wanted = _names(spark, root) if tables is None else sorted(tables)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        rows = [row for part in pool.map(of_table, wanted) for row in part]
+    listed = spark.createDataFrame(rows, ", ".join(f"{k} string" for k in KEYS)).distinct()
+    return listed.select(
         *KEYS, F.concat_ws("/", *KEYS).alias("cloud_path"), F.lit(xcenter).alias("xcenter")
     )
 
