@@ -34,6 +34,8 @@ SAMPLE_WORDS = 60
 #: Words of a stretch of one document in a learning chain, at most, and words of a chain.
 STRETCH, CHAIN = 20, 60
 LEXICON_LEAST = 3
+#: Languages that are learned, the most frequent ones.
+MAX_LANGUAGES = 200
 MAX_FEATURES = 200_000
 ROUNDS, RATE, DECAY = 50, 0.15, 1e-3
 UNKNOWN = "und"
@@ -205,7 +207,8 @@ def sample_of(docs: DataFrame, each: int = SAMPLE_DOCS) -> list[tuple[str, list[
     """About ``each`` labelled documents per language (columns ``doc_id, text, lang``), with
     ``SAMPLE_WORDS`` bare words of each."""
     labelled = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    frequent = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    counts = {r["lang"]: r["n"] for r in frequent.limit(MAX_LANGUAGES).collect()}
     if not counts:
         return []
     scale = 1 << 30
