@@ -105,7 +105,7 @@ def test_pipeline(spark):
     for key, text in list(rows.items()):
         n, chars, symbols, lines, same, again = brute.quality(text)
         if (n < 20 or 100 * again > 30 * n or 5 * symbols > n or 2 * same > lines
-                or 2 * chars < 5 * n or chars > 12 * n):
+                or 2 * chars < 5 * n or chars > 40 * n):
             del rows[key]
     near = brute.simhash(list(rows.items()))
     rows = {k: t for k, t in rows.items() if (k, k) in {(a, c) for a, _, c in near}}

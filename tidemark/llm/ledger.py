@@ -40,7 +40,7 @@ RULES = (
     Rule(2, "symbols", "5 * n_symbols > n_words"),
     Rule(3, "repeated_lines", "2 * n_dup_lines > n_lines"),
     Rule(4, "short_words", "2 * word_chars < 5 * n_words"),
-    Rule(5, "long_words", "word_chars > 12 * n_words"),
+    Rule(5, "long_words", "word_chars > 40 * n_words"),
 )
 
 

@@ -39,7 +39,7 @@ f AS (
   SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
          + 4 * (5 * n_symbols > n_words)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT
          + 16 * (2 * word_chars < 5 * n_words)::BIGINT
-         + 32 * (word_chars > 12 * n_words)::BIGINT AS failures FROM m)
+         + 32 * (word_chars > 40 * n_words)::BIGINT AS failures FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
        n_repeat_words::BIGINT AS n_repeat_words, failures,
