@@ -71,7 +71,7 @@ def shown(metrics):
 
 
 def replicas(t):
-    return t.sql(CLAIM), t.stored(latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER), "txn")
+    return t.sql(CLAIM), t.stored(latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER, tie_break=()), "txn")
 
 
 def raw_vs_replica(t):

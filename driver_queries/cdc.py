@@ -20,8 +20,9 @@ from tidemark.operators.cdc import (
     loaded_counts,
 )
 from tidemark.operators.dedup import latest_per_key, latest_per_key_in_batch, split_ops
-from tidemark.operators.merge import merge_upsert
+from tidemark.operators.merge import apply_changes, merge_upsert
 from tidemark.operators.update import soft_delete, update_where_in
+from tidemark.session import Staging
 
 RUN_TS = "2024-02-01 00:00:00"
 FINGERPRINTS = ("aaaa", "bbbb")
@@ -155,7 +156,7 @@ SELECT id, claimid, amount, costtype, costcategory, shipdate, partkey, suppkey F
          suppkey DESC) AS rn FROM feed) x WHERE rn = 1""",
 )
 def q_txn_dedup(t):
-    return latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER).select(
+    return latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER, tie_break=()).select(
         "id", "claimid", "amount", "costtype", "costcategory", *TXN_ORDER
     )
 
@@ -254,8 +255,8 @@ FROM c, d, l""",
 def q_reconcile(t):
     target = replica(t)
     changes = incremental_changes(target, batches(t, 2), 2, RUN_TS)
-    state = cdc_incremental(target, batches(t, 2), 2, RUN_TS)
-    return cdc_reconcile(feed(t, 2), changes, state, 2)
+    changes = changes.staged(Staging(t.spark), "changes")
+    return cdc_reconcile(feed(t, 2), changes, apply_changes(target, changes, 2), 2)
 
 
 @query(

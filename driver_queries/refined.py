@@ -36,14 +36,14 @@ FROM txn t LEFT JOIN claim c ON t.claimid = c.id WHERE t.Soft_Delete = 'N'"""
 
 @query("claim_financial", CLAIM_FINANCIAL)
 def q_claim_financial(t):
-    transactions = latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER)
+    transactions = latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER, tie_break=())
     return claim_financial(transactions, t.sql(CLAIM))
 
 
 @query("claim_financial_salted", CLAIM_FINANCIAL)
 def q_claim_financial_salted(t):
     """The same join with hot claims and missing claims spread over several tasks."""
-    transactions = t.stored(latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER), "txn")
+    transactions = t.stored(latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER, tie_break=()), "txn")
     return claim_financial(transactions, t.sql(CLAIM), salts=8)
 
 

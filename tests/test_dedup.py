@@ -80,3 +80,14 @@ def test_unique_source_drops_null_keys(spark):
 def test_map_columns_are_allowed(spark):
     df = spark.createDataFrame([("a", {"x": 1}, 1)], "id string, m map<string,int>, t int")
     assert latest_per_key(df, ["id"], ["t"]).count() == 1
+
+
+def test_no_tie_break_reads_the_needed_columns_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 2, "a", "wide"), (1, 3, "b", "wide")], "id int, ts int, v string, w string").write.parquet(path)
+    df = spark.read.parquet(path)
+    picked = latest_per_key(df, ["id"], ["ts"], tie_break=()).select("id", "v")
+    assert rows(picked) == [(1, "b")]
+    schema = next(x for x in plan(picked).split("\n") if "ReadSchema" in x)
+    assert "w:string" not in schema
+    assert "w:string" in plan(latest_per_key(df, ["id"], ["ts"]).select("id", "v"))

@@ -12,17 +12,23 @@ from tidemark.functions.hashing import content_hash
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str] = n.RECENCY
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = n.RECENCY,
+    tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep the row of each key that is greatest in ``order`` (NULL sorts last).
 
+    Rows that tie are ordered by a hash of the columns in ``tie_break``, by default of all, which
+    reads them all. Where ``order`` leaves no ties, an empty ``tie_break`` reads none of them.
+
     Spark cuts every map partition to one row per key before the shuffle
     (``WindowGroupLimit ... Partial``), so a key that holds a large share of the rows
     reaches its reducer as one row per map task.
     """
-    window = Window.partitionBy(*keys).orderBy(
-        *[F.col(c).desc() for c in order], content_hash(df)
-    )
+    ties = list(df.columns if tie_break is None else tie_break)
+    last = [content_hash(df.select(*[F.col(f"`{c}`") for c in ties]))] if ties else []
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order], *last)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
