@@ -110,11 +110,17 @@ def replicate(
             balance = cdc_reconcile_initial(_count(batches), latest, state, run_sk)
         else:
             newest = spatial_to_hex(batches[-1].rows)
-            target = align_target_to_source(replica.read(), newest, compat)
+            stored = replica.read()
+            target = align_target_to_source(stored, newest, compat)
             changes = incremental_changes(target, batches, run_sk, run_ts)
             changes = changes.staged(staging, "changes")
             small = fits_broadcast(changes.rows, broadcast_rows)
-            state = replica.write(apply_changes(target, changes, run_sk, broadcast_changes=small))
+            if target.schema == stored.schema:  # only the buckets of changed keys
+                buckets = replica.touched(changes.rows)
+                part = apply_changes(replica.read(buckets), changes, run_sk, broadcast_changes=small)
+                state = replica.write_buckets(part, buckets)
+            else:
+                state = replica.write(apply_changes(target, changes, run_sk, broadcast_changes=small))
             balance = cdc_reconcile(_count(batches), changes, state, run_sk)
         wh.control("replica_load").append(waiting.withColumn("cyc_run_sk", F.lit(run_sk)))
         metrics = job_metrics(balance, job_sk, table)

@@ -81,7 +81,9 @@ def validate_table(
                 every = reduce(DataFrame.unionByName, frames)
                 flagged = flag_failed(flagged, every, primary_key, run_sk)
             wh.control("validation_error_log").append(reduce(DataFrame.unionByName, logs))
-            replica.write(flagged)
+            fresh = (F.col(n.VALIDATION) == "F") & (F.col(n.RUN) == run_sk)
+            buckets = replica.touched(flagged.filter(fresh))
+            replica.write_buckets(flagged.filter(replica.bucket_of().isin(buckets)), buckets)
     summary = reduce(DataFrame.unionByName, summaries)
     wh.control("validation_runs").append(summary)
     return summary

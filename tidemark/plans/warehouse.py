@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import names as n
+from tidemark.sources.buckets import BucketTable
 from tidemark.sources.snapshot import HistoryTable, LogTable, SnapshotTable
 
 # --- fixed values: control table columns -----------------------------------------
@@ -49,8 +50,9 @@ LOGS = (
 class Warehouse:
     """Folders below one root that every executor can reach."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
+        self.buckets = buckets
         self.root = root.rstrip("/")
         self.raw = f"{self.root}/raw"
 
@@ -62,8 +64,9 @@ class Warehouse:
         """Current rows of a control table; empty before its first write."""
         return self.control(name).read_or(self.spark.createDataFrame([], CONTROL[name]))
 
-    def replica(self, table: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/replica/{table}")
+    def replica(self, table: str) -> BucketTable:
+        """A run rewrites the buckets its changes fall into; ``buckets`` is set for new tables."""
+        return BucketTable(self.spark, f"{self.root}/replica/{table}", ("id",), self.buckets)
 
     def refined(self, table: str) -> HistoryTable:
         return HistoryTable(self.spark, f"{self.root}/refined/{table}", n.ACTIVE)
