@@ -44,9 +44,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts what an earlier document has too; a document that loses all its text stays, empty."""
     along = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cut = suffixes.dedup_substrings(docs, Scratch(spark), carry=along)
-    text = suffixes.text_of(F.col("kept"))
-    rows = cut.select("doc_id", text.alias("text"), *[F.col("carried")[c].alias(c) for c in along])
+    cut = suffixes.dedup_substrings(docs, Scratch(spark), carry=along, as_text=True)
+    rows = cut.select("doc_id", F.col("kept").alias("text"), *[F.col("carried")[c].alias(c) for c in along])
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -22,7 +22,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words whose ids a worker keeps, at most; the cache then starts anew. It saves time only.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 CUT = re.compile(r"(?<=\S)(?=[ \t\n\r])")
 UNEVEN = re.compile(r"\s[ \n]|^[ \n]|[ \n]$")

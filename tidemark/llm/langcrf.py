@@ -40,7 +40,7 @@ MAX_FEATURES = 200_000
 ROUNDS, RATE, DECAY = 50, 0.15, 1e-3
 UNKNOWN = "und"
 #: Words whose weights a worker keeps, at most.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 BLOCK = 256
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
@@ -285,7 +285,7 @@ def label_documents(
     def label(batches):
         reader = _Reader(sent.value)
         for batch in batches:
-            for part in sub_batches(batch):
+            for part in sub_batches(batch, most=1 << 20):
                 yield _label_part(part, reader)
 
     return rows.mapInArrow(label, schema)

@@ -20,9 +20,8 @@ rows; columns other than the two named ones are not read.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
@@ -252,9 +251,10 @@ def covered(size: int, marks_of_text: bytes) -> np.ndarray:
 
 def dedup_substrings(
     docs: DataFrame, stage: Scratch, doc_id: str = "doc_id", text: str = "text",
-    carry: tuple[str, ...] = (),
+    carry: tuple[str, ...] = (), as_text: bool = False,
 ) -> DataFrame:
-    """One row per document: ``doc_id, kept`` (the bytes that stay), ``n_bytes, n_removed``,
+    """One row per document: ``doc_id, kept`` (the bytes that stay, or with ``as_text`` the whole
+    characters among them), ``n_bytes, n_removed``,
     ``removed`` (maximal runs, as first byte and length) and ``carried``, a struct of the columns
     named in ``carry``."""
     rows = repeats.text_rows(docs, doc_id, text, carry)
@@ -279,18 +279,19 @@ def dedup_substrings(
                     else:
                         gone = None
                     sizes.append(raw.size)
-                    kept.append((raw if gone is None else raw[~gone]).tobytes())
+                    left = (raw if gone is None else raw[~gone]).tobytes()
+                    kept.append(whole_characters(left) if as_text else left)
                     spans.append(_NO_SPANS if gone is None else repeats.stretches(gone))
                 lost = [int(s[:, 1].sum()) for s in spans]
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()),
+                    [part["doc_id"], pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(sizes, pa.int64()),
                      pa.array(lost, pa.int64()), repeats.span_lists(spans), part["carried"]],
                     names=["doc_id", "kept", "n_bytes", "n_removed", "removed", "carried"],
                 )
 
     along = known.schema["carried"].dataType.simpleString()
     return known.mapInArrow(
-        cut, "doc_id long, kept binary, n_bytes long, n_removed long,"
+        cut, f"doc_id long, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long,"
         f" removed array<struct<first:long,length:long>>, carried {along}",
     )
 
@@ -299,13 +300,3 @@ def whole_characters(kept: bytes) -> str:
     """Kept bytes as text. A removed run may begin or end inside a character; what is left of such
     a character is no text and goes."""
     return kept.decode("utf-8", "ignore")
-
-
-def text_of(kept: Column) -> Column:
-    """The kept bytes of a column as text."""
-
-    def decode(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else whole_characters(bytes(v)))
-
-    decode.__annotations__ = {"values": pd.Series, "return": pd.Series}
-    return F.pandas_udf(decode, "string")(kept)
