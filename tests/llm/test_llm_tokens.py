@@ -44,6 +44,26 @@ def test_cached_encoding_is_the_library_s(text, kind):
     assert encoder(text) == encoder.plain(text)
 
 
+APOSTROPHES = strings([*"\"(o ", " '", "said", "some", "the", "l'", "'", "very", "\n", "re", "ll", ", ", "'d"], 20)
+
+
+@settings(max_examples=150, deadline=None)
+@given(APOSTROPHES, st.sampled_from([(WORD, "dropped"), (BYTE, "leading")]))
+def test_cached_encoding_of_apostrophes(text, kind):
+    encoder = encode.encoder(*kind)
+    assert encoder.cached
+    assert encoder(text) == encoder.plain(text)
+
+
+@pytest.mark.parametrize("kind", [(WORD, "dropped"), (BYTE, "leading")])
+@pytest.mark.parametrize("text", [
+    "He said, 'some of the people told me' and 'the end' came.", "a 'twas b ('the c o'that d l'very e",
+])
+def test_words_split_before_the_merges(text, kind):
+    encoder = encode.encoder(*kind)
+    assert encoder(text) == encoder.plain(text)
+
+
 def test_cache_starts_anew():
     words = encode.Words(lambda w: w.encode(), 3)
     assert b"".join(map(words.__getitem__, "abcdefab")) == b"abcdefab" and len(words) <= 3

@@ -28,6 +28,7 @@ CUT = re.compile(r"(?<=\S)(?=[ \t\n\r])")
 UNEVEN = re.compile(r"\s[ \n]|^[ \n]|[ \n]$")
 PROBE = (
     "The wordy, Straße café. a\nB don't 12,5 x.y of.,;\nfoo\n\nbar  baz   q \n end— ΣΣ 'tis "
+    "so 'some said, 'said ('the and o'that l'very we'll\n'told "
 )
 
 
@@ -86,7 +87,8 @@ class TextEncoder:
         return self._joined(text) if self.cached else self.plain(text)
 
     def _word(self, word: str) -> bytes:
-        """Letters, and letters with one mark after them, share the ids of the letters."""
+        """Letters, and letters with one mark after them, share the ids of the letters. Whatever else
+        is in a word, the pattern may split it before the merges: the library encodes it."""
         if self.white_space == "dropped":
             stem = word[:-1] if word[-1:] in self.marks else word
             if LATIN.fullmatch(stem):
@@ -97,7 +99,7 @@ class TextEncoder:
         body = word[1:] if head else word
         if body[-1:] in self.marks and body[:-1].isalpha():
             return head + self.stems[blank + body[:-1]] + self.marks[body[-1]]
-        return head + self.stems[blank + body]
+        return head + (self.stems[blank + body] if body.isalpha() else self.plain(blank + body))
 
     def _joined(self, text: str) -> bytes:
         if self.white_space == "dropped":
