@@ -151,6 +151,27 @@ def test_main_text(kind):
     assert html_paths.main_text(page) == "\n".join(["Title", *PARAGRAPHS])
 
 
+WRAPPERS = [
+    "<div class='content has-sidebar'>{}</div>", "<div class='layout no-sidebar'>{}</div>",
+    "<div class='post comments-open'>{}</div>", "<form action=x><div>{}</div></form>",
+    "<div class='elementor-widget-container elementor-widget'>{}</div>", "<div class='widget'><div>{}</div></div>",
+    "<div class='post tag-legal category-search'>{}</div>", "<div id=page-overlay><article>{}</article></div>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_names_of_wrappers(wrapper):
+    page = f"<body><nav><a href=1>Home</a></nav>{wrapper.format('<h1>Title</h1>' + BODY)}<div class=left-sidebar><p>Popular, posts.</p></div></body>"
+    assert html_paths.main_text(page) == "\n".join(["Title", *PARAGRAPHS])
+
+
+def test_surroundings_stay_out():
+    comments = "<div id=comments>" + "<article class=comment><p>Great, great post, thanks. Thanks, author!</p></article>" * 30 + "</div>"
+    page = f"<article><h1>Title</h1>{BODY}</article>{comments}<div class='cookie-notice'>We, use, cookies.</div>"
+    assert html_paths.main_text(page) == "\n".join(["Title", *PARAGRAPHS])
+    assert html_paths.main_text("<nav><a href=1>One</a></nav><footer>All, rights.</footer>") == ""
+
+
 def test_quotes_in_tags():
     page = """<p class="a" ">One, two.</p><p title="x > y" data='">'>Three, four.</p><p it's>Five, six.</p>"""
     assert html_paths.main_text(page) == "One, two.\nThree, four.\nFive, six."

@@ -8,8 +8,9 @@ holds most of the content gives its other blocks too, such as headings, short li
 for lists of links.
 
 Elements whose tag or class names them as surroundings (menus, headers and footers of the page,
-sidebars, adverts, notices, forms, comments) have no say and give no text; ``article`` and ``main``
-count for more. A page is one row and is handled where it is read: no shuffle.
+sidebars, adverts, notices, forms, comments) have no say and give no text, unless they are wrappers:
+they hold the page's ``article`` or ``main``, or most of its text; ``article`` and ``main`` count for
+more. A page is one row and is handled where it is read: no shuffle.
 
 Defined cases: a null or empty page gives an empty text; a page that is text without tags is one
 block; tags that are never closed end with their parents; null ids and repeated rows are kept row by
@@ -46,6 +47,10 @@ SILENT = frozenset(
 )
 RAW = frozenset("script style textarea title noscript iframe template svg".split())
 SURROUNDING = frozenset("nav footer aside form menu dialog fieldset".split())
+#: These may be put around a whole page, as names may.
+FORMS = frozenset(("form", "fieldset"))
+#: Surroundings by tag or role, and by name only.
+SAID, NAMED = 2, 1
 CONTENT = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: An opening tag ends an open one of these in the same holder.
@@ -55,13 +60,22 @@ ENDS = {
     "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th"),
 }
 HOLDERS = frozenset("ul ol dl table td th body article main section div aside nav footer header".split())
-SURROUNDING_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|side-?bar|cookies?|consent|gdpr"
-    r"|notice|alert|nav\w*|menu|bread-?crumbs?|footer|foot|masthead|site-?header|page-?header|topbar"
+#: Whole classes or ids: surroundings by name, with words of place and number around them. Others
+#: (has-sidebar, comments-open, tag-legal) tell of the page, not of the element.
+_NAME = (
+    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|side-?bar|cookies?|consent|gdpr"
+    r"|notice|alert|nav(?!y)\w*|menu|bread-?crumbs?|footer|foot|masthead|site-?header|page-?header|topbar"
     r"|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|sign-?up|login|popup"
     r"|modal|overlay|comments?|comment-?list|respon(?:d|ses?)|repl(?:y|ies)|disqus|discussion|widget"
-    r"|pagination|pager|tags?-?list|skip-?link|copyright|legal|disclaimer|search)(?=$|[\s_-])",
-    re.I,
+    r"|pagination|pager|tags?-?list|skip-?link|copyright|legal|disclaimer|search)\d*"
+)
+_PLACE = (
+    r"(?:left|right|top|bottom|main|site|page|global|primary|secondary|mobile|desktop|sticky|post|entry|article"
+    r"|blog|area|box|bar|list|links?|items?|section|block|wrap|wrapper|container|inner|buttons?|icons?|form|posts"
+    r"|field|panel|header|\d+)"
+)
+SURROUNDING_NAME = re.compile(
+    rf"(?:^|(?<=\s))(?:{_PLACE}[_-]+)*{_NAME}(?:[_-]+(?:{_NAME}|{_PLACE}))*(?=$|\s)", re.I
 )
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split()
@@ -82,6 +96,7 @@ class Element:
     parent: "Element | None"
     excluded: bool
     content: bool
+    surrounding: int = 0
     within: set = field(default_factory=set)
 
 
@@ -95,6 +110,50 @@ class Block:
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order, those of surroundings left out."""
+    return _without_surroundings(_all_blocks(page))
+
+
+def _without_surroundings(blocks: list[Block]) -> list[Block]:
+    """Blocks in no element of surroundings, but for those that are wrappers of the page's content."""
+    over = [[e for e in stack_of(b.holder) if e.surrounding] for b in blocks]
+    if not any(over):
+        return blocks
+    wrappers: set[int] = set()
+
+    def bars(i: int) -> list[Element]:
+        return [e for e in over[i] if id(e) not in wrappers]
+
+    free = [len(b.text) - min(b.linked, len(b.text)) for b in blocks]
+    marks = [len(MARKS.findall(b.text)) for b in blocks]
+    while True:
+        left = [bars(i) for i in range(len(blocks))]
+        if any(b.holder.content and not x for b, x in zip(blocks, left, strict=True)):
+            break
+        # The outermost ones that hold an article or main, else one with most of the text.
+        open_to = [all(e.surrounding == NAMED for e in x) for x in left]
+        found = {
+            id(x[-1]) for b, x, o in zip(blocks, left, open_to, strict=True)
+            if o and b.holder.content and not x[-1].content
+        }
+        if not found:
+            mass: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+            for i, x in enumerate(left):
+                if x and open_to[i]:
+                    mass[id(x[-1])][0] += free[i]
+                    mass[id(x[-1])][1] += marks[i]
+            text, mark = (sum(v for v, o in zip(f, open_to, strict=True) if o) for f in (free, marks))
+            found = {k for k, (t, m) in mass.items() if 2 * t > text and 2 * m >= mark}
+        if not found:
+            break
+        wrappers |= found
+    kept = [b for b, x in zip(blocks, left, strict=True) if not x]
+    if not kept:  # look again, past names
+        kept = [b for b, o in zip(blocks, open_to, strict=True) if o]
+    return kept
+
+
+def _all_blocks(page: str) -> list[Block]:
+    """Text blocks in page order, without hidden ones."""
     root = Element("", "", None, False, False)
     stack = [root]
     out: list[Block] = []
@@ -172,7 +231,7 @@ def stack_of(element: Element | None):
 def _block_holder(stack: list[Element]) -> Element:
     """The innermost open element that is no inline one; it is left out if an inline one is."""
     for element in reversed(stack):
-        if element.excluded or element.tag not in INLINE:
+        if element.excluded or element.surrounding or element.tag not in INLINE:
             return element
     return stack[0]
 
@@ -185,15 +244,20 @@ def _element(tag: str, rest: str, stack: list[Element]) -> Element:
     label = f"{names.get('class', '')} {names.get('id', '')}".strip()
     inside = parent.content
     excluded = (
-        parent.excluded or tag in SURROUNDING or tag in SILENT
-        or tag == "header" and not inside
-        or names.get("role", "").lower() in ROLES or "hidden" in rest.split()
+        parent.excluded or tag in SILENT or "hidden" in rest.split()
         or names.get("aria-hidden") == "true" or "display:none" in names.get("style", "").replace(" ", "")
-        or bool(label) and tag not in ("body", "html", *CONTENT) and bool(SURROUNDING_NAME.search(label))
     )
+    role = names.get("role", "").lower()
+    surrounding = 0
+    if tag in SURROUNDING - FORMS or tag == "header" and not inside or role in ROLES - FORMS:
+        surrounding = SAID
+    elif tag in FORMS or role in FORMS or (
+        label and tag not in ("body", "html", *CONTENT) and SURROUNDING_NAME.search(label)
+    ):
+        surrounding = NAMED
     first = label.split()[0].rstrip("0123456789") if label else ""
     path = parent.path if tag in INLINE else f"{parent.path}/{tag}{'.' + first if first and tag not in ('p', 'li') else ''}"
-    return Element(tag, path, parent, excluded, inside or tag in CONTENT)
+    return Element(tag, path, parent, excluded, inside or tag in CONTENT, surrounding)
 
 
 def path_figures(blocks: list[Block]) -> dict[str, float]:
