@@ -172,6 +172,18 @@ def test_surroundings_stay_out():
     assert html_paths.main_text("<nav><a href=1>One</a></nav><footer>All, rights.</footer>") == ""
 
 
+LONG, LESS = "Some words, of text; and more. " * 130, "Another part, of text; and more. " * 9
+
+
+@pytest.mark.parametrize("page", [
+    "<div><h1>T</h1><p>{}</p><p>{}</p></div>", "<body><h1>T</h1><p>{}</p><p>{}</p></body>",
+    "<div><h1>T</h1><div class=sec>{}</div><div class=sec>{}</div></div>",
+    "<section><h1>T</h1><section><p>{}</p></section><section><p>{}</p></section></section>",
+])
+def test_short_parts_stay(page):
+    assert html_paths.main_text(page.format(LONG, LESS)) == "\n".join(["T", LONG.strip(), LESS.strip()])
+
+
 def test_quotes_in_tags():
     page = """<p class="a" ">One, two.</p><p title="x > y" data='">'>Three, four.</p><p it's>Five, six.</p>"""
     assert html_paths.main_text(page) == "One, two.\nThree, four.\nFive, six."

@@ -3,9 +3,10 @@
 A page is read as text blocks, each under its path of tags from the root. For every path of the
 page the operator adds up text length, punctuation and link text over its blocks; the ratios per
 block, with their spread, are fused to one figure per path. The figures are smoothed along the page,
-blocks with like paths weighing more, and blocks above the threshold are content. The element that
-holds most of the content gives its other blocks too, such as headings, short lines and cells, but
-for lists of links.
+blocks with like paths weighing more, and blocks above the threshold are content, all of them, but
+for those outside when an ``article`` or ``main`` holds the content. The element that holds the blocks
+of the path with the most content gives its other blocks too, such as headings, short lines and cells,
+but for lists of links.
 
 Elements whose tag or class names them as surroundings (menus, headers and footers of the page,
 sidebars, adverts, notices, forms, comments) have no say and give no text, unless they are wrappers:
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 #: Smoothing reach in blocks, and the share of the spread that a block must exceed.
 REACH = 2
 THRESHOLD = 0.5
-#: Share of the content's mass that the holding element must have.
+#: Share of the content's mass that the holding element must have, where only the page's body holds all.
 HOLDS = 0.8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -317,30 +318,36 @@ def select(blocks: list[Block]) -> list[bool]:
 
 
 def _fuse(blocks: list[Block], chosen: list[bool]) -> list[bool]:
-    """The element that holds most of the chosen text, with all its blocks but those of other paths
-    that mostly are links."""
+    """The chosen blocks, and all blocks of the element that holds those of the leading path, but
+    those of other paths that mostly are links."""
     mass: dict[int, int] = defaultdict(int)
+    leading: dict[str, int] = defaultdict(int)
     depth: dict[int, int] = {}
     for b, c in zip(blocks, chosen, strict=True):
         if c:
             line = list(stack_of(b.holder))
+            leading[b.holder.path] += len(b.text)
             for d, e in enumerate(reversed(line)):
                 mass[id(e)] += len(b.text)
                 depth[id(e)] = d
-    total = max(mass.values())
-    holder = max((k for k in mass if mass[k] >= HOLDS * total), key=lambda k: depth[k])
+    lead = max(leading, key=leading.__getitem__)
+    first, *others = [b.holder for b, c in zip(blocks, chosen, strict=True) if c and b.holder.path == lead]
+    above = list(stack_of(first))
+    common = {id(e) for e in above}
+    for other in {id(e): e for e in others}.values():
+        common &= {id(e) for e in stack_of(other)}
+    if all(e.tag in ("", "html", "body") for e in above if id(e) in common):
+        # Blocks of one path all over the page: the chosen ones stay, most of them have a holder.
+        total = max(mass.values())
+        holder = max((k for k in mass if mass[k] >= HOLDS * total), key=lambda k: depth[k])
+        above = next(a for b, c in zip(blocks, chosen, strict=True) if c and holder in map(id, a := list(stack_of(b.holder))))
+    else:
+        holder = next(id(e) for e in above if id(e) in common)
     # An element that says it is the content holds it.
-    some = next(b.holder for b, c in zip(blocks, chosen, strict=True) if c and holder in map(id, stack_of(b.holder)))
-    above = list(stack_of(some))
     above = above[[id(e) for e in above].index(holder):]
-    holder = next((id(e) for e in above if e.tag in CONTENT), holder)
+    said = next((e for e in above if e.tag in CONTENT), None)
+    holder = id(said) if said else holder
     inner = [any(id(e) == holder for e in stack_of(b.holder)) for b in blocks]
-    # Headings right before it, in an element around it, are its own.
-    around = {id(e) for e in above}
-    for i in range(inner.index(True) - 1, -1, -1):
-        if not blocks[i].heading or id(blocks[i].holder.parent) not in around:
-            break
-        inner[i] = True
     if sum(inner) == 1:  # one block: its siblings belong to it
         own = next(b for b, i in zip(blocks, inner, strict=True) if i).holder
         near = own.parent
@@ -349,10 +356,16 @@ def _fuse(blocks: list[Block], chosen: list[bool]) -> list[bool]:
         if near is not None and (near.content or near.tag in ("div", "section")):
             inner = [any(e is near for e in stack_of(b.holder)) for b in blocks]
     paths = {b.holder.path for b, c in zip(blocks, chosen, strict=True) if c}
-    return [
+    out = [
         i and (b.holder.path in paths or b.heading or b.holder.content or 2 * b.linked < len(b.text))
-        for b, i in zip(blocks, inner, strict=True)
+        or c and (said is None or b.holder.content)
+        for b, i, c in zip(blocks, inner, chosen, strict=True)
     ]
+    # Headings right before a block, in an element around it, are its own.
+    for i in range(len(blocks) - 2, -1, -1):
+        if out[i + 1] and not out[i] and blocks[i].heading:
+            out[i] = any(e is blocks[i].holder.parent for e in stack_of(blocks[i + 1].holder))
+    return out
 
 
 def main_text(page: str | None) -> str:
