@@ -35,10 +35,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; documents without an id stay."""
-    groups = simhash.simhash_groups(docs, Scratch(spark))
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near texts, that of the smallest id. Rows without an id stay
+    only where no document of their group has one, one of them; of equal rows one stays."""
+    return simhash.one_per_group(docs, Scratch(spark))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -136,3 +136,18 @@ def test_stages_on_odd_documents(spark, odd_documents, place):
             assert kept.schema.simpleString() == docs.schema.simpleString()
         assert kept.count() > 0
         assert stage.put(step(spark, docs.limit(0), DIR), "none").count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    from conftest import sentence
+
+    a, b, c, d = (sentence(k, 200) for k in (31, 32, 33, 34))
+    near = a.upper()  # of the same fingerprint
+    rows = [(3, a), (3, a), (3, near), (7, a), (None, a), (None, b), (None, b), (None, None), (4, ""),
+            (3, c), (5, d), (5, d), (5, d), (None, near)]
+    docs = spark.createDataFrame([(k, t, "xx", f"s{i % 2}", 1) for i, (k, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, DIR).collect()]
+    rest = sorted(((k, t) for k, t in got if t not in (a, near)), key=repr)
+    assert rest == sorted([(None, b), (4, ""), (3, c), (5, d)], key=repr)
+    assert [k for k, t in got if t in (a, near)] == [3]

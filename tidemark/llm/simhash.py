@@ -53,21 +53,30 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint of each row as a signed long."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", text_hash: bool = False) -> DataFrame:
+    """``doc_id, fp``: the fingerprint of each row as a signed long; with ``text_hash`` also
+    ``text_hash``."""
+    held = ["text_hash"] if text_hash else []
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"),
+        *[hash_of(text).alias(c) for c in held],
     )
 
     def add(batches):
         for batch in batches:
             values = np.array([fingerprint(x.as_py()) for x in batch["text"]], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(values.view(np.int64))], names=["doc_id", "fp"]
+                [batch["doc_id"], pa.array(values.view(np.int64)), *[batch[c] for c in held]],
+                names=["doc_id", "fp", *held],
             )
 
-    return rows.mapInArrow(add, "doc_id long, fp long")
+    return rows.mapInArrow(add, ", ".join(f"{c} long" for c in ["doc_id", "fp", *held]))
+
+
+def hash_of(text: str = "text"):
+    """Tells the texts of one id apart; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
 def band_choices(classes: int, radius: int = RADIUS) -> list[int]:
@@ -187,3 +196,33 @@ def simhash_groups(
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
+
+
+def one_per_group(docs: DataFrame, stage: Staging, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` (with ``doc_id`` and ``text``), one of each group of near texts: that of
+    the smallest id, one without an id only if none has one; of several texts of that id in the
+    group, or of equal rows, one. Texts that are not near stay, also under one id."""
+    rows = stage.put(
+        fingerprints(docs, text_hash=True).groupBy("doc_id", "fp", "text_hash").agg(F.count("*").alias("n")),
+        "fingerprints",
+    )
+    classes = stage.put(rows.select("fp").distinct().select("fp", F.col("fp").alias("rep")), "classes")
+    groups = components(stage.put(near_links(classes, classes.count(), radius), "links"), stage)
+    named = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
+        "fp", F.coalesce("component", "rep").alias("component")
+    )
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "n"))
+    chosen = stage.put(
+        rows.join(named, "fp").groupBy("component").agg(best.alias("best"))
+        .select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_hash"), F.col("best.n").alias("_n")),
+        "chosen",
+    )
+
+    def pick(which: DataFrame) -> DataFrame:
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (hash_of() == F.col("_hash"))
+        return docs.join(which, same, "left_semi")
+
+    equal = pick(chosen.where("_n > 1")).groupBy("doc_id", hash_of().alias("_hash")).agg(
+        F.min(F.struct(*docs.columns)).alias("row")
+    )
+    return pick(chosen.where("_n = 1")).unionByName(equal.select("row.*")).select(*docs.columns)
