@@ -13,7 +13,8 @@ from tidemark.llm import langcrf, ledger, packing, simhash, suffixes
 from tidemark.llm.registry import public_vocabulary, table
 from tidemark.llm.scratch import Scratch
 
-#: A document whose best language has less than this part of its words has none.
+#: A document whose words have less than this posterior for their own best language, in the mean, has
+#: none. Several languages in one text do not lower it.
 LEAST_SCORE = 0.4
 
 
@@ -23,8 +24,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langcrf.learn_from(docs)
     if model is None:
         return docs
-    rows = langcrf.label_documents(docs, model, carry=tuple(docs.columns))
-    known = (F.col("lang_pred") != langcrf.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    rows = langcrf.label_documents(docs, model, carry=tuple(docs.columns), certainty=True)
+    known = (F.col("lang_pred") != langcrf.UNKNOWN) & (F.col("certainty") >= LEAST_SCORE)
     return rows.where(known).select(*[F.col("carried")[c].alias(c) for c in docs.columns])
 
 

@@ -34,6 +34,28 @@ def test_policies_and_ablation(spark):
     assert len({r.bit for r in ledger.RULES}) == len(ledger.RULES)
 
 
+def test_short_words_of_other_scripts(spark):
+    han = " ".join("我 今天 去 了 北京 的 大 学 和 朋友 们 一起 学习 中文 很 有 意思 老师 也 非常 好".split())
+    kana = "私 は 昨日 東京 に 行き まし た そして 友人 と 会い 美味しい 寿司 を 食べ て から 家 に 帰り まし た"
+    rows = [(1, han), (2, kana), (3, " ".join("abcdefghijklmnopqrstuvwxyz")), (4, "a b c 我 " + " ".join("defghijklmnopqrstuv"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.kept for r in ledger.apply_policy(ledger.ledger(df), ledger.STANDARD).collect()}
+    assert kept == {1: True, 2: True, 3: False, 4: False}
+
+
+def test_texts_of_several_languages_stay(spark):
+    import corpus_pipeline
+
+    rows = language_rows()
+    mixed = " ".join(rows[k][1] for k in range(3))
+    odd = [(900, mixed, None, "s", 1), (901, "12 34 --", None, "s", 1), (902, None, None, "s", 1)]
+    df = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string, n_chars long")
+    score = {r.doc_id: r.score for r in langcrf.label_documents(df, langcrf.learn_from(df)).collect()}
+    assert score[900] < corpus_pipeline.LEAST_SCORE
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, df, "").collect()}
+    assert kept == {k for k, *_ in rows} | {900}
+
+
 def test_empty_ledger(no_documents):
     assert ledger.ledger(no_documents).collect() == []
     assert ledger.ablation(ledger.ledger(no_documents), ledger.STANDARD).collect() == []

@@ -264,9 +264,10 @@ class _Reader:
 
 def label_documents(
     docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text",
-    carry: tuple[str, ...] = (),
+    carry: tuple[str, ...] = (), certainty: bool = False,
 ) -> DataFrame:
-    """``doc_id, lang_pred, score, spans, carried``: spans are the stretches of one language among
+    """``doc_id, lang_pred, score, spans, carried``; with ``certainty`` also that column, the mean over
+    the words of their best posterior, which a text of several languages has too. Spans are the stretches of one language among
     the words with letters, each as language, first such word and number; carried is a struct of
     the columns named in ``carry``."""
     along = F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in carry])
@@ -275,18 +276,20 @@ def label_documents(
     spans = "array<struct<lang:string,first:long,words:long>>"
     schema = (
         f"doc_id long, lang_pred string, score double, spans {spans},"
-        f" carried {rows.schema['carried'].dataType.simpleString()}"
+        f" carried {rows.schema['carried'].dataType.simpleString()}" + ", certainty double" * certainty
     )
     if model is None:
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
-                           F.lit(None).cast(spans).alias("spans"), "carried")
+                           F.lit(None).cast(spans).alias("spans"), "carried",
+                           *[F.lit(0.0).alias("certainty")] * certainty)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES rows of weights
 
     def label(batches):
         reader = _Reader(sent.value)
         for batch in batches:
             for part in sub_batches(batch, most=1 << 20):
-                yield _label_part(part, reader)
+                rows = _label_part(part, reader)
+                yield rows if certainty else rows.select(rows.schema.names[:-1])
 
     return rows.mapInArrow(label, schema)
 
@@ -299,7 +302,7 @@ def _label_part(part: pa.RecordBatch, reader: _Reader) -> pa.RecordBatch:
     known = reader.rows(coded.dictionary.to_pylist())
     word = known[coded.indices.to_numpy()] if len(known) else np.empty(0, np.int64)
     owner, word = owner[word >= 0], word[word >= 0]
-    pred, score = np.full(n, -1), np.zeros(n)
+    pred, score, certain = np.full(n, -1), np.zeros(n), np.zeros(n)
     spans: list[list] = [[] for _ in range(n)]
     if len(word):
         first = np.ones(len(word), bool)
@@ -310,6 +313,7 @@ def _label_part(part: pa.RecordBatch, reader: _Reader) -> pa.RecordBatch:
         at = owner[starts]
         pred[at] = mass.argmax(axis=1)
         score[at] = mass.max(axis=1) / mass.sum(axis=1)
+        certain[at] = np.add.reduceat(p.max(axis=1), starts) / np.diff(np.append(starts, len(p)))
         best = p.argmax(axis=1)
         new = first.copy()
         new[1:] |= best[1:] != best[:-1]
@@ -324,8 +328,8 @@ def _label_part(part: pa.RecordBatch, reader: _Reader) -> pa.RecordBatch:
     listed = pa.array([[{"lang": a, "first": b, "words": c} for a, b, c in s] for s in spans], kind)
     return pa.RecordBatch.from_arrays(
         [part["doc_id"], pa.array(names[pred], pa.string()), pa.array(np.minimum(score, 1.0)), listed,
-         part["carried"]],
-        names=["doc_id", "lang_pred", "score", "spans", "carried"],
+         part["carried"], pa.array(np.minimum(certain, 1.0))],
+        names=["doc_id", "lang_pred", "score", "spans", "carried", "certainty"],
     )
 
 

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
+#: Letters of scripts that write words with few of them, or without blanks.
+WIDE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 WINDOW = 8
 
 
@@ -39,7 +41,7 @@ RULES = (
     Rule(1, "repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     Rule(2, "symbols", "5 * n_symbols > n_words"),
     Rule(3, "repeated_lines", "2 * n_dup_lines > n_lines"),
-    Rule(4, "short_words", "2 * word_chars < 5 * n_words"),
+    Rule(4, "short_words", "2 * word_chars < 5 * n_words AND 2 * n_wide < word_chars"),
     Rule(5, "long_words", "word_chars > 40 * n_words"),
 )
 
@@ -58,7 +60,7 @@ class Policy:
 
 BASE = Policy("base", 1, ("few_words", "repeated_windows"))
 STANDARD = Policy("standard", 1, tuple(r.name for r in RULES))
-MEASUREMENTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+MEASUREMENTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_wide")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -97,7 +99,7 @@ def _covered(hashes: Column) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the measurements, all long."""
+    """``docs`` with the measurements, all long; ``n_wide`` is counted where words are short."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     out = docs.drop(*[c for c in docs.columns if c.lower() in {*MEASUREMENTS, "_word_facts", "_line_facts"}])
     facts = _let(F.filter(F.split(body, f"{SPACE}+"), lambda w: w != ""), _word_facts)
@@ -119,9 +121,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     flat = {"n_words": "_word_facts", "n_repeat_words": "_word_facts",
             "n_lines": "_line_facts", "n_dup_lines": "_line_facts"}
-    return out.withColumns({c: F.col(f"{f}.{c}").cast("long") for c, f in flat.items()}).drop(
+    out = out.withColumns({c: F.col(f"{f}.{c}").cast("long") for c, f in flat.items()}).drop(
         "_word_facts", "_line_facts"
     )
+    # Only short words need it: zero elsewhere.
+    short = F.expr("2 * word_chars < 5 * n_words")
+    return out.withColumn("n_wide", F.when(short, F.regexp_count(body, F.lit(WIDE))).otherwise(0).cast("long"))
 
 
 def _word_facts(words: Column) -> Column:
