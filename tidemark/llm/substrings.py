@@ -1,12 +1,11 @@
-"""Exact substring dedup on words by seed and extend.
+"""Exact substring dedup on words by shared seeds and hashed windows.
 
 A document loses every word of a 20-word window whose words also start earlier: in a document with
 a smaller id, or before it in the same one. Seeds are winnowed anchors of six words that two texts
-share, or one text twice. Around a seed a match is extended word by word, left and right, as
-far as a window of 20 words can reach from it; a longer repeat holds further seeds, and
-their extensions join to the maximal repeat. Extension goes to all partners at once: the windows
-around a seed are named by a 96-bit hash of their words, and those of one name find their earliest.
-Pairs of documents are never listed, however many share a passage.
+share, or one text twice. Documents are not joined on seeds and no match is extended word by word:
+that would list the pairs of documents that share a passage, the square of its number. Instead every
+window of 20 words that holds a seed is named by a 96-bit hash of its words, and those of one name find
+their earliest. A longer repeat holds further seeds; a maximal repeat is the union of its marked windows.
 
 Defined cases: a null text has no words; a null id matches nothing and loses nothing; of equal
 texts the smallest id is the earliest; windows of two rows with the same id and start are equally
