@@ -5,19 +5,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from llm_helpers import sentence  # noqa: E402
+
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, h1 string, copy int,"
     " n_words string, carried int, marks string, fp string, kept int, failures string"
 )
 
 
-def sentence(seed, n, vocabulary=400):
-    import numpy as np
-
-    rng = np.random.default_rng(seed)
-    return " ".join(f"w{x}" + "." * (x % 7 == 0) for x in rng.integers(0, vocabulary, n).tolist())
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """(id, text): nulls, empties, ties, repeats, near copies, shared passages, a long text."""

@@ -139,7 +139,7 @@ def test_stages_on_odd_documents(spark, odd_documents, place):
 
 
 def test_one_row_of_each_group_stays(spark):
-    from conftest import sentence
+    from llm_helpers import sentence
 
     a, b, c, d = (sentence(k, 200) for k in (31, 32, 33, 34))
     near = a.upper()  # of the same fingerprint
