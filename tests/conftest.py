@@ -4,7 +4,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+for folder in (Path(__file__).resolve().parent, Path(__file__).resolve().parent.parent):
+    sys.path.insert(0, str(folder))
 
 
 @pytest.fixture(scope="session")
@@ -26,13 +27,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, for order-free comparison."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 """Bucket tables: what a write touches, and what it leaves alone."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tidemark.sources.buckets import BUCKET, WRITE, BucketTable
 

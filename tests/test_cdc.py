@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 
 from tidemark import names as n
 from tidemark.operators.cdc import (

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tidemark import names as n
 from tidemark.operators.quality import Rule

@@ -1,4 +1,4 @@
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tidemark import names as n

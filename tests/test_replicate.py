@@ -1,7 +1,7 @@
 """Replication over several runs: what a run leaves behind, schema changes, failures."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tidemark import names as n
 from tidemark.functions.schema import align_target_to_source, is_lossless

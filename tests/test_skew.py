@@ -1,6 +1,6 @@
 """Joins in which one key, or no key, holds a third of all rows."""
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidemark import names as n
