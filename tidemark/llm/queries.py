@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_paths, langcrf, ledger, packing, pieces, simhash, substrings, suffixes, token_files, vectors
+from tidemark.llm import charmarkov, html_paths, langcrf, ledger, packing, pieces, simhash, substrings, suffixes, token_files, vectors
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
 from tidemark.llm.scratch import Scratch
 
@@ -48,6 +48,90 @@ FROM f
 """
 
 
+#: The chains learn from all documents here: the given tables hold fewer than ``SAMPLE_DOCS``.
+SECRETS_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+patterns AS (
+  SELECT * FROM (VALUES
+    (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+    (1, 'access', 'AKIA[A-Z0-9]{14,}'), (2, 'hex', '[0-9a-f]{16,}'),
+    (3, 'random', '[A-Za-z0-9+/_=-]{16,}')) t(kind, name, pattern)),
+parts AS (
+  SELECT doc_id, kind, unnest(regexp_extract_all(body, pattern)) AS m,
+         unnest(regexp_split_to_array(body, pattern)[:-2]) AS gap,
+         unnest(range(len(regexp_extract_all(body, pattern)))) AS i
+  FROM docs, patterns WHERE regexp_matches(body, pattern)),
+located AS (
+  SELECT doc_id, kind, m,
+         sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop
+  FROM parts),
+matches AS (
+  SELECT doc_id, kind, (stop - length(m))::BIGINT AS start, stop::BIGINT AS stop, m FROM located),
+base AS (
+  SELECT * FROM matches JOIN patterns USING (kind)
+  WHERE kind IN (1, 2) OR kind = 0 AND length(regexp_extract(m, pattern, 1)) >= 12),
+words AS (
+  SELECT true AS random, unnest(regexp_extract_all(CASE WHEN kind = 0 THEN regexp_extract(m, pattern, 1) ELSE m END,
+                                                   '[A-Za-z0-9+/_=-]+')) AS w FROM base
+  UNION ALL
+  SELECT false, unnest(regexp_extract_all(CASE WHEN doc_id IN (SELECT doc_id FROM base) THEN regexp_replace(body,
+    '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)|AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}',
+    ' ', 'g') ELSE body END, '[A-Za-z0-9+/_=-]+')) FROM docs
+  UNION ALL
+  SELECT true, to_base64(unhex(sha256(i::VARCHAR))) FROM range(1000) t(i)),
+marked AS (SELECT random, ' ' || w || ' ' AS w, count(*) AS n FROM words GROUP BY ALL),
+pairs AS (
+  SELECT random, n, ascii(w[i]) AS p, ascii(w[i + 1]) AS c
+  FROM (SELECT *, unnest(range(1, length(w))) AS i FROM marked)),
+seen AS (
+  SELECT p, c, coalesce(sum(n) FILTER (random), 0) AS r, coalesce(sum(n) FILTER (NOT random), 0) AS o
+  FROM pairs GROUP BY p, c),
+letters AS (
+  SELECT *, CASE WHEN p BETWEEN 97 AND 122 THEN p - 32 ELSE p END AS pu,
+         CASE WHEN c BETWEEN 97 AND 122 THEN c - 32 ELSE c END AS cu,
+         p BETWEEN 97 AND 122 OR p BETWEEN 65 AND 90 AS pl,
+         c BETWEEN 97 AND 122 OR c BETWEEN 65 AND 90 AS cl FROM seen WHERE o > 0),
+joints AS (SELECT unnest([45, 47, 95]) AS j),
+made AS (
+  SELECT p, c, 0 AS r, 8 * o AS o FROM letters
+  UNION ALL SELECT pu, cu, 0, o FROM letters WHERE pl AND cl
+  UNION ALL SELECT p, cu, 0, o FROM letters WHERE pl AND cl
+  UNION ALL SELECT j, c, 0, o FROM letters, (FROM joints UNION ALL SELECT 32) WHERE p = 32 AND cl
+  UNION ALL SELECT j, cu, 0, o FROM letters, (FROM joints UNION ALL SELECT 32) WHERE p = 32 AND cl
+  UNION ALL SELECT p, j, 0, o FROM letters, joints WHERE pl AND c = 32
+  UNION ALL SELECT pu, j, 0, o FROM letters, joints WHERE pl AND c = 32
+  UNION ALL SELECT p, c, r, 0 FROM seen
+  UNION ALL SELECT a.range, b.range, 0, 0 FROM range(128) a, range(128) b),
+counts AS (SELECT p, c, sum(r)::DOUBLE AS r, sum(o)::DOUBLE AS o FROM made GROUP BY p, c),
+totals AS (SELECT p, sum(r) AS rs, sum(o) AS os FROM counts GROUP BY p),
+weights AS (
+  SELECT p, c, round(1024 * (ln((r + 1) / (rs + 68)) - ln((o + 1) / (os + 68))))::BIGINT AS weight
+  FROM counts JOIN totals USING (p)),
+candidates AS (
+  SELECT * FROM matches x WHERE kind = 3 AND NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.start < x.stop AND x.start < b.stop)),
+scored AS (
+  SELECT m, sum(weight) AS s
+  FROM (SELECT m, w, unnest(range(1, length(w))) AS i FROM (SELECT DISTINCT m, ' ' || m || ' ' AS w FROM candidates)) x
+  JOIN weights ON p = ascii(w[i]) AND c = ascii(w[i + 1]) GROUP BY m),
+spans AS (
+  SELECT doc_id, kind, start, name || ':' || start || ':' || stop AS span FROM base
+  UNION ALL
+  SELECT doc_id, 3, start, 'random:' || start || ':' || stop FROM candidates JOIN scored USING (m)
+  WHERE s > 14147),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+         count(*) FILTER (kind = 2) AS n_hex,
+         coalesce(string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3), '') AS base,
+         string_agg(span, ',' ORDER BY start, kind) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (doc_id)
+"""
+
+
 @query("op8_quality_rules", QUALITY_SQL)
 def quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,3 +201,14 @@ def suffix_array_dedup(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op11_secrets", SECRETS_SQL)
+def secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = charmarkov.find(docs, charmarkov.learn(charmarkov.labelled(docs)))
+    counts = [charmarkov.count_of(F.col("base"), k).alias(f"n_{k}") for k in charmarkov.KINDS[:3]]
+    return rows.select(
+        "doc_id", *counts, F.sha2(charmarkov.told(F.col("base")), 256).alias("base_sha256"),
+        charmarkov.told(F.col("spans")).alias("spans"),
+    )
