@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import charmarkov, html_paths, langcrf, ledger, packing, pieces, simhash, substrings, suffixes, token_files, vectors
+from tidemark.llm import charmarkov, html_paths, langcrf, ledger, packing, pieces, simhash, substrings, suffixes, token_files, vectors, zones
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
 from tidemark.llm.scratch import Scratch
 
@@ -212,3 +212,33 @@ def secrets(spark, sf_dir):
         "doc_id", *counts, F.sha2(charmarkov.told(F.col("base")), 256).alias("base_sha256"),
         charmarkov.told(F.col("spans")).alias("spans"),
     )
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+ranked AS (
+  SELECT p.*, s.other AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other)::INTEGER AS rank
+  FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT s.same
+   AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op13_negatives", NEGATIVES_SQL)
+def hard_negatives(spark, sf_dir):
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return zones.hard_negatives(table(spark, sf_dir, "embeddings"), Scratch(spark), F.col("vec_id") % 100 == 0, shifted)
