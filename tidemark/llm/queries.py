@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import charmarkov, html_paths, langcrf, ledger, packing, pieces, simhash, substrings, suffixes, token_files, vectors, zones
+from tidemark.llm import charmarkov, html_paths, langcrf, ledger, packing, pieces, simhash, substrings, suffixes, token_files, turns, vectors, zones
 from tidemark.llm.registry import QUERIES, SQL, folder, public_vocabulary, query, table
 from tidemark.llm.scratch import Scratch
 
@@ -242,3 +242,23 @@ def hard_negatives(spark, sf_dir):
     label = F.col("label").cast("long")
     shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
     return zones.hard_negatives(table(spark, sf_dir, "embeddings"), Scratch(spark), F.col("vec_id") % 100 == 0, shifted)
+
+
+def damaged(rows):
+    """Conversations with faults put in by the checksum of conversation and turn: one row in twenty
+    each is dropped, emptied, loses its stops, is repeated, or becomes the user's."""
+    name = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(c) for c in ("conv_id", ":", "turn")])
+    kind = F.crc32(name.cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    role = F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" ")))
+    copies = F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select(
+        "conv_id", "turn", role.alias("role"), text.alias("text"), (kind == 0).alias("dropped"), copies.alias("copy")
+    ).drop("copy")
+
+
+@query("op12_conversations")
+def conversations(spark, sf_dir):
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return turns.repair(rows, Scratch(spark), F.col("dropped"))
