@@ -22,10 +22,12 @@ from tidemark.operators.quality import Rule
 from tidemark.plans.balancing import refresh_or_keep
 from tidemark.plans.housekeeping import housekeeping
 from tidemark.plans.jobspec import JobSpec
-from tidemark.plans.refine import refine
+from tidemark.plans.insurance import claim_detail_delta
+from tidemark.plans.refine import refine, refine_job
 from tidemark.plans.replicate import replicate
 from tidemark.plans.validate import validate_table
 from tidemark.plans.warehouse import Warehouse
+from tidemark.session import Staging
 from tidemark.sources import deliveries
 from tidemark.sources.snapshot import SnapshotTable
 
@@ -150,6 +152,84 @@ def q_refine(t):
     )
 
 
+# Claims and policies as three runs leave them: claims appear, change and go, policies appear, change
+# and are deleted (a deleted policy still joins, with its new status).
+DELTA_POLICY = """
+SELECT c_custkey AS id, c_name AS policynumber,
+       CASE WHEN {run} >= 2 AND c_custkey % 7 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS policytype,
+       CASE WHEN {run} >= 3 AND c_custkey % 11 = 0 THEN 'gone' ELSE 'live' END AS status,
+       CASE WHEN {run} >= 3 AND c_custkey % 11 = 0 THEN 'Y' ELSE 'N' END AS Soft_Delete,
+       CASE WHEN {run} >= 3 AND c_custkey % 11 = 0 THEN 3
+            WHEN {run} >= 2 AND (c_custkey % 7 = 0 OR c_custkey % 13 = 0) THEN 2 ELSE 1 END AS CYC_RUN_SK,
+       CAST({run} AS STRING) AS GW_TIMESTAMP
+FROM {{customer}} WHERE {run} >= 2 OR c_custkey % 13 <> 0"""
+DELTA_CLAIM = """
+SELECT o_orderkey AS id, o_custkey AS policyid,
+       CASE WHEN {run} >= 2 AND o_orderkey % 9 = 0 THEN 'X' ELSE o_orderstatus END AS state,
+       CASE WHEN {run} >= 3 AND o_orderkey % 17 = 0 THEN 'Y' ELSE 'N' END AS Soft_Delete,
+       CASE WHEN {run} >= 3 AND o_orderkey % 17 = 0 THEN 3
+            WHEN {run} >= 2 AND (o_orderkey % 9 = 0 OR o_orderkey % 5 = 0) THEN 2 ELSE 1 END AS CYC_RUN_SK,
+       '1000' AS GW_TIMESTAMP
+FROM {{orders}} WHERE {run} >= 2 OR o_orderkey % 5 <> 0"""
+DELTA_JOB = JobSpec(
+    1, "delta_detail", ("id",), "detail_sk", "delta_claim", ("id",),
+    "SELECT c.id, c.policyid, c.state, p.policytype, p.status, c.GW_TIMESTAMP "
+    "FROM @catalog.@src_schema.delta_claim c LEFT JOIN @catalog.@src_schema.delta_policy p "
+    "ON c.policyid = p.id WHERE c.Soft_Delete = 'N'",
+    lookups=(("delta_policy", "policyid", "id"),),
+)
+
+
+def _joined(run: int) -> str:
+    claims, policies = (portable(x.format(run=run)) for x in (DELTA_CLAIM, DELTA_POLICY))
+    return f"""SELECT c.id, c.policyid, c.state, p.policytype, p.status, {run} AS r, c.Soft_Delete
+FROM ({claims}) c LEFT JOIN ({policies}) p ON c.policyid = p.id"""
+
+
+@query(
+    "refine_delta",
+    f"""WITH every AS ({" UNION ALL ".join(_joined(r) for r in (1, 2, 3))}),
+gone AS (SELECT id FROM every WHERE Soft_Delete = 'Y'),
+seen AS (SELECT *, lag(r) OVER w AS before,
+    lag(state) OVER w IS DISTINCT FROM state OR lag(policytype) OVER w IS DISTINCT FROM policytype
+    OR lag(status) OVER w IS DISTINCT FROM status AS changed
+  FROM every WHERE Soft_Delete = 'N' WINDOW w AS (PARTITION BY id ORDER BY r)),
+versions AS (SELECT *, lead(r) OVER (PARTITION BY id ORDER BY r) AS next FROM seen
+  WHERE before IS NULL OR changed)
+SELECT id, policyid, state, policytype, status, CAST(r AS VARCHAR) AS ins_run,
+       CASE WHEN next IS NULL AND id NOT IN (SELECT id FROM gone) THEN 'Y' ELSE 'N' END AS flag,
+       CAST(coalesce(next, CASE WHEN id IN (SELECT id FROM gone) THEN 3 ELSE r END) AS VARCHAR) AS last_run
+FROM versions""",
+)
+def q_refine_delta(t):
+    """Three runs of a job; the second and third take only the rows that changes can have touched."""
+    wh = Warehouse(t.spark, t.scratch("warehouse"))
+    for run in (1, 2, 3):
+        wh.replica("delta_claim").write(t.sql(DELTA_CLAIM.format(run=run)))
+        wh.replica("delta_policy").write(t.sql(DELTA_POLICY.format(run=run)))
+        wh.publish_replicas(["delta_claim", "delta_policy"])
+        refine_job(wh, DELTA_JOB, run, f"2024-0{run}-01 00:00:00", previous_run=run - 1)
+    return wh.refined("delta_detail").read().select(
+        "id", "policyid", "state", "policytype", "status", F.col(n.INSERT_RUN).alias("ins_run"),
+        F.col(n.ACTIVE).alias("flag"), F.col(n.LAST_RUN).alias("last_run"),
+    )
+
+
+@query(
+    "claim_detail_delta",
+    f"""WITH claim AS ({portable(DELTA_CLAIM.format(run=3))}), policy AS ({portable(DELTA_POLICY.format(run=3))})
+SELECT c.id, c.policyid, c.state AS lossstate, p.policynumber, p.policytype, p.status AS policy_status
+FROM claim c LEFT JOIN policy p ON c.policyid = p.id
+WHERE c.Soft_Delete = 'N' AND (c.CYC_RUN_SK > 1 OR c.policyid IN (SELECT id FROM policy WHERE CYC_RUN_SK > 1))""",
+)
+def q_claim_detail_delta(t):
+    """Rows of the detail table that the changes of runs 2 and 3 touch, on either side of the join."""
+    claims = t.stored(t.sql(DELTA_CLAIM.format(run=3)), "claims")
+    policies = t.stored(t.sql(DELTA_POLICY.format(run=3)), "policies")
+    rows = claim_detail_delta(claims, policies, 1, Staging(t.spark))
+    return rows.select("id", "policyid", "lossstate", "policynumber", "policytype", "policy_status")
+
+
 @query(
     "history_read",
     f"""WITH a AS ({portable(FIRST)}), b AS ({portable(SECOND)})

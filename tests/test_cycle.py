@@ -38,6 +38,7 @@ DETAIL = JobSpec(
         "policyid": ("d", "policyid"), "lossstate": ("d", "state"),
         "policynumber": ("j", "policynumber"), "premium": ("j", "premium"),
     }),
+    lookups=(("cc_policy", "policyid", "id"),),
 )
 FINANCIAL = JobSpec(
     2, "claim_financial", ("id",), "claim_financial_sk", "cc_transaction", ("id",),
@@ -46,6 +47,7 @@ FINANCIAL = JobSpec(
         "amount": ("d", "amount"), "costtype": ("d", "costtype"),
         "costcategory": ("d", "costcategory"), "claimnumber": ("j", "claimnumber"),
     }),
+    lookups=(("cc_claim", "claimid", "id"),),
 )
 
 

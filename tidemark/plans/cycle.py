@@ -13,7 +13,7 @@ from tidemark.plans.housekeeping import housekeeping
 from tidemark.plans.ingest import REPLICA_STEP, ingest
 from tidemark.plans.jobspec import JobSpec
 from tidemark.plans.parallel import for_each
-from tidemark.plans.refine import refine
+from tidemark.plans.refine import refine_job
 from tidemark.plans.replicate import failed_job, replicate, waiting_tables
 from tidemark.plans.validate import validate_table
 from tidemark.plans.warehouse import Warehouse
@@ -78,7 +78,7 @@ def run_cycle(
     wh.publish_replicas(every)
     result.refined = for_each(
         wh.spark,
-        lambda spec: refine(wh, spec, spec.rows(wh.spark), run_sk, run_ts, previous_run),
+        lambda spec: refine_job(wh, spec, run_sk, run_ts, previous_run),
         specs,
         workers,
     )

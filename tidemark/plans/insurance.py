@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.functions.columns import named
+from tidemark.operators.delta import Reference, affected_rows, referred_rows
 from tidemark.operators.skew import skew_left_join
+from tidemark.session import Staging
 
 DELIVERY_COLUMNS = ("cyc_run_sk", "Soft_Delete", "GW_FINGERPRINT", "GW_TIMESTAMP", "ABC_AUDIT_DATE_TIME")
 
@@ -113,3 +115,23 @@ def claim_financial(transactions: DataFrame, claims: DataFrame, salts: int = 0)
     return enrich(
         transactions, claims, "claimid", FINANCIAL_FROM_TRANSACTION, FINANCIAL_FROM_CLAIM, salts=salts
     )
+
+
+def _delta(driving: DataFrame, lookup: DataFrame, foreign_key: str, previous_run: int, staging: Staging):
+    reference = Reference(lookup, foreign_key)
+    rows = staging.put(affected_rows(driving, [reference], previous_run, staging), "affected")
+    return rows, referred_rows(rows, reference, staging)
+
+
+def claim_detail_delta(
+    claims: DataFrame, policies: DataFrame, previous_run: int, staging: Staging, salts: int = 0
+) -> DataFrame:
+    """Rows of ``claim_detail`` that changes of claims or policies since ``previous_run`` touch."""
+    return claim_detail(*_delta(claims, policies, "policyid", previous_run, staging), salts=salts)
+
+
+def claim_financial_delta(
+    transactions: DataFrame, claims: DataFrame, previous_run: int, staging: Staging, salts: int = 0
+) -> DataFrame:
+    """Rows of ``claim_financial`` that changes of transactions or claims since ``previous_run`` touch."""
+    return claim_financial(*_delta(transactions, claims, "claimid", previous_run, staging), salts=salts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,8 @@ PARAMETERS = (
     "Driving_Table",
     "Driving_Table_PK",
 )
+#: Own parameter: tables the driving rows refer to, as table:foreign_key:key, comma-separated.
+LOOKUPS = "Lookup_Tables"
 
 
 def job_parameters(jobs: DataFrame, parameters: DataFrame) -> DataFrame:
@@ -32,7 +36,7 @@ def job_parameters(jobs: DataFrame, parameters: DataFrame) -> DataFrame:
     return mine.groupBy("job_sk", "tgt_file_tbl").agg(
         *[
             F.first(F.when(F.col("parm_nm") == p, F.col("parm_val")), ignorenulls=True).alias(p.lower())
-            for p in PARAMETERS
+            for p in (*PARAMETERS, LOOKUPS)
         ],
         F.concat_ws(" ", F.transform(parts, lambda x: x["v"])).alias("tfm_query"),
     )
@@ -64,6 +68,9 @@ class JobSpec:
     query: str
     exclusions: tuple[str, ...] = n.DEFAULT_EXCLUSIONS
     order: tuple[str, ...] = (n.DELIVERY,)
+    #: (table, foreign key in the driving table, key) of each table that the query left-joins to the
+    #: driving table. With them a run needs the rows affected by changes only.
+    lookups: tuple[tuple[str, str, str], ...] = ()
 
     @classmethod
     def load(cls, jobs: DataFrame, parameters: DataFrame, job_sk: int) -> JobSpec:
@@ -81,6 +88,7 @@ class JobSpec:
             driving_keys=_list(row["driving_table_pk"]),
             query=row["tfm_query"],
             exclusions=_list(row["scdexclusions"]),
+            lookups=tuple(tuple(part.split(":")) for part in _list(row[LOOKUPS.lower()])),
         )
 
     def rows(
@@ -88,3 +96,15 @@ class JobSpec:
     ) -> DataFrame:
         """Result of the job's query."""
         return spark.sql(render_sql(self.query, catalog, schema))
+
+    def rows_of(self, driving: DataFrame) -> DataFrame | None:
+        """Result of the job's query with ``driving`` in place of the driving table; None if the
+        query names that table more than once, so that it is joined with itself."""
+        name = re.compile(rf"(?:@catalog\.)?(?:@src_schema\.)?\b{re.escape(self.driving_table)}\b", re.IGNORECASE)
+        if len(name.findall(self.query)) != 1:
+            return None
+        view = f"{self.driving_table}_{uuid.uuid4().hex}"
+        driving.createOrReplaceTempView(view)
+        rows = driving.sparkSession.sql(render_sql(name.sub(view, self.query)))
+        driving.sparkSession.catalog.dropTempView(view)  # the analysed plan does not need the name
+        return rows

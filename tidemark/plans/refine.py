@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import names as n
 from tidemark.operators.control import job_metrics
 from tidemark.operators.dedup import unique_source
+from tidemark.operators.delta import Reference, affected_rows
 from tidemark.operators.scd2 import (
     classify,
     expire_gone,
@@ -81,6 +82,30 @@ def refine(
         return metrics
 
 
+def delta_source(wh: Warehouse, spec: JobSpec, previous_run: int, staging: Staging) -> DataFrame | None:
+    """Source rows of a job that changes since ``previous_run`` can have touched; None where only the
+    whole source will do: before the first load, for a job that does not name its lookups, or one
+    whose keys are not those of the driving table (several of its rows may make one)."""
+    own = {k.lower() for k in spec.driving_keys}
+    if not spec.lookups or not previous_run or not wh.refined(spec.target).exists() or own != {"id"}:
+        return None
+    driving = wh.replica(spec.driving_table).read()
+    references = [Reference(wh.replica(t).read(), fk, key) for t, fk, key in spec.lookups]
+    affected = affected_rows(driving, references, previous_run, staging)
+    return spec.rows_of(staging.put(affected, "affected"))
+
+
+def refine_job(
+    wh: Warehouse, spec: JobSpec, run_sk: int, run_ts, previous_run: int = 0, reactivate: bool = False
+) -> DataFrame:
+    """``refine`` over the job's own query: over the affected rows if the job tells its lookups, else
+    over all. Both give the same table. ``previous_run`` is the last good run of the job."""
+    with Staging(wh.spark) as staging:
+        rows = delta_source(wh, spec, previous_run, staging)
+        rows = spec.rows(wh.spark) if rows is None else rows
+        return refine(wh, spec, rows, run_sk, run_ts, previous_run, reactivate)
+
+
 def previous_versions(refined: DataFrame) -> DataFrame:
     """Closed versions, for audits."""
     return refined.filter(F.col(n.ACTIVE) == "N")
