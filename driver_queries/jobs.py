@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driver_queries.cdc import (
@@ -27,9 +30,10 @@ from tidemark.plans.refine import refine, refine_job
 from tidemark.plans.replicate import replicate
 from tidemark.plans.validate import validate_table
 from tidemark.plans.warehouse import Warehouse
-from tidemark.session import Staging
+from tidemark.session import Staging, hadoop_path
 from tidemark.sources import deliveries
 from tidemark.sources.snapshot import SnapshotTable
+from tidemark.streaming.replicate import replicate_stream
 
 TABLE = "cc_user"
 
@@ -70,6 +74,34 @@ def q_replicate(t):
     return wh.replica(TABLE).read().select(*STATE_COLUMNS)
 
 
+def _run_by_run() -> str:
+    """Runs 2 and 3 one after the other."""
+    parts, target = [CDC_CTE, INITIAL_CTE], "t0"
+    for run in (2, 3):
+        for fingerprint in FINGERPRINTS:
+            name, out = f"b{run}{fingerprint[0]}", f"t{run}{fingerprint[0]}"
+            parts.append(_batch_cte(name, fingerprint, run, run))
+            parts.append(_apply_cte(out, target, name, run))
+            target = out
+    return "WITH " + ",".join(parts) + f" SELECT {STATE} FROM {target}"
+
+
+@query("replicate_stream", _run_by_run())
+def q_replicate_stream(t):
+    """Three triggers of a stream, one per run. The checkpoint loses the end of the second, as when a
+    job dies between the table's commit and the stream's, so the third gives its deliveries out again."""
+    wh = Warehouse(t.spark, t.scratch("warehouse"))
+    applied = []
+    for run in (1, 2, 3):
+        _land(t, wh, run)
+        applied.append(replicate_stream(wh, TABLE, lambda batch: batch + 1, RUN_TS, "CC"))
+        if run == 2:
+            fs, commit = hadoop_path(t.spark, f"{wh.root}/streams/{TABLE}/commits/1")
+            assert fs.delete(commit, False)
+    assert applied == [[0], [1], [2]]
+    return wh.replica(TABLE).read().select(*STATE_COLUMNS)
+
+
 RULES = (
     Rule(1, "SELECT publicid FROM job_claim WHERE losstype = '1-URGENT' AND state = 'Closed'",
          "job_claim", "publicid", "urgent claims stay open"),
@@ -186,35 +218,60 @@ def _joined(run: int) -> str:
 FROM ({claims}) c LEFT JOIN ({policies}) p ON c.policyid = p.id"""
 
 
-@query(
-    "refine_delta",
-    f"""WITH every AS ({" UNION ALL ".join(_joined(r) for r in (1, 2, 3))}),
+DELTA_VERSIONS = f"""WITH every AS ({" UNION ALL ".join(_joined(r) for r in (1, 2, 3))}),
 gone AS (SELECT id FROM every WHERE Soft_Delete = 'Y'),
 seen AS (SELECT *, lag(r) OVER w AS before,
     lag(state) OVER w IS DISTINCT FROM state OR lag(policytype) OVER w IS DISTINCT FROM policytype
     OR lag(status) OVER w IS DISTINCT FROM status AS changed
   FROM every WHERE Soft_Delete = 'N' WINDOW w AS (PARTITION BY id ORDER BY r)),
 versions AS (SELECT *, lead(r) OVER (PARTITION BY id ORDER BY r) AS next FROM seen
-  WHERE before IS NULL OR changed)
+  WHERE before IS NULL OR changed)"""
+
+
+def _delta_runs(t: Tables):
+    """Three runs of a job; the second and third take only the rows that changes can have touched."""
+    wh, metrics = Warehouse(t.spark, t.scratch("warehouse")), []
+    for run in (1, 2, 3):
+        wh.replica("delta_claim").write(t.sql(DELTA_CLAIM.format(run=run)))
+        wh.replica("delta_policy").write(t.sql(DELTA_POLICY.format(run=run)))
+        wh.publish_replicas(["delta_claim", "delta_policy"])
+        done = refine_job(wh, DELTA_JOB, run, f"2024-0{run}-01 00:00:00", previous_run=run - 1)
+        metrics.append(done.withColumn("run", F.lit(run)))
+    return wh, metrics
+
+
+@query(
+    "refine_delta",
+    f"""{DELTA_VERSIONS}
 SELECT id, policyid, state, policytype, status, CAST(r AS VARCHAR) AS ins_run,
        CASE WHEN next IS NULL AND id NOT IN (SELECT id FROM gone) THEN 'Y' ELSE 'N' END AS flag,
        CAST(coalesce(next, CASE WHEN id IN (SELECT id FROM gone) THEN 3 ELSE r END) AS VARCHAR) AS last_run
 FROM versions""",
 )
 def q_refine_delta(t):
-    """Three runs of a job; the second and third take only the rows that changes can have touched."""
-    wh = Warehouse(t.spark, t.scratch("warehouse"))
-    for run in (1, 2, 3):
-        wh.replica("delta_claim").write(t.sql(DELTA_CLAIM.format(run=run)))
-        wh.replica("delta_policy").write(t.sql(DELTA_POLICY.format(run=run)))
-        wh.publish_replicas(["delta_claim", "delta_policy"])
-        refine_job(wh, DELTA_JOB, run, f"2024-0{run}-01 00:00:00", previous_run=run - 1)
+    wh, _ = _delta_runs(t)
     return wh.refined("delta_detail").read().select(
         "id", "policyid", "state", "policytype", "status", F.col(n.INSERT_RUN).alias("ins_run"),
         F.col(n.ACTIVE).alias("flag"), F.col(n.LAST_RUN).alias("last_run"),
     )
 
 
+@query(
+    "refine_metrics",
+    f"""{DELTA_VERSIONS}
+SELECT CAST(run AS INTEGER) AS run, i AS rows_read, i + u AS rows_loaded, i AS rows_inserted,
+       u AS rows_updated, 'S' AS status
+FROM (SELECT k.run, (SELECT count(*) FROM versions WHERE r = k.run) AS i,
+             (SELECT count(*) FROM versions WHERE next = k.run) AS u
+      FROM (SELECT unnest([1, 2, 3]) AS run) k) x""",
+)
+def q_refine_metrics(t):
+    """Metrics of the three runs, counted while the history was written."""
+    _, metrics = _delta_runs(t)
+    rows = reduce(DataFrame.unionByName, metrics)
+    return rows.select("run", "rows_read", "rows_loaded", "rows_inserted", "rows_updated", "status")
+
+
 @query(
     "claim_detail_delta",
     f"""WITH claim AS ({portable(DELTA_CLAIM.format(run=3))}), policy AS ({portable(DELTA_POLICY.format(run=3))})

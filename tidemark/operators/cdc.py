@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import names as n
@@ -100,22 +100,29 @@ def change_counts(changes: ChangeSet) -> DataFrame:
     )
 
 
-def loaded_counts(target: DataFrame, run_sk: int) -> DataFrame:
-    """One row of counts over the rows a run wrote.
+def load_counts(run_sk: int) -> dict[str, Column]:
+    """Counts over the rows a run wrote, as aggregates of the whole table or of a write.
 
     The plain inserted/updated counts include rows this run soft-deleted; the ``live``
     variants do not.
     """
-    live = F.col(n.SOFT_DELETE) == "N"
+    mine = F.col(n.RUN) == run_sk
+    live = mine & (F.col(n.SOFT_DELETE) == "N")
     inserted = F.col(n.OPERATION).isin(n.OP_INSERT, n.OP_AFTER_IMAGE)
     updated = F.col(n.OPERATION) == n.OP_UPDATE
-    return target.filter(F.col(n.RUN) == run_sk).agg(
-        F.count_if(live).alias("target_rows_loaded"),
-        F.count_if(inserted).alias("rows_inserted"),
-        F.count_if(updated).alias("rows_updated"),
-        F.count_if(inserted & live).alias("rows_inserted_live"),
-        F.count_if(updated & live).alias("rows_updated_live"),
-    )
+    return {
+        "target_rows_loaded": F.count_if(live),
+        "rows_inserted": F.count_if(mine & inserted),
+        "rows_updated": F.count_if(mine & updated),
+        "rows_inserted_live": F.count_if(inserted & live),
+        "rows_updated_live": F.count_if(updated & live),
+    }
+
+
+def loaded_counts(target: DataFrame, run_sk: int) -> DataFrame:
+    """One row of ``load_counts`` over a stored table."""
+    mine = target.filter(F.col(n.RUN) == run_sk)
+    return mine.agg(*[c.alias(name) for name, c in load_counts(run_sk).items()])
 
 
 def reconcile_counts(
@@ -154,24 +161,27 @@ def reconcile_counts(
 
 
 def cdc_reconcile(
-    raw: DataFrame, changes: ChangeSet, target: DataFrame, run_sk: int
+    raw: DataFrame, changes: ChangeSet, target: DataFrame, run_sk: int, loaded: DataFrame | None = None
 ) -> DataFrame:
-    """Reconciliation row of an incremental load."""
+    """Reconciliation row of an incremental load; ``loaded`` has the counts of the load if they were
+    taken while it was written."""
     return reconcile_counts(
         raw.agg(F.count(F.lit(1)).alias("rows_raw")),
         change_counts(changes),
-        loaded_counts(target, run_sk),
+        loaded_counts(target, run_sk) if loaded is None else loaded,
     )
 
 
 def cdc_reconcile_initial(
-    raw: DataFrame, latest: DataFrame, target: DataFrame, run_sk: int
+    raw: DataFrame, latest: DataFrame, target: DataFrame, run_sk: int, loaded: DataFrame | None = None
 ) -> DataFrame:
-    """Reconciliation row of an initial load; ``latest`` still holds the deletes."""
+    """Reconciliation row of an initial load; ``latest`` still holds the deletes; ``loaded`` as in
+    ``cdc_reconcile``."""
     deduped = latest.agg(
         F.count(F.lit(1)).alias("rows_dedup"),
         F.count_if(F.col(n.OPERATION) == n.OP_DELETE).alias("rows_deleted"),
     )
     return reconcile_counts(
-        raw.agg(F.count(F.lit(1)).alias("rows_raw")), deduped, loaded_counts(target, run_sk)
+        raw.agg(F.count(F.lit(1)).alias("rows_raw")), deduped,
+        loaded_counts(target, run_sk) if loaded is None else loaded,
     )

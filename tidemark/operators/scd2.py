@@ -158,12 +158,20 @@ def scd2_merge(
     return closed.unionByName(moved, allowMissingColumns=True)
 
 
-def scd2_step(active: DataFrame, source: DataFrame, run_sk: int, run_ts) -> DataFrame:
+#: Marks the versions that a merge closed, where asked for.
+REPLACED = "_replaced"
+
+
+def scd2_step(
+    active: DataFrame, source: DataFrame, run_sk: int, run_ts, mark: bool = False
+) -> DataFrame:
     """The part of a merge that touches rows: active versions in, active and newly closed
     versions out.
 
     ONE full outer join; a changed pair yields two rows there, so neither side is evaluated
-    twice. Source rows without ``_insert`` never add a version for an unmatched key.
+    twice. Source rows without ``_insert`` never add a version for an unmatched key. ``mark`` adds
+    ``_replaced``, true on the versions closed here, which tells them from those that delete
+    propagation closes in the same run.
     """
     source = align_to_target(spelled_like(source, active.schema), active)
     if INSERT not in source.columns:
@@ -194,7 +202,8 @@ def scd2_step(active: DataFrame, source: DataFrame, run_sk: int, run_ts) -> Data
             new = F.lit(str(run_sk))
         return F.when(F.col("_side") == 0, old).otherwise(new)
 
-    return versions.select(*[value(c).alias(c) for c in [*active.columns, *added]])
+    marks = [expired.alias(REPLACED)] if mark else []
+    return versions.select(*[value(c).alias(c) for c in [*active.columns, *added]], *marks)
 
 
 def _closing(run_sk: int, run_ts) -> dict[str, Column]:
@@ -242,6 +251,21 @@ def scd2_reconcile(
         )
     else:
         counts = target.agg(*aggregates)
+    return scd2_balance(rows_read, counts)
+
+
+def step_counts(run_sk: int, replaced: Column | None = None) -> dict[str, Column]:
+    """Counts of a history load over the rows it writes: versions of this run, and versions closed
+    for them (told by ``replaced`` where delete propagation has closed others)."""
+    run = str(run_sk)
+    inserted = F.col(n.INSERT_RUN) == run
+    if replaced is None:
+        replaced = (F.col(n.LAST_RUN) == run) & (F.col(n.INSERT_RUN) != run)
+    return {"rows_inserted": F.count_if(inserted), "rows_updated": F.count_if(replaced)}
+
+
+def scd2_balance(rows_read: DataFrame, counts: DataFrame) -> DataFrame:
+    """Reconciliation row from ``rows_read`` and one row of ``rows_inserted, rows_updated``."""
     read = F.coalesce(rows_read.select("rows_read").scalar(), F.lit(0)).cast("long")
     return counts.withColumn("rows_read", read).select(
         "rows_read",

@@ -10,21 +10,24 @@ from tidemark.operators.control import job_metrics
 from tidemark.operators.dedup import unique_source
 from tidemark.operators.delta import Reference, affected_rows
 from tidemark.operators.scd2 import (
+    REPLACED,
     classify,
     expire_gone,
     is_active,
     number_inserts,
+    scd2_balance,
     scd2_hash,
     scd2_initial,
     scd2_merge,
     scd2_metadata,
-    scd2_reconcile,
     scd2_rows_read,
     scd2_step,
+    step_counts,
 )
 from tidemark.plans.jobspec import JobSpec
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import Staging
+from tidemark.sources.counting import Counting
 
 
 def refined_source(
@@ -51,7 +54,7 @@ def refine(
 
     The source and its classification (three columns of it and of the history) are staged
     once. Merge and delete propagation are one plan over the open versions, and the run
-    writes those and the versions it closed. ``compat`` changes closed versions as well, so it
+    writes those and the versions it closed; the counts are taken in that write. ``compat`` changes closed versions as well, so it
     writes the whole table, once for the merge and once for the propagation.
     """
     refined = wh.refined(spec.target)
@@ -63,18 +66,21 @@ def refine(
         if first:
             read = scd2_rows_read(source)
             loaded = scd2_initial(source, spec.surrogate, run_sk)
-            state = refined.write_all(expire_gone(loaded, *gone, compat, split=False))
+            counting = Counting(step_counts(run_sk, F.lit(False)))
+            refined.write_all(expire_gone(loaded, *gone, compat, split=False), counting)
         else:
             target = refined.read()
             known = staging.put(classify(source, target, reactivate), "classified")
             read = scd2_rows_read(source, target, known)
             numbered = number_inserts(source, target, spec.surrogate, classified=known)
             if compat:
-                state = refined.write_all(scd2_merge(target, numbered, run_sk, run_ts))
+                counting = Counting(step_counts(run_sk))
+                state = refined.write_all(scd2_merge(target, numbered, run_sk, run_ts), counting)
             else:
-                moved = scd2_step(target.filter(is_active()), numbered, run_sk, run_ts)
-                state = refined.write_step(expire_gone(moved, *gone, split=False))
-        balance = scd2_reconcile(read, state, run_sk, initial=first, after_expiry=True)
+                counting = Counting(step_counts(run_sk, F.col(REPLACED)), (REPLACED,))
+                moved = scd2_step(target.filter(is_active()), numbered, run_sk, run_ts, mark=True)
+                refined.write_step(expire_gone(moved, *gone, split=False), counting)
+        balance = scd2_balance(read, counting.row(wh.spark))
         metrics = job_metrics(balance, spec.job_sk, spec.target)
         metrics = wh.spark.createDataFrame(metrics.collect(), metrics.schema)
         if compat and not first:

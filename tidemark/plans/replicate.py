@@ -15,6 +15,7 @@ from tidemark.operators.cdc import (
     in_delivery_order,
     incremental_changes,
     initial_latest,
+    load_counts,
 )
 from tidemark.operators.control import job_metrics
 from tidemark.operators.dedup import split_ops
@@ -22,6 +23,7 @@ from tidemark.operators.merge import apply_changes
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import Staging, fits_broadcast
 from tidemark.sources import deliveries
+from tidemark.sources.counting import Counting
 
 # A change set of at most this many rows (and 64 MB) goes to every task that scans the replica.
 BROADCAST_ROWS = 200_000
@@ -94,35 +96,59 @@ def replicate(
     First run: every landed delivery. Later runs: those that no earlier run applied, so what a
     failed run left behind is taken up again. Applying a delivery twice gives the same rows.
     The deduplicated changes are staged, so they are computed once, their size is known
-    before a broadcast is chosen, and every count reads them instead of the raw files.
+    before a broadcast is chosen, and every count reads them instead of the raw files; the counts of
+    the new state are taken while it is written.
     """
-    replica = wh.replica(table)
     waiting = waiting_deliveries(wh, xcenter).filter(F.col("_t") == table.upper())
     with Staging(wh.spark) as staging:
         waiting = staging.put(waiting.drop("_t"), "waiting")
-        batches = table_batches(wh, table, waiting)
-        if not batches:
-            raise LookupError(f"no delivery of {table} waits to be applied")
-        if not replica.exists():
-            latest = initial_latest([b.rows for b in batches], run_sk, run_ts)
-            latest = staging.put(latest, "latest")
-            state = replica.write(split_ops(latest, initial=True)[1])
-            balance = cdc_reconcile_initial(_count(batches), latest, state, run_sk)
-        else:
-            newest = spatial_to_hex(batches[-1].rows)
-            stored = replica.read()
-            target = align_target_to_source(stored, newest, compat)
-            changes = incremental_changes(target, batches, run_sk, run_ts)
-            changes = changes.staged(staging, "changes")
-            small = fits_broadcast(changes.rows, broadcast_rows)
-            if target.schema == stored.schema:  # only the buckets of changed keys
-                buckets = replica.touched(changes.rows)
-                part = apply_changes(replica.read(buckets), changes, run_sk, broadcast_changes=small)
-                state = replica.write_buckets(part, buckets)
-            else:
-                state = replica.write(apply_changes(target, changes, run_sk, broadcast_changes=small))
-            balance = cdc_reconcile(_count(batches), changes, state, run_sk)
+        metrics = apply_deliveries(
+            wh, table, waiting, staging, run_sk, run_ts, job_sk, broadcast_rows, compat
+        )
         wh.control("replica_load").append(waiting.withColumn("cyc_run_sk", F.lit(run_sk)))
-        metrics = job_metrics(balance, job_sk, table)
-        # The staged tables go away now, so the one metrics row is fetched before that.
-        return wh.spark.createDataFrame(metrics.collect(), metrics.schema)
+        return metrics
+
+
+def apply_deliveries(
+    wh: Warehouse,
+    table: str,
+    waiting: DataFrame,
+    staging: Staging,
+    run_sk: int,
+    run_ts,
+    job_sk: int = 0,
+    broadcast_rows: int = BROADCAST_ROWS,
+    compat: bool = False,
+    notes: dict | None = None,
+) -> DataFrame:
+    """Bring the replica up to date with the folders of ``waiting``; the metrics row of the job.
+    ``notes`` are committed together with the new state."""
+    replica = wh.replica(table)
+    counting = Counting(load_counts(run_sk))
+    batches = table_batches(wh, table, waiting)
+    if not batches:
+        raise LookupError(f"no delivery of {table} waits to be applied")
+    if not replica.exists():
+        latest = initial_latest([b.rows for b in batches], run_sk, run_ts)
+        latest = staging.put(latest, "latest")
+        state = replica.write(split_ops(latest, initial=True)[1], counting, notes)
+        balance = cdc_reconcile_initial(_count(batches), latest, state, run_sk, counting.row(wh.spark))
+    else:
+        newest = spatial_to_hex(batches[-1].rows)
+        stored = replica.read()
+        target = align_target_to_source(stored, newest, compat)
+        changes = incremental_changes(target, batches, run_sk, run_ts)
+        changes = changes.staged(staging, "changes")
+        small = fits_broadcast(changes.rows, broadcast_rows)
+        if target.schema == stored.schema:  # only the buckets of changed keys
+            buckets = replica.touched(changes.rows)
+            part = apply_changes(replica.read(buckets), changes, run_sk, broadcast_changes=small)
+            state = replica.write_buckets(part, buckets, counting, notes)
+        else:
+            state = replica.write(
+                apply_changes(target, changes, run_sk, broadcast_changes=small), counting, notes
+            )
+        balance = cdc_reconcile(_count(batches), changes, state, run_sk, counting.row(wh.spark))
+    metrics = job_metrics(balance, job_sk, table)
+    # The staged tables go away, so the one metrics row is fetched before that.
+    return wh.spark.createDataFrame(metrics.collect(), metrics.schema)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import hadoop_path
+from tidemark.sources.counting import Counting
 
 #: Folder columns; no table may have columns of these names.
 WRITE, BUCKET = "tidemark__write", "tidemark__bucket"
@@ -103,11 +104,19 @@ class BucketTable:
 
     # ------------------------------------------------------------------ write
 
-    def write(self, df: DataFrame) -> DataFrame:
-        """Commit a complete state."""
-        return self._commit(df, None)
+    def note(self, name: str, default=None):
+        """What the last write noted under ``name``."""
+        return self._state().get("notes", {}).get(name, default) if self.exists() else default
 
-    def write_buckets(self, df: DataFrame, buckets: Sequence[int]) -> DataFrame:
+    def write(
+        self, df: DataFrame, counting: Counting | None = None, notes: dict | None = None
+    ) -> DataFrame:
+        """Commit a complete state; ``notes`` are committed with it, added to the earlier ones."""
+        return self._commit(df, None, counting, notes)
+
+    def write_buckets(
+        self, df: DataFrame, buckets: Sequence[int], counting: Counting | None = None, notes: dict | None = None
+    ) -> DataFrame:
         """Commit new contents of ``buckets`` and return those rows; all other buckets stay. New
         columns are NULL there; a changed type needs ``write``."""
         old = {f["name"].lower(): f["type"] for f in self._state()["schema"]["fields"]}
@@ -115,9 +124,11 @@ class BucketTable:
         changed = sorted(c for c in old if c in new and old[c] != new[c]) + sorted(set(old) - set(new))
         if changed:
             raise ValueError(f"columns {changed} differ from the stored ones: write the whole table")
-        return self._commit(df, list(buckets))
+        return self._commit(df, list(buckets), counting, notes)
 
-    def _commit(self, df: DataFrame, buckets: list[int] | None) -> DataFrame:
+    def _commit(
+        self, df: DataFrame, buckets: list[int] | None, counting: Counting | None, notes: dict | None
+    ) -> DataFrame:
         clash = {WRITE, BUCKET} & {c.lower() for c in df.columns}
         if clash:
             raise ValueError(f"{sorted(clash)} are no names for columns of a bucket table")
@@ -128,16 +139,18 @@ class BucketTable:
             folders.pop(str(b), None)
         dealt = df.withColumn(BUCKET, self.bucket_of())
         target = f"{self.path}/{WRITE}={number}"
-        dealt.repartition(min(count, len(buckets) if buckets else count), BUCKET).write.mode(
-            "errorifexists"
-        ).option("compression", "snappy").partitionBy(BUCKET).parquet(target)
+        dealt = dealt.repartition(min(count, len(buckets) if buckets else count), BUCKET)
+        if counting:
+            dealt = counting.on(dealt)
+        dealt.write.mode("errorifexists").option("compression", "snappy").partitionBy(BUCKET).parquet(target)
         fs, handle = hadoop_path(self.spark, target)
         written = [s.getPath().getName() for s in fs.listStatus(handle) if s.isDirectory()]
         made = [x.split("=")[1] for x in written if x.startswith(f"{BUCKET}=")]
         state = {
             "buckets": count,
-            "schema": json.loads(df.schema.json()),
+            "schema": json.loads(df.drop(*(counting.dropped if counting else ())).schema.json()),
             "folders": {**folders, **dict.fromkeys(made, number)},
+            "notes": {**(self._state().get("notes", {}) if self.exists() else {}), **(notes or {})},
         }
         self._save(number, state)
         self._clean()

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.session import hadoop_path
+from tidemark.sources.counting import Counting
 
 
 class SnapshotTable:
@@ -204,19 +205,21 @@ class HistoryTable:
         """Versions that a read has to gather."""
         return len(self._since_full()) if self.exists() else 0
 
-    def write_all(self, df: DataFrame) -> DataFrame:
+    def write_all(self, df: DataFrame, counting: Counting | None = None) -> DataFrame:
         """Commit a complete state: the first load, a compaction, or a rewritten history."""
-        return self._commit(df, "-full")
+        return self._commit(df, "-full", counting)
 
-    def write_step(self, df: DataFrame) -> DataFrame:
+    def write_step(self, df: DataFrame, counting: Counting | None = None) -> DataFrame:
         """Commit a run: every version that is open now, and those the run closed."""
-        return self._commit(df, "" if self.exists() else "-full")
+        return self._commit(df, "" if self.exists() else "-full", counting)
 
     def compact(self) -> DataFrame:
         """Gather the closed parts of all runs in one new full version."""
         return self.write_all(self.read())
 
-    def _commit(self, df: DataFrame, suffix: str) -> DataFrame:
+    def _commit(self, df: DataFrame, suffix: str, counting: Counting | None = None) -> DataFrame:
+        if counting:
+            df = counting.on(df)
         if VERSION in (c.lower() for c in df.columns):
             raise ValueError(f"{VERSION} is no name for a column of a history table")
         number = max((k for k, _ in self._folders(committed=False)), default=0) + 1
