@@ -10,7 +10,10 @@ from driver_queries.views import CDC, CLAIM, FILES, TXN_FEED, TXN_ORDER
 from tidemark import names as n
 from tidemark.operators import balance as b
 from tidemark.operators.dedup import latest_per_key
-from tidemark.plans.balancing import balance_source
+from tidemark.operators.partials import merged_metrics
+from tidemark.plans.balancing import CLAIM as CLAIM_TABLE, TRANSACTION as TRANSACTION_TABLE
+from tidemark.plans.balancing import balance_source, refresh_partials
+from tidemark.plans.warehouse import Warehouse
 
 RUN_TS = "2024-02-01 00:00:00"
 MONEY = {
@@ -126,3 +129,39 @@ def q_balance_source(t):
     return balance_source(mine).select(
         "id", "status", "amount", n.SEQUENCE, n.FINGERPRINT, n.DELIVERY
     )
+
+
+LAYERS = {
+    "run": ("claim", "txn", f"CYC_RUN_SK = 2 AND {STATES} AND retired = 0 AND Soft_Delete = 'N'",
+            "CYC_RUN_SK = 2 AND retired = 0 AND Soft_Delete = 'N'"),
+    "all": ("claim", "txn", "retired = 0 AND Soft_Delete = 'N'", "retired = 0 AND Soft_Delete = 'N'"),
+}
+
+
+@query(
+    "balance_partials",
+    f"WITH {CLAIM_CTE}, {TXN_CTE} "
+    + " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, m AS metric_type, CAST(v AS DOUBLE) AS value FROM ({_layer(*layer)}) {kind}_layer"
+        for kind, layer in LAYERS.items()
+    ),
+)
+def q_partials(t):
+    """Partial aggregates of a first load, brought up to date after inserts, updates and deletes of a
+    second run, and merged."""
+    wh = Warehouse(t.spark, t.scratch("warehouse"))
+    claims, txns = replicas(t)
+    after = {CLAIM_TABLE: claims, TRANSACTION_TABLE: txns.drop("rn")}
+    for table, rows in after.items():
+        replica = wh.replica(table)
+        first = rows.filter((F.col(n.RUN) == 1) | (F.col("retired") == 0))
+        replica.write(first.withColumns({n.SOFT_DELETE: F.lit("N"), n.RUN: F.lit(1)}))
+        refresh_partials(wh, table)
+        replica.write_buckets(rows, range(replica.buckets))
+        refresh_partials(wh, table)
+    stored = [refresh_partials(wh, table) for table in after]  # nothing was rewritten: nothing is read
+    shown = [
+        merged_metrics(*stored, run).select(F.lit(kind).alias("kind"), "metric_type", F.col("value").cast("double").alias("value"))
+        for kind, run in (("run", 2), ("all", None))
+    ]
+    return shown[0].unionByName(shown[1])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as n
@@ -44,6 +45,70 @@ def failing_rows(spark: SparkSession, query: str, tables: Mapping[str, DataFrame
     return spark.sql(query)
 
 
+#: A rule that looks at one row at a time: its key and a condition on one table, nothing else.
+ROW_RULE = re.compile(
+    r"\s*SELECT\s+(?:(?P<a>\w+)\.)?(?P<key>\w+)\s+FROM\s+(?P<table>\w+)(?:\s+(?:AS\s+)?(?P<alias>(?!WHERE\b)\w+))?"
+    r"\s+WHERE\s+(?P<condition>.+?)\s*;?\s*",
+    re.IGNORECASE | re.DOTALL,
+)
+#: Words that make a condition more than a look at one row, or end it.
+BEYOND_A_ROW = re.compile(
+    r"\b(SELECT|JOIN|GROUP|HAVING|ORDER|SORT|CLUSTER|DISTRIBUTE|LIMIT|OFFSET|UNION|INTERSECT|EXCEPT|MINUS|OVER|WINDOW|LATERAL|QUALIFY)\b"
+    r"|--|/\*",
+    re.IGNORECASE,
+)
+
+
+def row_condition(rule: Rule) -> tuple[str, str] | None:
+    """(alias, condition) of a rule that looks at one row of its table at a time; None for any other,
+    and whenever in doubt. Such rules share a scan."""
+    found = ROW_RULE.fullmatch(rule.query)
+    if not found or found["table"].lower() != rule.table_name.lower() or BEYOND_A_ROW.search(found["condition"]):
+        return None
+    alias = found["alias"] or found["table"]
+    if found["key"].lower() != rule.primary_key.lower() or (found["a"] or alias).lower() != alias.lower():
+        return None
+    return alias, found["condition"]
+
+
+def failed_by_row(table: DataFrame, rules: Mapping[int, Rule]) -> DataFrame | None:
+    """``key, rule`` of the rows that fail row rules of one key column, from one scan of ``table``;
+    ``rules`` by their number. None if there is none."""
+    hits, rows = [], table
+    for number, rule in rules.items():
+        alias, condition = row_condition(rule)
+        rows = rows.alias(alias)  # an alias hides the one before, so each condition is bound in turn
+        rows = rows.select("*", F.when(F.expr(condition), F.lit(number)).alias(f"_rule_{number}"))
+        hits.append(F.col(f"_rule_{number}"))
+    if not hits:
+        return None
+    key = next(iter(rules.values())).primary_key
+    failed = rows.select(F.col(key).alias("key"), F.array_compact(F.array(*hits)).alias("rules"))
+    return failed.filter(F.size("rules") > 0).select("key", F.explode("rules").alias("rule"))
+
+
+def rule_hits(
+    mine: DataFrame, failed: Mapping[str, DataFrame], numbers: Iterable[int], bucket: Column
+) -> DataFrame:
+    """One row over the rows of a run: their number, those each rule fails (``failed_<number>``), and the
+    buckets of the failing ones. ``failed`` has ``key, rule`` by key column; one join per key column,
+    however many rules there are."""
+    rows, lists = mine, []
+    for i, (key, frame) in enumerate(failed.items()):
+        per_key = frame.filter(F.col("key").isNotNull()).groupBy(F.col("key").alias(f"_key_{i}")).agg(
+            F.collect_set("rule").alias(f"_rules_{i}")  # at most the number of rules
+        )
+        rows = rows.join(per_key, F.col(key) == F.col(f"_key_{i}"), "left")
+        lists.append(F.coalesce(f"_rules_{i}", F.array().cast("array<int>")))
+    rules = F.concat(*lists) if lists else F.array().cast("array<int>")
+    rows = rows.select(rules.alias("rules"), bucket.alias("bucket"))
+    return rows.agg(
+        F.count(F.lit(1)).alias("total_count"),
+        F.collect_set(F.when(F.size("rules") > 0, F.col("bucket"))).alias("buckets"),
+        *[F.count_if(F.array_contains("rules", i)).alias(f"failed_{i}") for i in numbers],
+    )
+
+
 def rule_counts(flagged: DataFrame, run_sk: int) -> DataFrame:
     """One row: rows of this run, failed (flag set by this or an earlier rule), passed."""
     mine = flagged.filter(F.col(n.RUN) == run_sk)

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.functions.schema import union_aligned
+from tidemark.operators import partials
 from tidemark.operators.balance import (
+    RAW_TO_REPLICA,
     balance_raw_vs_replica,
     balance_replica_vs_refined,
+    compare_metrics,
     cycle_folders,
+    source_metrics,
 )
 from tidemark.operators.dedup import latest_per_key
 from tidemark.plans.replicate import table_batches
@@ -36,8 +40,8 @@ def refresh_or_keep(
     return store.read() if store.exists() else None
 
 
-def balance_run(wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, xcenter: str) -> DataFrame:
-    """Metrics raw -> replica of this cycle."""
+def _sources(wh: Warehouse, run_sk: int, xcenter: str) -> dict[str, DataFrame]:
+    """The rows that this cycle delivered, by table."""
     mine = F.col("xcenter") == xcenter
     files = wh.control_rows("file_loads").filter(mine)
     loaded = wh.control_rows("raw_table_load").filter(mine & (F.col("cyc_run_sk") == run_sk))
@@ -45,6 +49,12 @@ def balance_run(wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, xcenter: str) -
     for table in (CLAIM, TRANSACTION):
         source = refresh_or_keep(wh, table, files, loaded)
         sources[table] = wh.replica(table).read().limit(0) if source is None else source
+    return sources
+
+
+def balance_run(wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, xcenter: str) -> DataFrame:
+    """Metrics raw -> replica of this cycle."""
+    sources = _sources(wh, run_sk, xcenter)
     return balance_raw_vs_replica(
         sources[CLAIM],
         sources[TRANSACTION],
@@ -56,6 +66,45 @@ def balance_run(wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, xcenter: str) -
     )
 
 
+def refresh_partials(wh: Warehouse, table: str) -> DataFrame:
+    """Partial aggregates of a replica, computed again for the buckets rewritten since the last call;
+    the other buckets are not read. ``table`` is the claim or the transaction table."""
+    replica = wh.replica(table)
+    store, numbers = wh.partials(table), wh.claim_numbers()
+    current = replica.contents()
+    known: dict[int, int] = {}
+    if store.exists():
+        rows = store.read().select("part", "written").distinct()
+        known = {r["part"]: r["written"] for r in rows.collect()}  # one row a bucket
+    # A bucket without live rows has no partials and is looked at again.
+    stale = sorted({b for b, number in current.items() if known.get(b) != number} | (set(known) - set(current)))
+    if not stale and store.exists():
+        return store.read()
+    rows, part = replica.read([b for b in stale if b in current]), replica.bucket_of()
+    if table == CLAIM:
+        none = wh.spark.createDataFrame([], f"claimnumber string, {partials.NUMBER} bigint")
+        had = numbers.read_or(none)
+        fresh = partials.new_numbers(rows, had)
+        numbers.append(fresh)
+        made = partials.claim_partials(rows, numbers.read(), part)
+    else:
+        made = partials.money_partials(rows, part)
+    written = F.create_map(*[F.lit(x) for b, number in current.items() for x in (b, number)])
+    made = made.withColumn("written", F.get(F.array(written[F.col("part")]), F.lit(0)))
+    if store.exists():
+        made = store.read().filter(~F.col("part").isin(stale)).unionByName(made)
+    return store.write(made)
+
+
+def balance_run_partial(wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, xcenter: str) -> DataFrame:
+    """As ``balance_run``, with the replica side merged from its partial aggregates."""
+    sources = _sources(wh, run_sk, xcenter)
+    merged = partials.merged_metrics(refresh_partials(wh, CLAIM), refresh_partials(wh, TRANSACTION), run_sk)
+    return compare_metrics(
+        source_metrics(sources[CLAIM], sources[TRANSACTION]), merged, RAW_TO_REPLICA, cyc_sk, run_sk, run_ts
+    )
+
+
 def balance_refined(
     wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, detail: str, financial: str
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from tidemark.operators.quality import Rule
-from tidemark.plans.balancing import balance_refined, balance_run, publish_metrics
+from tidemark.plans.balancing import balance_refined, balance_run_partial, publish_metrics
 from tidemark.plans.housekeeping import housekeeping
 from tidemark.plans.ingest import REPLICA_STEP, ingest
 from tidemark.plans.jobspec import JobSpec
@@ -65,7 +65,7 @@ def run_cycle(
         workers,
     )
     if balance:
-        metrics = balance_run(wh, cyc_sk, run_sk, run_ts, xcenter)
+        metrics = balance_run_partial(wh, cyc_sk, run_sk, run_ts, xcenter)
         result.balances.append(publish_metrics(wh.spark, wh, metrics))
     every = _known_tables(wh)
     number = first_val_run or 0

@@ -12,7 +12,10 @@ from tidemark import names as n
 from tidemark.operators.quality import (
     Rule,
     error_log,
+    failed_by_row,
     failing_rows,
+    row_condition,
+    rule_hits,
     select_rules,
     validation_summary,
 )
@@ -43,47 +46,53 @@ def validate_table(
     """Check all rules of one table; returns one summary row per rule.
 
     Validation runs are numbered from ``first_val_run``, which the caller moves on from table
-    to table. A rule may join other replicas: the caller publishes them first.
-    Failing keys are staged per rule, then all are flagged in ONE new version of the replica
-    instead of one rewrite per rule. Rules see the table as it was before this step.
+    to table. A rule may join other replicas: the caller publishes them first. Rules see the table as
+    it was before this step.
+
+    Rules that look at one row at a time share one scan of the table, every other rule runs its own
+    query; the failing keys of all are staged in one write. A second, narrow scan of the run's rows
+    counts for all rules at once and finds the buckets to flag, and only those are written, in ONE
+    new version of the replica.
     """
     if not rules:
         return wh.spark.createDataFrame([], _summary_schema(wh.spark))
     replica = wh.replica(table)
     state = replica.read()
-    mine = state.filter(F.col(n.RUN) == run_sk)
-    summaries, logs, failed_keys = [], [], {}
+    by_key: dict[str, dict[int, Rule]] = {}
+    for i, rule in enumerate(rules):
+        by_key.setdefault(rule.primary_key, {})[i] = rule
     with Staging(wh.spark) as staging:
+        failed = {}
+        for k, (key, mine) in enumerate(by_key.items()):
+            local = {i: rule for i, rule in mine.items() if row_condition(rule)}
+            frames = [failed_by_row(state, local)] if local else []
+            for i, rule in mine.items():
+                if i not in local:
+                    found = failing_rows(wh.spark, rule.query, {table: state})
+                    frames.append(found.select(F.col(rule.primary_key).alias("key"), F.lit(i).alias("rule")))
+            failed[key] = staging.put(reduce(DataFrame.unionByName, frames), f"failed-{k}")
+        hits = rule_hits(
+            state.filter(F.col(n.RUN) == run_sk), failed, range(len(rules)), replica.bucket_of()
+        ).first()
+        summaries, logs = [], []
         for i, rule in enumerate(rules):
-            val_run = first_val_run + i
-            keys = failing_rows(wh.spark, rule.query, {table: state}).select(rule.primary_key)
-            failed = staging.put(keys, f"failed-{val_run}")
-            hit = failed.distinct().withColumn("_hit", F.lit(1))
-            counts = mine.join(hit, rule.primary_key, "left").agg(
-                F.count(F.lit(1)).alias("total_count"), F.count("_hit").alias("failed_count")
-            )
-            counts = counts.select(
-                "total_count",
-                (F.col("total_count") - F.col("failed_count")).alias("passed_count"),
-                "failed_count",
-                F.when(F.col("failed_count") == 0, "S").otherwise("F").alias("status"),
+            total, bad = hits["total_count"], hits[f"failed_{i}"]
+            counts = wh.spark.createDataFrame(
+                [(total, total - bad, bad, "S" if bad == 0 else "F")],
+                "total_count bigint, passed_count bigint, failed_count bigint, status string",
             )
-            counts = wh.spark.createDataFrame(counts.collect(), counts.schema)
-            summaries.append(
-                validation_summary(counts, rule, xcenter, step_sk, run_sk, val_run, run_ts)
-            )
-            if counts.first()["failed_count"] > 0:
-                logs.append(error_log(failed, rule, val_run, run_ts))
-                failed_keys.setdefault(rule.primary_key, []).append(failed)
+            val_run = first_val_run + i
+            summaries.append(validation_summary(counts, rule, xcenter, step_sk, run_sk, val_run, run_ts))
+            if bad:
+                keys = failed[rule.primary_key].filter(F.col("rule") == i).select(F.col("key").alias(rule.primary_key))
+                logs.append(error_log(keys, rule, val_run, run_ts))
         if logs:
-            flagged = state
-            for primary_key, frames in failed_keys.items():
-                every = reduce(DataFrame.unionByName, frames)
-                flagged = flag_failed(flagged, every, primary_key, run_sk)
             wh.control("validation_error_log").append(reduce(DataFrame.unionByName, logs))
-            fresh = (F.col(n.VALIDATION) == "F") & (F.col(n.RUN) == run_sk)
-            buckets = replica.touched(flagged.filter(fresh))
-            replica.write_buckets(flagged.filter(replica.bucket_of().isin(buckets)), buckets)
+            flagged = replica.read(hits["buckets"])
+            for key, frame in failed.items():
+                # Of a rule without failures in this run no key is in this run either.
+                flagged = flag_failed(flagged, frame.select(F.col("key").alias(key)), key, run_sk)
+            replica.write_buckets(flagged, hits["buckets"])
     summary = reduce(DataFrame.unionByName, summaries)
     wh.control("validation_runs").append(summary)
     return summary

@@ -74,6 +74,14 @@ class Warehouse:
     def balance_source(self, table: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/balance/{table}")
 
+    def partials(self, table: str) -> SnapshotTable:
+        """Partial aggregates of a replica, for the balance."""
+        return SnapshotTable(self.spark, f"{self.root}/balance/{table}_partials")
+
+    def claim_numbers(self) -> LogTable:
+        """Dense numbers of the claim numbers, which bitmaps of partial aggregates are over."""
+        return LogTable(self.spark, f"{self.root}/balance/claim_numbers")
+
     def publish_replicas(self, tables: list[str]) -> None:
         """Make current replicas visible to SQL under their table names."""
         for table in tables:

@@ -67,6 +67,10 @@ class BucketTable:
     def buckets(self) -> int:
         return self._state()["buckets"] if self.exists() else self.wanted
 
+    def contents(self) -> dict[int, int]:
+        """Bucket to the number of the write that holds it."""
+        return {int(b): number for b, number in self._state()["folders"].items()} if self.exists() else {}
+
     def bucket_of(self, *keys: Column) -> Column:
         """Bucket of a row, from its key as text, so that a wider key type changes nothing."""
         keys = keys or tuple(F.col(f"`{k}`") for k in self.keys)
