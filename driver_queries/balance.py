@@ -12,8 +12,15 @@ from tidemark.operators import balance as b
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.partials import merged_metrics
 from tidemark.plans.balancing import CLAIM as CLAIM_TABLE, TRANSACTION as TRANSACTION_TABLE
-from tidemark.plans.balancing import balance_source, refresh_partials
-from tidemark.plans.warehouse import Warehouse
+from tidemark.plans.balancing import (
+    balance_refined,
+    balance_run_partial,
+    balance_source,
+    publish_metrics,
+    refresh_partials,
+)
+from tidemark.plans.warehouse import CONTROL, Warehouse
+from tidemark.sources import deliveries
 
 RUN_TS = "2024-02-01 00:00:00"
 MONEY = {
@@ -165,3 +172,28 @@ def q_partials(t):
         for kind, run in (("run", 2), ("all", None))
     ]
     return shown[0].unionByName(shown[1])
+
+
+@query("balance_jobs", f"SELECT * FROM ({RAW_REPLICA}) a UNION ALL SELECT * FROM ({REPLICA_REFINED}) b")
+def q_balance_jobs(t):
+    """Both balance jobs of a cycle, from raw folders, replicas and refined tables; their metrics are
+    appended to the metrics table and read from there."""
+    wh = Warehouse(t.spark, t.scratch("warehouse"))
+    claims, txns = replicas(t)
+    live = (F.col(n.SOFT_DELETE) == "N") & (F.col("retired") == 0)
+    tables = {CLAIM_TABLE: claims, TRANSACTION_TABLE: txns.drop("rn")}
+    refined = {"detail": claims, "financial": tables[TRANSACTION_TABLE].filter(F.col("partkey") % 100 != 0)}
+    for table, rows in tables.items():
+        raw = rows.withColumns({n.PAYLOAD_TS: F.lit("1"), n.SEQUENCE: F.lit("1")})
+        raw.write.parquet(deliveries.folder(wh.raw, table, "f", "1000", raw=True))
+        wh.replica(table).write(rows)
+    landed = t.spark.createDataFrame(
+        [(x.upper(), "f", "1000", "", "CC", 2) for x in tables], CONTROL["raw_table_load"]
+    )
+    wh.control("raw_table_load").append(landed)
+    wh.control("file_loads").write(landed.withColumn("is_loaded", F.lit(True)))
+    for name, rows in refined.items():
+        wh.refined(name).write_all(rows.withColumn(n.ACTIVE, F.when(live, "Y").otherwise("N")))
+    publish_metrics(t.spark, wh, balance_run_partial(wh, 10, 2, RUN_TS, "CC"))
+    publish_metrics(t.spark, wh, balance_refined(wh, 10, 2, RUN_TS, "detail", "financial"))
+    return shown(wh.control("balance_metrics").read())

@@ -8,6 +8,7 @@ from driver_queries.registry import as_text, portable, query
 from driver_queries.views import FILES
 from tidemark.functions.columns import last_segment, path_segment
 from tidemark.operators import control as c
+from tidemark.sources.snapshot import SnapshotTable
 
 NOW = "2024-02-14 00:00:00"
 
@@ -319,8 +320,12 @@ def q_archive_older(t):
     "SELECT o_orderkey AS id, o_orderpriority AS xcenter FROM orders WHERE o_orderpriority = '5-LOW'",
 )
 def q_snapshot(t):
-    rows = t.sql("SELECT o_orderkey AS id, o_orderpriority AS xcenter FROM {orders}")
-    return c.snapshot_copy(rows, "5-LOW")
+    """The copy of one centre's rows holds what the table held, whatever becomes of the table."""
+    store, backup = SnapshotTable(t.spark, t.scratch("table")), SnapshotTable(t.spark, t.scratch("backup"))
+    store.write(t.sql("SELECT o_orderkey AS id, o_orderpriority AS xcenter FROM {orders}"))
+    backup.write(c.snapshot_copy(store.read(), "5-LOW"))
+    store.write(store.read().limit(0))
+    return backup.read()
 
 
 # -------------------------------------------------------------------------- run history

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from driver_queries.registry import Tables, portable, query
@@ -9,6 +11,7 @@ from driver_queries.views import CDC, FILES
 from tidemark import names as n
 from tidemark.operators.quality import bytes_reconcile
 from tidemark.plans.parallel import for_each
+from tidemark.session import hadoop_path
 from tidemark.sources import deliveries
 from tidemark.sources.manifest import read_manifest
 from tidemark.sources.snapshot import SnapshotTable
@@ -45,19 +48,56 @@ def q_listing(t):
     return deliveries.list_deliveries(t.spark, landing(t), "CC")
 
 
-@query("folder_bytes")
+@query(
+    "folder_bytes",
+    f"""WITH {CDC_CTE}
+SELECT DISTINCT 'cc_user' AS table_name, GW_FINGERPRINT AS gw_fingerprint, GW_TIMESTAMP AS gw_timestamp,
+       true AS filled, true AS agrees FROM cdc""",
+)
 def q_bytes(t):
-    return deliveries.folder_bytes(t.spark, landing(t))
+    """Folder sizes from the listing, held against the bytes that the files hold when they are read."""
+    root = landing(t)
+    sizes = deliveries.folder_bytes(t.spark, root)
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    part = lambda name: F.regexp_extract("path", f"{name}=([^/]+)/", 1)
+    held = files.groupBy(part(n.FINGERPRINT).alias("gw_fingerprint"), part(n.DELIVERY).alias("gw_timestamp")).agg(
+        F.count(F.lit(1)).alias("_files"), F.sum(F.octet_length("content")).alias("_bytes")
+    )
+    agrees = (F.col("files") == F.col("_files")) & (F.col("bytes") == F.col("_bytes"))
+    return sizes.join(held, ["gw_fingerprint", "gw_timestamp"], "left").select(
+        "table_name", "gw_fingerprint", "gw_timestamp", (F.col("bytes") > 0).alias("filled"),
+        F.coalesce(agrees, F.lit(False)).alias("agrees"),
+    )
 
 
 @query(
     "bytes_reconcile",
-    f"""WITH {CDC_CTE} SELECT DISTINCT GW_FINGERPRINT AS gw_fingerprint, GW_TIMESTAMP AS gw_timestamp,
-       'S' AS status FROM cdc""",
+    f"""WITH {CDC_CTE}, ends AS (SELECT min(GW_TIMESTAMP) AS lost, max(GW_TIMESTAMP) AS cut FROM cdc WHERE GW_FINGERPRINT = 'aaaa')
+SELECT DISTINCT GW_FINGERPRINT AS gw_fingerprint, GW_TIMESTAMP AS gw_timestamp,
+       CASE WHEN GW_FINGERPRINT = 'aaaa' AND GW_TIMESTAMP IN (lost, cut) THEN 'F' ELSE 'S' END AS status,
+       GW_FINGERPRINT = 'aaaa' AND GW_TIMESTAMP = lost AS nothing_there FROM cdc, ends""",
 )
 def q_bytes_reconcile(t):
-    sizes = deliveries.folder_bytes(t.spark, landing(t))
-    return bytes_reconcile(sizes, sizes).select("gw_fingerprint", "gw_timestamp", "status")
+    """A landing zone and its copy, of which one folder was lost and one holds a row only."""
+    source, target = landing(t), t.scratch("copy")
+    fs, there = hadoop_path(t.spark, source)
+    here = hadoop_path(t.spark, target)[1]
+    assert t.spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, there, fs, here, False, t.spark._jsc.hadoopConfiguration())
+    times = feed(t).filter(F.col(n.FINGERPRINT) == "aaaa").agg(F.min(n.DELIVERY).alias("lost"), F.max(n.DELIVERY).alias("cut")).first()
+    at = lambda time: f"{target}/cc_user/{n.FINGERPRINT}=aaaa/{n.DELIVERY}={time}"
+    fs.delete(hadoop_path(t.spark, at(times["lost"]))[1], True)
+    feed(t).limit(1).drop(n.FINGERPRINT, n.DELIVERY).write.mode("overwrite").parquet(at(times["cut"]))
+    out = bytes_reconcile(deliveries.folder_bytes(t.spark, source), deliveries.folder_bytes(t.spark, target))
+    return out.select("gw_fingerprint", "gw_timestamp", "status", (F.col("data_written") == 0).alias("nothing_there"))
+
+
+@query("catalog_table", "SELECT o_orderstatus AS status, count(*) AS n_rows FROM orders GROUP BY o_orderstatus")
+def q_catalog(t):
+    """A first load is written, registered in the catalog, and read by SQL under its name."""
+    store, name = SnapshotTable(t.spark, t.scratch("initial")), f"initial_{uuid.uuid4().hex}"
+    store.write(t.table("orders"))
+    store.save_as_table(name)
+    return t.spark.sql(f"SELECT o_orderstatus AS status, count(*) AS n_rows FROM {name} GROUP BY o_orderstatus")
 
 
 FEED = "id, status, amount, gwcbi___operation, gwcbi___seqval_hex, GW_FINGERPRINT, GW_TIMESTAMP"

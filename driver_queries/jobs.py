@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -24,8 +25,10 @@ from tidemark.functions.schema import align_target_to_source
 from tidemark.operators.quality import Rule
 from tidemark.plans.balancing import refresh_or_keep
 from tidemark.plans.housekeeping import housekeeping
-from tidemark.plans.jobspec import JobSpec
+from tidemark.plans.ingest import ingest
 from tidemark.plans.insurance import claim_detail_delta
+from tidemark.plans.jobspec import JobSpec
+from tidemark.plans.parallel import for_each
 from tidemark.plans.refine import refine, refine_job
 from tidemark.plans.replicate import replicate
 from tidemark.plans.validate import validate_table
@@ -51,6 +54,52 @@ def _land(t: Tables, wh: Warehouse, phase: int) -> None:
     wh.control("raw_table_load").append(listed.withColumn("cyc_run_sk", F.lit(phase)))
 
 
+def _manifest(t: Tables, root: str, rows) -> None:
+    """The manifest of a landing zone that holds ``rows``."""
+    ts = F.col(n.DELIVERY).cast("bigint")
+    history = {r[0]: str(r[1]) for r in rows.groupBy(n.FINGERPRINT).agg(F.min(ts)).collect()}
+    last, count = rows.agg(F.max(ts), F.count(F.lit(1))).first()
+    entry = {
+        "dataFilespath": f"CC/{TABLE.upper()}", "lastSuccessfulWriteTimestamp": str(last),
+        "schemaHistory": history, "totalProcessedRecordsCount": str(count),
+    }
+    fs, path = hadoop_path(t.spark, f"{root}/manifest.json")
+    out = fs.create(path, True)
+    out.write(bytearray(json.dumps({TABLE.upper(): entry}).encode()))
+    out.close()
+
+
+@query(
+    "ingest_two_runs",
+    f"""WITH {CDC_CTE}
+SELECT GW_FINGERPRINT AS gw_fingerprint, GW_TIMESTAMP AS gw_timestamp, true AS is_loaded,
+       CAST(CASE WHEN phase = 1 THEN 1 ELSE 2 END AS INTEGER) AS run, count(*) AS n_rows
+FROM cdc GROUP BY ALL""",
+)
+def q_ingest(t):
+    """The ingest job twice: manifest, detection, registration and landing, all folders first and then
+    only those that are new. Returns the file table with the rows that the raw zone holds."""
+    wh, root = Warehouse(t.spark, t.scratch("warehouse")), t.scratch("landing")
+    rows = t.sql(CDC)
+    for run, phases in ((1, (1,)), (2, (2, 3))):
+        new = t.stored(rows.filter(F.col("phase").isin(*phases)).drop("phase"), "new")
+        pairs = [tuple(r) for r in new.select(n.FINGERPRINT, n.DELIVERY).distinct().collect()]
+
+        def deliver(pair, new=new):
+            mine = new.filter((F.col(n.FINGERPRINT) == pair[0]) & (F.col(n.DELIVERY) == pair[1]))
+            deliveries.write_delivery(mine.drop(n.FINGERPRINT, n.DELIVERY), root, TABLE, *pair)
+
+        for_each(t.spark, deliver, pairs)
+        _manifest(t, root, rows.filter(F.col("phase") <= max(phases)))
+        assert ingest(wh, root, "CC", run, RUN_TS) == [TABLE]
+    assert ingest(wh, root, "CC", 3, RUN_TS) == []  # no news
+    raw = deliveries.folder_rows(deliveries.read_zone(t.spark, wh.raw, TABLE))
+    files = wh.control("file_loads").read()
+    return files.join(raw, ["gw_fingerprint", "gw_timestamp"], "left").select(
+        "gw_fingerprint", "gw_timestamp", "is_loaded", F.col("cyc_run_sk").alias("run"), F.col("rows").alias("n_rows")
+    )
+
+
 def _caught_up() -> str:
     """Runs 2 and 3 in one: a batch for each schema version of both."""
     parts, target = [CDC_CTE, INITIAL_CTE], "t0"
