@@ -3,6 +3,7 @@
 import pytest
 from helpers import rows
 
+from tidemark.sources import buckets
 from tidemark.sources.buckets import BUCKET, WRITE, BucketTable
 
 COLUMNS = "id string, v string"
@@ -55,3 +56,22 @@ def test_refused_writes(spark, tmp_path):
     with pytest.raises(ValueError, match=BUCKET):
         store.write(spark.createDataFrame([("1", 2)], f"id string, {BUCKET} int"))
     assert rows(store.read()) == [("1", "a")]
+
+
+def test_tasks_and_files_follow_the_bytes(spark, tmp_path, monkeypatch):
+    """A table of many bytes gets more buckets, and a hot bucket several files, in as many tasks."""
+    monkeypatch.setattr(buckets, "FILE_BYTES", 2000)
+    monkeypatch.setattr(buckets, "BUCKET_BYTES", 20_000)
+    df = spark.range(4000).selectExpr("CAST(IF(id < 2000, NULL, id) AS STRING) AS id", "uuid() AS v", "map(id, id) AS m")
+    df.write.parquet(str(tmp_path / "s"))
+    df = spark.read.parquet(str(tmp_path / "s"))
+    store = BucketTable(spark, str(tmp_path / "t"), buckets=2)
+    store.write(df, size=60_000)
+    assert store.buckets == 3
+    assert len(files(tmp_path / "t")) > 20
+    assert store.read().count() == 4000 and store.read().select("v").distinct().count() == 4000
+    hot = store.touched(df.filter("id IS NULL"))
+    before = files(tmp_path / "t")
+    store.write_buckets(store.read(hot), hot)
+    assert len(files(tmp_path / "t") - before) > 5  # from the stored bytes
+    assert store.read().count() == 4000

@@ -362,6 +362,12 @@ def archive_older_than(
     files: DataFrame, archive: DataFrame, now, xcenter: str, days: int = 30
 ) -> tuple[DataFrame, DataFrame]:
     """(kept files, new archive): loaded rows registered more than ``days`` ago move."""
+    kept, moved = older_than(files, now, xcenter, days)
+    return kept, archive.unionByName(moved)
+
+
+def older_than(files: DataFrame, now, xcenter: str, days: int = 30) -> tuple[DataFrame, DataFrame]:
+    """(kept files, rows that go to the archive)."""
     cutoff = as_timestamp(now) - F.make_dt_interval(days=F.lit(days))
     old = F.coalesce(
         (F.col("xcenter") == xcenter)
@@ -369,7 +375,7 @@ def archive_older_than(
         & (F.col("insert_date_time") < cutoff),
         F.lit(False),
     )
-    return files.filter(~old), archive.unionByName(files.filter(old))
+    return files.filter(~old), files.filter(old)
 
 
 def snapshot_copy(table: DataFrame, xcenter: str | None = None) -> DataFrame:

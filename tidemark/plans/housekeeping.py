@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from tidemark.operators.control import archive_older_than, snapshot_copy
+from tidemark.operators.control import older_than, snapshot_copy
 from tidemark.plans.parallel import for_each
 from tidemark.plans.warehouse import CONTROL, Warehouse
 
@@ -33,11 +33,19 @@ def housekeeping(
         wh.control(f"{name}_backup").write(snapshot_copy(wh.control_rows(name), wanted))
 
     for_each(wh.spark, back_up, list(tables))
-    kept, archive = archive_older_than(
-        wh.control_rows("file_loads"), wh.control_rows("file_loads_archive"), now, xcenter, days
-    )
-    wh.control("file_loads_archive").write(archive)
-    wh.control("file_loads").write(kept)
+    archive_files(wh, xcenter, now, days)
     for name in refined:
         if wh.refined(name).parts() > most_parts:
             wh.refined(name).compact()
+
+
+def archive_files(wh: Warehouse, xcenter: str, now, days: int = 30) -> None:
+    """Move old file rows to the archive. The archive is only appended to, first, with the rows it does
+    not hold yet; then the file table is written without them. A run that dies between the two leaves
+    the rows in both, and the next one takes them out of the file table without archiving them again."""
+    kept, moved = older_than(wh.control_rows("file_loads"), now, xcenter, days)
+    there = wh.control_rows("file_loads_archive").select("file_load_id")
+    moved = moved.join(there, "file_load_id", "left_anti").select(*kept.columns)
+    if not moved.isEmpty():
+        wh.control("file_loads_archive").append(moved)
+    wh.control("file_loads").write(kept)

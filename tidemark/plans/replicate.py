@@ -131,7 +131,9 @@ def apply_deliveries(
     if not replica.exists():
         latest = initial_latest([b.rows for b in batches], run_sk, run_ts)
         latest = staging.put(latest, "latest")
-        state = replica.write(split_ops(latest, initial=True)[1], counting, notes)
+        state = replica.write(
+            split_ops(latest, initial=True)[1], counting, notes, staging.bytes_of("latest")
+        )
         balance = cdc_reconcile_initial(_count(batches), latest, state, run_sk, counting.row(wh.spark))
     else:
         newest = spatial_to_hex(batches[-1].rows)

@@ -43,7 +43,8 @@ CONTROL["file_loads_archive"] = CONTROL["file_loads"]
 
 #: Control tables that only grow; every other one is replaced by its new state.
 LOGS = (
-    "raw_table_load", "replica_load", "balance_metrics", "validation_error_log", "validation_runs",
+    "raw_table_load", "replica_load", "file_loads_archive", "balance_metrics", "validation_error_log",
+    "validation_runs",
 )
 
 

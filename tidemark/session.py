@@ -71,6 +71,11 @@ class Staging:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bytes_of(self, name: str) -> int:
+        """Stored bytes of a table."""
+        fs, handle = hadoop_path(self.spark, f"{self.root}/{name}")
+        return fs.getContentSummary(handle).getLength()
+
     def close(self) -> None:
         fs, handle = hadoop_path(self.spark, self.root)
         fs.delete(handle, True)

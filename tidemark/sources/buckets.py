@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from tidemark.session import hadoop_path
 from tidemark.sources.counting import Counting
 
+#: Bytes meant for a bucket when a table is first written, and for a task and its file.
+BUCKET_BYTES, FILE_BYTES = 4 << 30, 256 << 20
 #: Folder columns; no table may have columns of these names.
 WRITE, BUCKET = "tidemark__write", "tidemark__bucket"
 
@@ -24,8 +26,10 @@ WRITE, BUCKET = "tidemark__write", "tidemark__bucket"
 class BucketTable:
     """``{path}/tidemark__write=<n>/tidemark__bucket=<k>`` and ``state-<n>.json``.
 
-    The number of buckets belongs to the table: it is taken from the state once there is one.
-    Rows with NULL in the key share a bucket.
+    The number of buckets belongs to the table: it is taken from the state once there is one. A first
+    write whose size is told takes at least as many as its bytes ask for. A bucket is written by as
+    many tasks, each with a file of its own, as its bytes ask for, so neither a large table nor one
+    hot bucket (rows with NULL in the key share one) is left to a few tasks.
     """
 
     def __init__(
@@ -113,10 +117,13 @@ class BucketTable:
         return self._state().get("notes", {}).get(name, default) if self.exists() else default
 
     def write(
-        self, df: DataFrame, counting: Counting | None = None, notes: dict | None = None
+        self, df: DataFrame, counting: Counting | None = None, notes: dict | None = None, size: int = 0
     ) -> DataFrame:
-        """Commit a complete state; ``notes`` are committed with it, added to the earlier ones."""
-        return self._commit(df, None, counting, notes)
+        """Commit a complete state; ``notes`` are committed with it, added to the earlier ones. ``size``
+        is the bytes that are known to come, which counts where more than what is stored."""
+        if not self.exists():
+            self.wanted = max(self.wanted, -(-size // BUCKET_BYTES))
+        return self._commit(df, None, counting, notes, size)
 
     def write_buckets(
         self, df: DataFrame, buckets: Sequence[int], counting: Counting | None = None, notes: dict | None = None
@@ -130,8 +137,35 @@ class BucketTable:
             raise ValueError(f"columns {changed} differ from the stored ones: write the whole table")
         return self._commit(df, list(buckets), counting, notes)
 
+    def bytes_of(self, buckets: Iterable[int] | None = None) -> dict[int, int]:
+        """Stored bytes of each bucket, or of some."""
+        sizes = {}
+        for b, number in self.contents().items():
+            if buckets is None or b in buckets:
+                fs, folder = hadoop_path(self.spark, f"{self.path}/{WRITE}={number}/{BUCKET}={b}")
+                sizes[b] = fs.getContentSummary(folder).getLength()
+        return sizes
+
+    def _dealt(self, df: DataFrame, buckets: list[int] | None, size: int) -> DataFrame:
+        """Rows dealt to tasks by bucket and, in a bucket of several files, by a hash of the row."""
+        chosen = list(range(self.buckets)) if buckets is None else buckets
+        stored = self.bytes_of(chosen)
+        even = size // max(1, len(chosen))
+        files = {b: max(1, -(-max(stored.get(b, 0), even) // FILE_BYTES)) for b in chosen}
+        several = {b: k for b, k in files.items() if k > 1}
+        if not several:
+            return df.repartition(max(1, len(chosen)), BUCKET)
+        spread = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in self._hashable(df)]), F.coalesce(F.get(F.array(spread[F.col(BUCKET)]), F.lit(0)), F.lit(1)))
+        return df.repartition(sum(files.values()), F.col(BUCKET), part)
+
+    def _hashable(self, df: DataFrame) -> list[str]:
+        """Columns that part the rows of a bucket: all but maps, which have no hash."""
+        return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()] or [BUCKET]
+
     def _commit(
-        self, df: DataFrame, buckets: list[int] | None, counting: Counting | None, notes: dict | None
+        self, df: DataFrame, buckets: list[int] | None, counting: Counting | None, notes: dict | None,
+        size: int = 0,
     ) -> DataFrame:
         clash = {WRITE, BUCKET} & {c.lower() for c in df.columns}
         if clash:
@@ -143,7 +177,7 @@ class BucketTable:
             folders.pop(str(b), None)
         dealt = df.withColumn(BUCKET, self.bucket_of())
         target = f"{self.path}/{WRITE}={number}"
-        dealt = dealt.repartition(min(count, len(buckets) if buckets else count), BUCKET)
+        dealt = self._dealt(dealt, buckets, size)
         if counting:
             dealt = counting.on(dealt)
         dealt.write.mode("errorifexists").option("compression", "snappy").partitionBy(BUCKET).parquet(target)
