@@ -4,18 +4,16 @@ Three patterns give the base spans. A fourth kind is added by two character Mark
 random strings and one of ordinary identifiers: a run of at least ``LEAST`` token characters is a
 secret if the log-likelihood ratio of the two chains exceeds ``ODDS`` and no base span overlaps it.
 
-``learn`` trains both chains from labelled strings of at most about ``SAMPLE_DOCS`` documents, taken
-by the hash of their ids: ordinary are the runs left when the base matches are taken out, and the
-identifiers that writers of code make of such words; random are the values that the patterns matched
-and ``GENERATED`` strings from a hash (so that the chain is not one of the corpus' own keys only).
-Words are counted before they are cut into pairs of characters, so a frequent word costs one row. The
+``learn`` trains both chains from labelled strings of all documents: ordinary are the runs left when
+the base matches are taken out, and the identifiers that writers of code make of such words; random
+are the values that the patterns matched and ``GENERATED`` strings from a hash (so that the chain is not
+one of the corpus' own keys only). Words are counted before they are cut into pairs of characters, so a frequent word costs one row. The
 model is one row of 128 x 128 whole numbers, whatever the input, and sums of whole numbers do not
-depend on their order. The search itself reads every whole text.
+depend on their order.
 
 DataFrame functions throughout. Positions are code points, ends exclusive.
 
-Defined cases: a null text counts as empty (no spans); rows with a null id are searched and not
-learned from; null ids, ties and repeated rows are kept, one
+Defined cases: a null text counts as empty (no spans); null ids, ties and repeated rows are kept, one
 result per row; an empty table gives no rows; without any base match or word the chains are those of
 the generated strings and of even chances; columns other than the two asked for are not read, so
 their names are free; a text of any length is read whole.
@@ -51,8 +49,6 @@ SCALE = 1024
 ODDS = round(SCALE * math.log(1_000_000))
 #: Labelled random strings that come from a hash, beside those that the patterns match.
 GENERATED = 1000
-#: Documents that the chains are learned from, about, and at most but for chance.
-SAMPLE_DOCS = 20_000
 #: A word counts so often, for once that it counts as each kind of identifier made of it.
 MADE = 8
 JOINTS = "_-/"
@@ -104,15 +100,8 @@ def _of_kind(body: Column, kind: int) -> Column:
     )
 
 
-def _sample(docs: DataFrame, doc_id: str) -> DataFrame:
-    key = F.col(f"`{doc_id}`")
-    rows = docs.agg(F.count(key).alias("n")).scalar()
-    return docs.where(key.isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 20)) * rows < F.lit(SAMPLE_DOCS << 20)))
-
-
-def labelled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``random boolean, word, n``: the labelled strings of the sample and how often they occur."""
-    docs = _sample(docs, doc_id)
+def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``random boolean, word, n``: the labelled strings of all documents and how often they occur."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     of = lambda pattern, group: F.regexp_extract_all(body, F.lit(pattern), F.lit(group))
     values = F.concat(F.filter(of(ASSIGN, 1), lambda v: F.length(v) >= LEAST_VALUE), of(ACCESS, 0), of(HEX, 0))
