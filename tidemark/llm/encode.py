@@ -25,7 +25,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHED_WORDS = 200_000
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 CUT = re.compile(r"(?<=\S)(?=[ \t\n\r])")
-UNEVEN = re.compile(r"\s[ \n]|^[ \n]|[ \n]$")
+#: A run of white space belongs to several pieces, whatever white space it is made of.
+UNEVEN = re.compile(r"\s\s|^[ \n]|[ \n]$")
 PROBE = (
     "The wordy, Straße café. a\nB don't 12,5 x.y of.,;\nfoo\n\nbar  baz   q \n end— ΣΣ 'tis "
     "so 'some said, 'said ('the and o'that l'very we'll\n'told "
