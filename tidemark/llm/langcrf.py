@@ -54,8 +54,10 @@ def features(word: str) -> list[str]:
 
 
 def bare(word: str) -> str:
-    """The word in lower case without marks and digits at its ends; empty without a letter."""
-    return _EDGE.sub("", word).lower()
+    """The word in lower case without marks and digits at its ends; empty without a letter (fractions,
+    powers and Roman numerals of one character are none)."""
+    word = _EDGE.sub("", word).lower()
+    return word if any(map(str.isalpha, word)) else ""
 
 
 @dataclass
