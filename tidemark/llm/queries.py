@@ -33,12 +33,13 @@ m AS (
          length(array_to_string(w, '')) AS word_chars,
          length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
-         coalesce(n_repeat_words, 0) AS n_repeat_words
+         coalesce(n_repeat_words, 0) AS n_repeat_words,
+         length(body) - length(regexp_replace(body, '[\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Hangul}\\p{Bopomofo}\\p{Thai}\\p{Lao}\\p{Khmer}\\p{Myanmar}]', '', 'g')) AS n_wide
   FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)),
 f AS (
   SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
          + 4 * (5 * n_symbols > n_words)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT
-         + 16 * (2 * word_chars < 5 * n_words)::BIGINT
+         + 16 * (2 * word_chars < 5 * n_words AND 2 * n_wide < word_chars)::BIGINT
          + 32 * (word_chars > 40 * n_words)::BIGINT AS failures FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
@@ -48,7 +49,6 @@ FROM f
 """
 
 
-#: The chains learn from all documents here: the given tables hold fewer than ``SAMPLE_DOCS``.
 SECRETS_SQL = r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
 patterns AS (
