@@ -218,11 +218,12 @@ def one_per_group(docs: DataFrame, stage: Staging, radius: int = RADIUS) -> Data
         "chosen",
     )
 
+    # The columns travel as one, so that they may have any names.
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
     def pick(which: DataFrame) -> DataFrame:
         same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (hash_of() == F.col("_hash"))
-        return docs.join(which, same, "left_semi")
+        return packed.join(which, same, "left_semi")
 
-    equal = pick(chosen.where("_n > 1")).groupBy("doc_id", hash_of().alias("_hash")).agg(
-        F.min(F.struct(*docs.columns)).alias("row")
-    )
-    return pick(chosen.where("_n = 1")).unionByName(equal.select("row.*")).select(*docs.columns)
+    equal = pick(chosen.where("_n > 1")).groupBy("doc_id", hash_of().alias("_hash")).agg(F.min("row").alias("row"))
+    return pick(chosen.where("_n = 1")).select("row").unionByName(equal.select("row")).select("row.*")
