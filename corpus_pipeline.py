@@ -19,8 +19,10 @@ LEAST_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language. If nothing is labelled, nothing can be learned, and
-    all documents stay."""
+    """Rejects documents without a language: a null or empty text, one without a letter, or one whose
+    words no language fits. If nothing is labelled, nothing can be learned, and all documents stay.
+    Null ids, ties and repeated rows are judged like any row; no rows give none; columns of any name
+    pass through."""
     model = langcrf.learn_from(docs)
     if model is None:
         return docs
@@ -30,9 +32,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that fail a rule of the standard policy."""
-    judged = ledger.apply_policy(ledger.ledger(docs), ledger.STANDARD)
-    return judged.where("kept").select(*docs.columns)
+    """Rejects documents that fail a rule of the standard policy; a null or empty text does. Null ids,
+    ties and repeated rows are judged like any row; no rows give none; columns of any name pass
+    through, those named like a measurement too."""
+    packed = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    judged = ledger.apply_policy(ledger.ledger(packed), ledger.STANDARD)
+    return judged.where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +55,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all texts into training windows, one row per piece."""
+    """Packs all texts into training windows, one row per piece. A null or empty text is its end token;
+    repeated rows and null ids are packed like any row; no rows give none."""
     return packing.pack_documents(docs, public_vocabulary("byte_bpe_50k.json"))
 
 
