@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view as windows
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ from tidemark.llm.scratch import Scratch
 SPAN = 50
 ANCHOR = 20
 LEAD = 16
+#: Suffixes whose neighbours are compared at once.
+STRETCH = 1 << 15
 #: Documents whose suffixes the splitters are drawn from, about, and suffixes taken of each.
 SAMPLE_DOCS = 4000
 SAMPLE_EACH = 16
@@ -113,10 +116,8 @@ def marks(texts: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
 
     def make(batches):
         for batch in batches:
-            blobs = []
-            for part in repeats.sub_batches(batch):
-                blobs += _suffix_blobs(part, cuts, buckets, before)
-            yield blob_batch(blobs)
+            for part in repeats.sub_batches(batch, most=1 << 20):  # leaves before the next is cut
+                yield blob_batch(_suffix_blobs(part, cuts, buckets, before))
 
     def compare(kinds):
         if 0 in kinds:
@@ -155,7 +156,7 @@ def _suffix_blobs(batch: pa.RecordBatch, cuts: np.ndarray, buckets: int, before:
     for low, h, row, first, end, least in repeats.wanted_runs(batch, flat, PLAN):
         while len(row):
             # The leftmost place of the minimum, and the windows it is the leftmost in.
-            near = h[np.minimum(first[:, None] + np.arange(PLAN.w), len(h) - 1)] == least[:, None]
+            near = windows(np.append(h, np.full(PLAN.w - 1, h[-1])), PLAN.w)[first] == least[:, None]
             at = first + near.argmax(axis=1)
             last = np.minimum(end, at + 1)
             rows.append(row)
@@ -168,7 +169,7 @@ def _suffix_blobs(batch: pa.RecordBatch, cuts: np.ndarray, buckets: int, before:
         return []
     row, place, o1, o2 = (np.concatenate(x) for x in (rows, places, lows, highs))
     padded = np.concatenate([np.zeros(before, np.uint8), items, np.zeros(SPAN, np.uint8)])
-    context = padded[place[:, None] + np.arange(before + SPAN)]
+    context = windows(padded, before + SPAN)[place]
     doc = batch["doc_id"].to_numpy()[row]
     h32 = (batch["h1"].to_numpy()[row] & 0xFFFFFFFF).astype(np.uint32)
     place = (place - offsets[row]).astype(np.uint32)
@@ -215,9 +216,11 @@ def _compare(blobs: list[bytes], before: int) -> tuple:
     order = multikey_order(big_endian(context[:, before:]))
     context, doc, h32, place, o1, o2 = (x[order] for x in (context, doc, h32, place, o1, o2))
     # Bytes that each suffix shares with the one before it.
-    apart = context[1:, before:] != context[:-1, before:]
     shared = np.zeros(len(doc), np.int64)
-    shared[1:] = np.where(apart.any(axis=1), apart.argmax(axis=1), SPAN)
+    for a in range(1, len(doc), STRETCH):
+        b = min(len(doc), a + STRETCH)
+        apart = context[a:b, before:] != context[a - 1 : b - 1, before:]
+        shared[a:b] = np.where(apart.any(axis=1), apart.argmax(axis=1), SPAN)
     mask = np.zeros(len(doc), np.uint32)
     left = np.zeros(len(doc), np.uint64)
     for o in range(before + 1):
