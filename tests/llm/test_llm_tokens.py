@@ -1,5 +1,6 @@
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -64,9 +65,36 @@ def test_words_split_before_the_merges(text, kind):
     assert encoder(text) == encoder.plain(text)
 
 
-def test_cache_starts_anew():
-    words = encode.Words(lambda w: w.encode(), 3)
-    assert b"".join(map(words.__getitem__, "abcdefab")) == b"abcdefab" and len(words) <= 3
+BLANKS = strings([*"aé.'1\n\t \r\x0b\x0c\x1c\x1f", *map(chr, (0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x202F, 0x205F, 0x3000, 0x200B)), "à", "ÿ", "日"], 25)
+
+
+@settings(max_examples=300, deadline=None)
+@given(BLANKS, st.sampled_from([(WORD, "dropped"), (BYTE, "leading")]))
+def test_cached_encoding_of_all_white_space(text, kind):
+    encoder = encode.encoder(*kind)
+    assert encoder.cached
+    assert encoder(text) == encoder.plain(text)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(TEXT | BLANKS | st.none(), max_size=8), st.sampled_from([(WORD, "dropped"), (BYTE, "leading")]))
+def test_texts_of_a_batch_stay_apart(texts, kind):
+    encoder = encode.encoder(*kind)
+    got = encoder.batch(pa.array(["left out", *texts], pa.string())[1:])
+    assert [g.tobytes() for g in got] == [encoder.plain(t or "") for t in texts]
+
+
+def test_memory_of_words_has_two_generations():
+    asked = []
+
+    def compute(words):
+        asked.extend(words)
+        return [w * 2 for w in words]
+
+    words = encode.Remembered(compute, 4)
+    for word in (b"a", b"b", b"c", b"a", b"d", b"a", b"x" * 70, b"x" * 70):
+        assert words.get([word]) == [word * 2] and len(words) <= 4
+    assert asked == [b"a", b"b", b"c", b"d", b"x" * 70, b"x" * 70]
 
 
 def test_token_files(spark, odd_documents, odd_rows, monkeypatch):

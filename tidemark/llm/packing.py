@@ -24,7 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.encode import encoder
+from tidemark.llm.encode import STRETCH_BYTES, encoder
+from tidemark.llm.repeats import sub_batches
 
 WINDOW = 2048
 TIERS = (2048, 1024, 512, 256)
@@ -153,12 +154,11 @@ def pack_documents(
 
     def pack(batches):
         encode = encoder(path, white_space)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         packer = Packer(TaskContext.get().partitionId())
-        for batch in batches:
-            for key, value in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = np.frombuffer(encode(value.as_py()) + end, "<u4")
-                packer.add(key, ids)
+        for batch in (b for whole in batches for b in sub_batches(whole, most=STRETCH_BYTES)):
+            for key, ids in zip(batch["doc_id"].to_pylist(), encode.batch(batch["text"]), strict=True):
+                packer.add(key, np.concatenate([ids, end]))
                 if len(packer.pool) >= 4096:
                     packer.pack()
                 if len(packer.rows) >= 20_000:

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import elias_fano
-from tidemark.llm.encode import encoder
+from tidemark.llm.encode import STRETCH_BYTES, encoder
+from tidemark.llm.repeats import sub_batches
 
 #: Ids after which a segment is closed.
 SEGMENT_IDS = 1 << 20
@@ -69,9 +70,9 @@ def write_tokens(
             return _one_row(row)
 
         doc_ids, pieces, held = [], [], 0
-        for batch in batches:
-            for key, value in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = encode(value.as_py()) + end
+        for batch in (b for whole in batches for b in sub_batches(whole, most=STRETCH_BYTES)):
+            for key, found in zip(batch["doc_id"].to_pylist(), encode.batch(batch["text"]), strict=True):
+                ids = found.tobytes() + end
                 doc_ids.append(key)
                 pieces.append(ids)
                 held += len(ids) // 4
