@@ -51,29 +51,18 @@ _TAILS = {
 _ENCODERS: dict[tuple[str, str], "TextEncoder"] = {}
 
 
-def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The texts' words as one array, each with the white space before it and without marks after a
-    Latin letter, and how many words there are up to the end of each text. An empty or null text has
-    none."""
+def words_between(texts: pa.Array, begins) -> tuple[pa.Array, np.ndarray]:
+    """The texts' words as one array, and how many words there are up to the end of each text. An empty
+    or null text has none. ``begins`` tells for all bytes of the batch but the first whether one begins
+    there; every text begins a word."""
     texts = pa.concat_arrays([texts.cast(pa.large_binary())]).fill_null(b"")
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     low, high = (int(ends[0]), int(ends[-1])) if len(ends) else (0, 0)
     raw = np.frombuffer(texts.buffers()[2], np.uint8)[low:high] if high > low else np.empty(0, np.uint8)
     ends = ends - low
     starts = np.zeros(len(raw) + 1, bool)
-    starts[1:-1] = _BEFORE[raw[1:]] & _ENDS[raw[:-1]]
-    letters = _LETTERS[raw[:-1]]
-    letters[1:] |= (raw[:-2] == 0xC3) & _LATIN[raw[1:-1]]
-    letters &= _OTHERS[raw[1:]]
-    after = np.flatnonzero(starts)
-    after = after[(after > 2) & (raw[after - 1] >= 128)]
-    if len(after):
-        tail = raw[after - 1].astype(np.uint32) | raw[after - 2].astype(np.uint32) << 8
-        wide = np.isin(tail, _TAILS[2])
-        wide |= np.isin(tail | raw[after - 3].astype(np.uint32) << 16, _TAILS[3])
-        starts[after[wide]] = False
-    starts[:3] = False
-    starts[1:-1] |= letters
+    if len(raw):
+        starts[1:-1] = begins(raw)
     starts[ends] = True
     edges = np.flatnonzero(starts) if len(raw) else np.zeros(1, np.int64)
     words = pa.LargeBinaryArray.from_buffers(
@@ -82,6 +71,22 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, np.searchsorted(edges, ends[1:])
 
 
+def _word_starts(raw: np.ndarray) -> np.ndarray:
+    """White space after something else, and marks, digits and blanks after a Latin letter."""
+    starts = np.zeros(len(raw), bool)
+    starts[1:] = _BEFORE[raw[1:]] & _ENDS[raw[:-1]]
+    after = np.flatnonzero(starts)
+    after = after[(after > 2) & (raw[after - 1] >= 128)]
+    tail = raw[after - 1].astype(np.uint32) | raw[after - 2].astype(np.uint32) << 8
+    wide = np.isin(tail, _TAILS[2])
+    wide |= np.isin(tail | raw[after - 3].astype(np.uint32) << 16, _TAILS[3])
+    starts[after[wide]] = False
+    starts[:3] = False
+    letters = _LETTERS[raw[:-1]]
+    letters[1:] |= (raw[:-2] == 0xC3) & _LATIN[raw[1:-1]]
+    return starts[1:] | letters & _OTHERS[raw[1:]]
+
+
 def gather(flat: np.ndarray, bounds: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stretches ``codes`` of ``flat`` set end to end, and their ends; stretch ``c`` lies between
     ``bounds[c]`` and ``bounds[c + 1]``."""
@@ -188,7 +193,7 @@ class TextEncoder:
         """Ids of each text."""
         if not self.cached:
             return [np.frombuffer(self.plain(t.as_py() or ""), "<u4") for t in texts]
-        words, ends = words_of(texts)
+        words, ends = words_between(texts, _word_starts)
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if not distinct:

@@ -13,7 +13,8 @@ such a pair and infinity for any other; the composition keeps exactly the merge
 shortest path finds it.
 
 No piece has a blank mark after another character, so no arc spans the start of a word, and the
-lattice of a text is a chain of lattices of words; equal words are composed once per worker.
+lattice of a text is a chain of lattices of words; equal words of a batch are composed once, and the
+worker remembers them.
 
 Defined cases: a null or empty text has no ids and decodes to an empty one; null ids and repeated
 rows are encoded row by row; an empty table gives no rows; other columns are not read. Models with
@@ -28,12 +29,18 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.encode import gather, words_between
+from tidemark.llm.repeats import sub_batches
+
 MARK = "▁"
-#: Words, and pairs of neighbours, that a worker remembers; the memory then starts anew.
+#: Words, and pairs of neighbours, that a worker remembers, words in two generations.
 CACHED_WORDS, CACHED_PAIRS = 500_000, 1_000_000
+#: Bytes of text that are cut at once.
+STRETCH_BYTES = 4 << 20
 INFINITY = float("inf")
 _CUT = re.compile(r"(?<=[^ \n])(?=[ \n])|(?<=\n)(?=[^\n])")
 _UNEVEN = re.compile(r"[ \n][ \n]|^[ \n]|[ \n]$")
@@ -69,6 +76,8 @@ class PieceTransducer:
             else:
                 self.unknown = i if p.type == _UNKNOWN else self.unknown
                 self.output.append(" ⁇ ".encode() if p.type == _UNKNOWN else b"")
+        self.spelt = np.frombuffer(b"".join(self.output), np.uint8)
+        self.spelt_bounds = np.cumsum([0, *map(len, self.output)])
         self.fallback = model.trainer_spec.byte_fallback
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece spans the start of a word")
@@ -80,6 +89,7 @@ class PieceTransducer:
         self.pairs: dict[str, dict[str, bool]] = {}
         self.n_pairs = 0
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """What the merges give for a short text: the best pair first, the leftmost of equals."""
@@ -201,16 +211,16 @@ class PieceTransducer:
 
     def stretch(self, text: str) -> bytes:
         """Ids of a piece of a word between places that no arc spans."""
-        ids = self.words.get(text)
+        ids = self._known(text)
         if ids is None:
             ids = self._ids(self.shortest_path(text))
             if len(text) <= 64:
-                self.words[text] = ids
+                self._keep(text, ids)
         return ids
 
     def word(self, text: str) -> bytes:
         """Ids of a normalised stretch that no arc leaves."""
-        ids = self.words.get(text)
+        ids = self._known(text)
         if ids is None:
             inside = self.inside
             cuts = [n for n in range(1, len(text)) if text[n - 1 : n + 1] not in inside]
@@ -219,9 +229,21 @@ class PieceTransducer:
                 [self.stretch(text[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
             )
             if len(text) <= 64:
-                if len(self.words) >= CACHED_WORDS:
-                    self.words.clear()
-                self.words[text] = ids
+                self._keep(text, ids)
+        return ids
+
+    def _keep(self, text: str, ids: bytes) -> None:
+        """Remember; a full memory becomes the old one, in front of which a new one grows."""
+        if len(self.words) >= CACHED_WORDS // 2:
+            self.words, self.old = {}, self.words
+        self.words[text] = ids
+
+    def _known(self, text: str) -> bytes | None:
+        ids = self.words.get(text)
+        if ids is None:
+            ids = self.old.get(text)
+            if ids is not None:
+                self._keep(text, ids)
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -242,12 +264,45 @@ class PieceTransducer:
             out.append(newline + word(part[1:]) if part[:1] == "\n" else word(MARK + part))
         return b"".join(out)
 
+    def encode_batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text. Distinct words of the batch are composed once: texts are cut before each
+        run of blanks and around line ends, where no arc runs across."""
+        if not self.merges or not self.prefix or any("\n" in p for p in self.ids):
+            return [np.frombuffer(self.encode(t.as_py() or ""), "<u4") for t in texts]
+        plain = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), MARK, " ")
+        empty, blank = (pa.scalar(x, pa.large_string()) for x in ("", " "))
+        led = pc.binary_join_element_wise(pc.if_else(pc.equal(plain, empty), empty, blank), plain, empty)
+        words, ends = words_between(led, _piece_starts)
+        coded = words.dictionary_encode()
+        word = self.word
+        ids = [word(w.decode().replace(" ", MARK)) for w in coded.dictionary.to_pylist()]
+        if not ids:
+            return [np.empty(0, "<u4") for _ in range(len(texts))]
+        bounds = np.cumsum([0, *map(len, ids)]) // 4
+        flat, word_ends = gather(np.frombuffer(b"".join(ids), "<u4"), bounds, coded.indices.to_numpy())
+        return np.split(flat, np.concatenate([[0], word_ends])[ends])[: len(texts)]
+
+    def decode_batch(self, ids: list[np.ndarray]) -> list[str]:
+        """Each text read back."""
+        codes = np.concatenate([np.empty(0, np.int64), *ids]).astype(np.int64)
+        flat, ends = gather(self.spelt, self.spelt_bounds, codes)
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, ids)])]
+        raw = flat.tobytes()
+        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return [t[1:] if self.prefix and t[:1] == " " else t for t in texts]
+
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join(map(self.output.__getitem__, ids.tolist()))
         text = raw.decode("utf-8", "replace")
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
+def _piece_starts(raw: np.ndarray) -> np.ndarray:
+    """Where a word may begin: a blank after something else, a line end, and what follows one."""
+    line = raw == 10
+    return (raw[1:] == 32) & (raw[:-1] != 32) | line[1:] | line[:-1]
+
+
 def transducer(path: str) -> PieceTransducer:
     """The worker's machine for a model file; compiled once."""
     if path not in _MACHINES:
@@ -262,17 +317,15 @@ def encode_texts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
 
     def encode(batches):
         machine = transducer(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                raw = [machine.encode(t.as_py()) for t in part["text"]]
-                ids = [np.frombuffer(r, "<u4") for r in raw]
+        for whole in batches:
+            for part in sub_batches(whole, most=STRETCH_BYTES):
+                ids = machine.encode_batch(part["text"])
                 flat = np.concatenate(ids).astype(np.int32)
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                     pa.array([zlib.crc32(r) for r in raw], pa.int64()),
-                     pa.array([machine.decode(i) for i in ids], pa.string())],
+                     pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()),
+                     pa.array(machine.decode_batch(ids), pa.string())],
                     names=["doc_id", "ids", "ids_crc32", "decoded"],
                 )
 
