@@ -95,6 +95,46 @@ def test_forward_backward_in_blocks():
         assert np.allclose(got[a : a + n], naive_posteriors(log_e[a : a + n], model))
 
 
+def test_forward_backward_side_by_side():
+    """More languages than blocks take as matrices."""
+    rng = np.random.default_rng(0)
+    k = langcrf.FEW + 3
+    model = langcrf.Model([str(i) for i in range(k)], {}, np.zeros((0, k)), rng.random((k, k)) + 0.05, rng.random(k) + 0.1)
+    sizes = [1, 2, 300, 1, 40, 300]
+    log_e = 3 * rng.standard_normal((sum(sizes), k))
+    first = np.zeros(sum(sizes), bool)
+    starts = np.cumsum([0, *sizes[:-1]])
+    first[starts] = True
+    got = langcrf.forward_backward(log_e, first, model)
+    for a, n in zip(starts, sizes, strict=True):
+        assert np.allclose(got[a : a + n], naive_posteriors(log_e[a : a + n], model))
+
+
+def test_sums_and_transitions_in_parts(monkeypatch):
+    rng = np.random.default_rng(2)
+    weights, sizes = rng.random((50, 3)), rng.integers(0, 9, 40)
+    flat, ends = rng.integers(0, 50, sizes.sum()), np.cumsum(sizes)
+    monkeypatch.setattr(langcrf, "CELLS", 30)
+    got = langcrf._sum_rows(weights, flat, ends)
+    assert np.allclose(got, [weights[flat[b - n : b]].sum(axis=0) for b, n in zip(ends, sizes, strict=True)])
+    log_e, move, begin = rng.standard_normal((2, 4, 3)), rng.standard_normal((3, 3)), rng.standard_normal(3)
+    p, pair, _ = langcrf._chain_posteriors(log_e, move, begin)
+    # What goes from a label and into one is the posterior of that label before and after.
+    assert np.allclose(pair.sum(axis=1), p[:, :-1].sum(axis=(0, 1))) and np.allclose(pair.sum(axis=0), p[:, 1:].sum(axis=(0, 1)))
+
+
+def test_every_label_is_learned(spark):
+    """Also of more languages than a cap would let in."""
+    rng = np.random.default_rng(3)
+    stems = ["".join(rng.choice(list("bcdfghklmnprstvz"), 3)) + str(chr(0x430 + i % 32)) + chr(0x561 + i // 32) for i in range(230)]
+    rows = [(i * 8 + j, " ".join(stems[i] + x for x in "aeioua"), f"l{i:03}") for i in range(230) for j in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langcrf.learn_from(df)
+    assert len(model.labels) == 230
+    got = [r for r in langcrf.label_documents(df.where(langcrf.held_out()), model).collect()]
+    assert np.mean([r.lang_pred == f"l{r.doc_id // 8:03}" for r in got]) > 0.95
+
+
 WORDS = {"xx": "alda balda caldo daldi eldam faldi", "yy": "orniq porniq quorne sorneq tornaq", "zz": "µßim ümißu îmîmi"}
 
 

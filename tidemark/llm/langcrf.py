@@ -5,8 +5,9 @@ word; the chain has learned transitions, so a switch of language inside a text i
 words ask for it. Forward-backward gives every word its posterior; a document's language has the
 largest part of the mass, and that part is its score.
 
-Learning takes a bounded sample: about ``SAMPLE_DOCS`` documents of each language, chosen by a
-hash of the id, and ``SAMPLE_WORDS`` words of each, from a random place. Their stretches are strung
+Every label is learned. Learning takes a bounded sample: about ``SAMPLE_DOCS`` documents of each
+language (of more than 40 languages fewer, see :func:`sample_of`), chosen by a hash of the id, and
+``SAMPLE_WORDS`` words of each, from a random place; the features are those of the sample. Their stretches are strung
 together at random, so that the transitions have switches to learn from. Prediction covers every
 word of every text, in blocks; a text's length does not matter.
 
@@ -29,18 +30,19 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.repeats import sub_batches
 
-SAMPLE_DOCS = 600
+SAMPLE_DOCS, SAMPLE_TOTAL, SAMPLE_LEAST = 600, 24_000, 60
 SAMPLE_WORDS = 60
 #: Words of a stretch of one document in a learning chain, at most, and words of a chain.
 STRETCH, CHAIN = 20, 60
 LEXICON_LEAST = 3
-#: Languages that are learned, the most frequent ones.
-MAX_LANGUAGES = 200
-MAX_FEATURES = 200_000
+#: Numbers that are held at once while learning and predicting: rows times languages.
+CELLS = 4 << 20
+#: Languages up to which the blocks of a chain advance as matrices.
+FEW = 32
 ROUNDS, RATE, DECAY = 50, 0.15, 1e-3
 UNKNOWN = "und"
-#: Words whose weights a worker keeps, at most.
-CACHED_WORDS = 150_000
+#: Weights of words that a worker keeps, at most.
+CACHED_CELLS = 150_000 * FEW
 BLOCK = 256
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
@@ -82,9 +84,34 @@ def _indices(index: dict[str, int], words: list[str]) -> tuple[np.ndarray, np.nd
 
 
 def _sum_rows(weights: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(flat) + 1, weights.shape[1]))
-    np.cumsum(weights[flat], axis=0, out=total[1:])
-    return total[ends] - total[np.concatenate([[0], ends[:-1]])] if len(ends) else total[:0]
+    """Sums of the rows ``flat`` of ``weights`` up to each of the ends, some words at a time."""
+    out = np.empty((len(ends), weights.shape[1]))
+    begins = np.concatenate([[0], ends[:-1]])
+    step, at = max(1, CELLS // max(1, weights.shape[1])), 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, begins[at] + step, "right")))
+        low, high = begins[at], ends[to - 1]
+        total = np.zeros((high - low + 1, weights.shape[1]))
+        np.cumsum(weights[flat[low:high]], axis=0, out=total[1:])
+        out[at:to] = total[ends[at:to] - low] - total[begins[at:to] - low]
+        at = to
+    return out
+
+
+def _filter_side_by_side(e: np.ndarray, reset: np.ndarray, a: np.ndarray, init: np.ndarray) -> np.ndarray:
+    """As :func:`_filter`, chains next to each other, for many languages: no block needs a matrix."""
+    starts = np.flatnonzero(reset)
+    sizes = np.diff(np.append(starts, len(e)))
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes = starts[order], sizes[order]
+    out = np.empty_like(e)
+    x = np.empty((0, e.shape[1]))
+    for s in range(int(sizes[0]) if len(sizes) else 0):
+        at = starts[: np.searchsorted(-sizes, -s, "left")] + s
+        x = (x[: len(at)] @ a if s else init) * e[at]
+        x /= x.sum(axis=1, keepdims=True)
+        out[at] = x
+    return out
 
 
 def _filter(e: np.ndarray, reset: np.ndarray, a: np.ndarray, init: np.ndarray) -> np.ndarray:
@@ -93,6 +120,8 @@ def _filter(e: np.ndarray, reset: np.ndarray, a: np.ndarray, init: np.ndarray) -
     Blocks of the chain advance side by side: first as matrices, to learn what each block does to
     its input, then one after the other, then as vectors from their true inputs."""
     t, k = e.shape
+    if k > FEW:
+        return _filter_side_by_side(e, reset, a, init)
     blocks = -(-t // BLOCK)
     e = np.concatenate([e, np.ones((blocks * BLOCK - t, k))]).reshape(blocks, BLOCK, k)
     reset = np.concatenate([reset, np.zeros(blocks * BLOCK - t, bool)]).reshape(blocks, BLOCK)
@@ -143,7 +172,7 @@ def learn(samples: list[tuple[str, list[str]]], seed: int = 0) -> Model:
         for f in features(word):
             seen[f] = seen.get(f, 0) + int(n)
     often = sorted((f for f, n in seen.items() if n >= LEXICON_LEAST), key=lambda f: (-seen[f], f))
-    index = {f: i for i, f in enumerate(often[:MAX_FEATURES])}
+    index = {f: i for i, f in enumerate(often)}
     flat, ends = _indices(index, list(vocabulary))
     owner = np.repeat(np.arange(len(vocabulary)), np.diff(ends, prepend=0))
     y = np.array(ys)
@@ -151,15 +180,20 @@ def learn(samples: list[tuple[str, list[str]]], seed: int = 0) -> Model:
     move, begin = np.zeros((k, k)), np.zeros(k)
     momentum = [[np.zeros_like(x), np.zeros_like(x)] for x in (w, move, begin)]
     n = max(1, y.size)
+    some = max(1, CELLS // (CHAIN * k))  # chains at a time
     for step in range(1, ROUNDS + 1):
-        log_e = _sum_rows(w, flat, ends)[ids]
-        gold = np.eye(k)[y]
-        p, pair, p0 = _chain_posteriors(log_e, move, begin)
-        off = (gold - p).reshape(-1, k)
-        by_word = np.stack([np.bincount(ids.reshape(-1), off[:, j], len(vocabulary)) for j in range(k)], axis=1)
+        of_word = _sum_rows(w, flat, ends)
+        by_word = np.zeros_like(of_word)
+        grad_move, grad_begin = np.zeros((k, k)), np.zeros(k)
+        for at in range(0, len(y), some):
+            part, gold = ids[at : at + some], np.eye(k)[y[at : at + some]]
+            p, pair, p0 = _chain_posteriors(of_word[part], move, begin)
+            off = (gold - p).reshape(-1, k)
+            for j in range(k):
+                by_word[:, j] += np.bincount(part.reshape(-1), off[:, j], len(vocabulary))
+            grad_move += np.einsum("nta,ntb->ab", gold[:, :-1], gold[:, 1:], optimize=True) - pair
+            grad_begin += (gold[:, 0] - p0).sum(axis=0)
         grad_w = np.stack([np.bincount(flat, by_word[owner, j], len(index)) for j in range(k)], axis=1)
-        grad_move = np.einsum("nta,ntb->ab", gold[:, :-1], gold[:, 1:]) - pair
-        grad_begin = (gold[:, 0] - p0).sum(axis=0)
         for value, grad, (m, v) in zip((w, move, begin), (grad_w, grad_move, grad_begin), momentum, strict=True):
             grad = grad / n * 100 - DECAY * value
             m += 0.1 * (grad - m)
@@ -200,26 +234,27 @@ def _chain_posteriors(log_e, move, begin):
         back[:, s] /= back[:, s].sum(axis=1, keepdims=True)
     p = ahead * back
     p /= p.sum(axis=2, keepdims=True)
-    pair = ahead[:, :-1, :, None] * a * (e * back)[:, 1:, None, :]
-    pair /= pair.sum(axis=(2, 3), keepdims=True)
-    return p, pair.sum(axis=(0, 1)), p[:, 0]
+    # Of two neighbours, x then y: ahead(x) a(x, y) behind(y), over its sum.
+    before, behind = ahead[:, :-1].reshape(-1, k), (e * back)[:, 1:].reshape(-1, k)
+    behind = behind / np.einsum("nk,nk->n", before @ a, behind)[:, None]
+    return p, a * (before.T @ behind), p[:, 0]
 
 
 def sample_of(docs: DataFrame, each: int = SAMPLE_DOCS) -> list[tuple[str, list[str]]]:
-    """About ``each`` labelled documents per language (columns ``doc_id, text, lang``), with
-    ``SAMPLE_WORDS`` bare words of each."""
+    """About ``each`` labelled documents of every language (columns ``doc_id, text, lang``), or where
+    languages are many about ``SAMPLE_TOTAL`` in all, ``SAMPLE_LEAST`` each at least, with
+    ``SAMPLE_WORDS`` bare words of each document."""
     labelled = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL")
-    frequent = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
-    counts = {r["lang"]: r["n"] for r in frequent.limit(MAX_LANGUAGES).collect()}
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
+    each = min(each, max(SAMPLE_LEAST, SAMPLE_TOTAL // len(counts)))
     scale = 1 << 30
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
-    limit = F.lit(0)
-    for lang, n in sorted(counts.items()):
-        limit = F.when(F.col("lang") == lang, min(scale, each * scale // n + 1)).otherwise(limit)
+    limits = {lang: min(scale, each * scale // n + 1) for lang, n in sorted(counts.items())}
+    limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
     # The draw is by id, so the texts of other documents are not looked at.
-    chosen = labelled.where(draw < limit)
+    chosen = labelled.where(draw < F.try_element_at(limit, F.col("lang")))
 
     def cut(batches):
         for batch in batches:
@@ -248,7 +283,7 @@ class _Reader:
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Row of each word in ``table``; -1 without a letter."""
-        if len(self.place) > CACHED_WORDS:
+        if self.table.size > CACHED_CELLS:
             self.place, self.table = {}, self.table[:0]
         new, shapes = [], []
         at, base = self.place, len(self.table)
@@ -284,12 +319,12 @@ def label_documents(
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(None).cast(spans).alias("spans"), "carried",
                            *[F.lit(0.0).alias("certainty")] * certainty)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES rows of weights
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # as large as the sample makes it
 
     def label(batches):
         reader = _Reader(sent.value)
         for batch in batches:
-            for part in sub_batches(batch, most=1 << 20):
+            for part in sub_batches(batch, most=max(1 << 14, (1 << 20) * FEW // max(FEW, len(model.labels)))):
                 rows = _label_part(part, reader)
                 yield rows if certainty else rows.select(rows.schema.names[:-1])
 
