@@ -262,3 +262,32 @@ def test_extraction_of_odd_pages(spark):
         assert want in got
     assert all(r.n_chars == len(r.text) for r in rows)
     assert html_paths.extract(df.limit(0)).collect() == []
+
+
+PROSE = "This is a plain sentence, with some words in it. " * 24
+
+
+def test_sections_beside_each_other_stay():
+    menu = "<div class=m><h2>Topics</h2><a href=1>One thing</a> <a href=2>Another thing</a></div>"
+    for tag in ("div", "section"):
+        page = (f"{menu}<{tag} class=a><h2>Intro</h2><p>{PROSE}</p></{tag}>"
+                f"<{tag} class=b><h2>End</h2><p>Short closing words.</p></{tag}><div class=c><p>All, rights.</p></div>")
+        assert html_paths.main_text(page) == "\n".join(["Intro", PROSE.strip(), "End", "Short closing words."])
+
+
+def test_unequal_sections_without_article():
+    parts = [(f"Part {i}", "A sentence, of few words. " * n) for i, n in enumerate((1, 40, 3, 12))]
+    page = "<body><ul><li><a href=1>Home</a></ul><div id=x>" + "".join(f"<div><h2>{h}</h2><p>{p}</p></div>" for h, p in parts) + "</div>"
+    assert html_paths.main_text(page) == "\n".join(x.strip() for part in parts for x in part)
+
+
+@pytest.mark.parametrize("name", ["legal", "search", "related", "alert", "discussion"])
+def test_names_do_not_outrank_the_content(name):
+    said = "One sentence, here. Two sentences, there. Three of them, in all, by now. Four sentences, done."
+    page = f"<main><p>{PROSE}</p><div class={name}><p>{said}</p></div>{{}}</main>"
+    assert html_paths.main_text(page.format("")) == f"{PROSE.strip()}\n{said}"
+    links = f"<div class={name}><a href=1>One of them, that.</a> <a href=2>Another. And more. Yes.</a></div>"
+    comments = f"<div class=comments><p>{said}</p></div>"
+    assert html_paths.main_text(page.format(links + comments)) == f"{PROSE.strip()}\n{said}"
+    # Outside of it a name counts.
+    assert html_paths.main_text(f"<main><p>{PROSE}</p></main><div class={name}><p>{said}</p></div>") == PROSE.strip()

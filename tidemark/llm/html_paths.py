@@ -6,12 +6,12 @@ block, with their spread, are fused to one figure per path. The figures are smoo
 blocks with like paths weighing more, and blocks above the threshold are content, all of them, but
 for those outside when an ``article`` or ``main`` holds the content. The element that holds the blocks
 of the path with the most content gives its other blocks too, such as headings, short lines and cells,
-but for lists of links.
+but for lists of links; so do sections beside it that have a heading of the same level.
 
 Elements whose tag or class names them as surroundings (menus, headers and footers of the page,
 sidebars, adverts, notices, forms, comments) have no say and give no text, unless they are wrappers:
 they hold the page's ``article`` or ``main``, or most of its text; ``article`` and ``main`` count for
-more. A page is one row and is handled where it is read: no shuffle.
+more, and in them a name that may be a subject (legal, related, …) leaves out no prose. A page is one row and is handled where it is read: no shuffle.
 
 Defined cases: a null or empty page gives an empty text; a page that is text without tags is one
 block; tags that are never closed end with their parents; null ids and repeated rows are kept row by
@@ -63,21 +63,31 @@ ENDS = {
 HOLDERS = frozenset("ul ol dl table td th body article main section div aside nav footer header".split())
 #: Whole classes or ids: surroundings by name, with words of place and number around them. Others
 #: (has-sidebar, comments-open, tag-legal) tell of the page, not of the element.
-_NAME = (
-    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|side-?bar|cookies?|consent|gdpr"
-    r"|notice|alert|nav(?!y)\w*|menu|bread-?crumbs?|footer|foot|masthead|site-?header|page-?header|topbar"
-    r"|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|sign-?up|login|popup"
-    r"|modal|overlay|comments?|comment-?list|respon(?:d|ses?)|repl(?:y|ies)|disqus|discussion|widget"
-    r"|pagination|pager|tags?-?list|skip-?link|copyright|legal|disclaimer|search)\d*"
+_SURE = (
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|side-?bar|cookies?|consent|gdpr"
+    r"|notice|nav(?!y)\w*|menu|bread-?crumbs?|footer|foot|masthead|site-?header|page-?header|topbar"
+    r"|toolbar|share|sharing|recommend\w*|newsletter|subscribe|sign-?up|login|popup"
+    r"|modal|overlay|comments?|comment-?list|respon(?:d|ses?)|repl(?:y|ies)|disqus"
+    r"|pagination|pager|tags?-?list|skip-?link|copyright"
 )
+#: Words that name a subject as well: inside the content they tell nothing of prose.
+_UNSURE = r"alert|social|related|discussion|widget|legal|disclaimer|search"
 _PLACE = (
     r"(?:left|right|top|bottom|main|site|page|global|primary|secondary|mobile|desktop|sticky|post|entry|article"
     r"|blog|area|box|bar|list|links?|items?|section|block|wrap|wrapper|container|inner|buttons?|icons?|form|posts"
     r"|field|panel|header|\d+)"
 )
-SURROUNDING_NAME = re.compile(
-    rf"(?:^|(?<=\s))(?:{_PLACE}[_-]+)*{_NAME}(?:[_-]+(?:{_NAME}|{_PLACE}))*(?=$|\s)", re.I
-)
+
+
+def _names(words: str) -> re.Pattern:
+    name = rf"(?:{words})\d*"
+    return re.compile(rf"(?:^|(?<=\s))(?:{_PLACE}[_-]+)*{name}(?:[_-]+(?:{name}|{_PLACE}))*(?=$|\s)", re.I)
+
+
+SURROUNDING_NAME, SURE_NAME = _names(f"{_SURE}|{_UNSURE}"), _names(_SURE)
+#: Sentences and characters that an element inside the content must have to be prose whatever its
+#: name, and the share of link text that it may have.
+PROSE_SENTENCES, PROSE_CHARS, PROSE_LINKS = 3, 80, 0.2
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split()
 )
@@ -86,6 +96,7 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|$)", re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
+STOPS = re.compile(r"[.!?…。！？؟]")
 MARKS = re.compile(r"[.,;:!?…。，、！？؟¿¡]")
 BLANKS = re.compile(r"\s+")
 
@@ -98,6 +109,7 @@ class Element:
     excluded: bool
     content: bool
     surrounding: int = 0
+    unsure: bool = False
     within: set = field(default_factory=set)
 
 
@@ -116,6 +128,7 @@ def blocks_of(page: str) -> list[Block]:
 
 def _without_surroundings(blocks: list[Block]) -> list[Block]:
     """Blocks in no element of surroundings, but for those that are wrappers of the page's content."""
+    _acquit_prose(blocks)
     over = [[e for e in stack_of(b.holder) if e.surrounding] for b in blocks]
     if not any(over):
         return blocks
@@ -153,6 +166,21 @@ def _without_surroundings(blocks: list[Block]) -> list[Block]:
     return kept
 
 
+def _acquit_prose(blocks: list[Block]) -> None:
+    """Elements inside an article or main that an unsure name alone takes for surroundings are none if
+    their ratios are those of prose."""
+    held: dict[int, tuple[Element, list[Block]]] = {}
+    for b in blocks:
+        for e in stack_of(b.holder):
+            if e.unsure:
+                held.setdefault(id(e), (e, []))[1].append(b)
+    for element, inside in held.values():
+        size = sum(len(b.text) for b in inside)
+        stops = sum(len(STOPS.findall(b.text)) for b in inside)
+        if size >= PROSE_CHARS and stops >= PROSE_SENTENCES and sum(b.linked for b in inside) <= PROSE_LINKS * size:
+            element.surrounding = 0
+
+
 def _all_blocks(page: str) -> list[Block]:
     """Text blocks in page order, without hidden ones."""
     root = Element("", "", None, False, False)
@@ -258,7 +286,8 @@ def _element(tag: str, rest: str, stack: list[Element]) -> Element:
         surrounding = NAMED
     first = label.split()[0].rstrip("0123456789") if label else ""
     path = parent.path if tag in INLINE else f"{parent.path}/{tag}{'.' + first if first and tag not in ('p', 'li') else ''}"
-    return Element(tag, path, parent, excluded, inside or tag in CONTENT, surrounding)
+    unsure = surrounding == NAMED and inside and tag not in FORMS and role not in FORMS and not SURE_NAME.search(label)
+    return Element(tag, path, parent, excluded, inside or tag in CONTENT, surrounding, unsure)
 
 
 def path_figures(blocks: list[Block]) -> dict[str, float]:
@@ -355,6 +384,11 @@ def _fuse(blocks: list[Block], chosen: list[bool]) -> list[bool]:
             near = near.parent
         if near is not None and (near.content or near.tag in ("div", "section")):
             inner = [any(e is near for e in stack_of(b.holder)) for b in blocks]
+            above = list(stack_of(near))
+    else:
+        above = above[[id(e) for e in above].index(holder):]
+    if said is None:
+        inner = [i or j for i, j in zip(inner, _sections_like(above[0], blocks), strict=True)]
     paths = {b.holder.path for b, c in zip(blocks, chosen, strict=True) if c}
     out = [
         i and (b.holder.path in paths or b.heading or b.holder.content or 2 * b.linked < len(b.text))
@@ -368,6 +402,29 @@ def _fuse(blocks: list[Block], chosen: list[bool]) -> list[bool]:
     return out
 
 
+def _sections_like(section: Element, blocks: list[Block]) -> list[bool]:
+    """Blocks of the siblings of a section with a heading: elements of its tag that have a heading of
+    the same level, and less than half of their text in links."""
+    beside: list[Element | None] = [
+        next((e for e in stack_of(b.holder) if e.parent is section.parent and e.tag == section.tag), None) for b in blocks
+    ]
+    held: dict[int, list[Block]] = defaultdict(list)
+    for b, e in zip(blocks, beside, strict=True):
+        if e is not None:
+            held[id(e)].append(b)
+
+    def levels(element: Element | None) -> set[str]:
+        return {e.tag for b in held[id(element)] for e in stack_of(b.holder)} & HEADINGS
+
+    own = levels(section)
+    like = {
+        key for key, inside in held.items()
+        if own & {e.tag for b in inside for e in stack_of(b.holder)}
+        and 2 * sum(b.linked for b in inside) < sum(len(b.text) for b in inside)
+    } if section.parent is not None and section.tag in ("div", "section") else set()
+    return [e is not None and id(e) in like for e in beside]
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
