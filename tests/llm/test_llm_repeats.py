@@ -120,3 +120,26 @@ def test_hot_passage_leaves_a_task_once(spark):
     with Scratch(spark) as stage:
         got = bytes_result(suffixes.dedup_substrings(df, stage))
     assert got == ordered(brute.substrings(rows))
+
+
+def test_anchors_leave_by_stretches_of_text(monkeypatch):
+    """What a task holds depends on the stretch it is at, not on the size of its batch, and the
+    buckets get like shares."""
+    import pyarrow as pa
+
+    steps = {}
+    monkeypatch.setattr(repeats, "shuffled", lambda rows, buckets, *fs: steps.update(make=fs[0]))
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+    repeats.repeated_anchors(Rows(), suffixes.PLAN, 8)
+    draw = np.random.default_rng(1)
+    texts = ["".join(map(chr, draw.integers(97, 123, 1 << 20))) for _ in range(12)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12), pa.int64()), pa.array(texts)], names=["h1", "text"])
+    left = [[(b, k, len(d)) for b, k, d in zip(*out.to_pydict().values())] for out in steps["make"](iter([batch]))]
+    assert len(left) >= 3
+    for out in left:
+        sizes = [size for _, kind, size in out if kind == 0]
+        assert len(sizes) == 8 and max(sizes) < 1.2 * min(sizes)

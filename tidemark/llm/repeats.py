@@ -7,8 +7,8 @@
 3. The operator compares what surrounds the anchors and returns marks per text (its own step).
 4. The marks meet the texts, and every document is cut.
 
-Before any shuffle a task reduces what it has: an anchor that occurs in several of its texts leaves
-once, as does one that occurs in all of them. Equal texts are compared once, by the smallest id
+Before any shuffle a task reduces what it has, some megabytes of text at a time: an anchor that occurs
+in several of those texts leaves once, as does one that occurs in all of them. Equal texts are compared once, by the smallest id
 that has them. Nothing is collected but the splitters of a bounded sample.
 """
 
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rolling import gram_hashes, window_min
+from tidemark.llm.rolling import gram_hashes, mix, window_min
 
 #: Items that are hashed at once.
 BLOCK = 1 << 18
@@ -192,29 +192,34 @@ def repeated_anchors(rows: DataFrame, plan: Plan, buckets: int) -> DataFrame:
 
     def make(batches):
         for batch in batches:
-            texts = distinct_texts(batch)
-            keys, owner = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-            done = 0
-            for part in sub_batches(texts):
-                flat = plan.flatten(part["text"])
-                for low, _, first, _, least in minima(flat, plan):
-                    keys.append(least >> (np.uint64(64) - KEY_BITS))
-                    owner.append(row_of(flat[1], first + low) + done)
-                done += part.num_rows
-            key, row = np.concatenate(keys), np.concatenate(owner)
-            order = np.lexsort((row, key))
-            key, row = key[order], row[order]
-            keep = runs(key, row)
-            key, row = key[keep], row[keep]
-            h1 = texts["h1"].to_numpy()[row]
-            firsts = runs(key)
-            sizes = np.diff(np.append(firsts, len(key)))
-            seed, name = key[firsts], h1[firsts]
-            blobs = []
-            for bucket, a, b in slices((seed * np.uint64(buckets)) >> KEY_BITS):
-                blobs.append((bucket, 0, _pack_seeds(seed[a:b], name[a:b])))
-            hit = np.repeat(sizes > 1, sizes)
-            yield blob_batch(blobs + by_text(buckets, h1[hit], key[hit]))
+            for part in sub_batches(distinct_texts(batch)):  # leaves before the next is read
+                yield blob_batch(seed_blobs(part))
+
+    def seed_blobs(texts):
+        flat = plan.flatten(texts["text"])
+        keys, owner = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for low, _, first, _, least in minima(flat, plan):
+            keys.append(least >> (np.uint64(64) - KEY_BITS))
+            owner.append(row_of(flat[1], first + low))
+        key, row = np.concatenate(keys), np.concatenate(owner)
+        order = np.lexsort((row, key))
+        key, row = key[order], row[order]
+        keep = runs(key, row)
+        key, row = key[keep], row[keep]
+        h1 = texts["h1"].to_numpy()[row]
+        firsts = runs(key)
+        sizes = np.diff(np.append(firsts, len(key)))
+        seed, name = key[firsts], h1[firsts]
+        # Minima are small numbers: ranges of them would give the first buckets nearly all.
+        with np.errstate(over="ignore"):
+            to = (mix(seed) % np.uint64(buckets)).astype(np.int64)
+        turn = np.argsort(to, kind="stable")
+        seed, name = seed[turn], name[turn]
+        blobs = []
+        for bucket, a, b in slices(to[turn]):
+            blobs.append((bucket, 0, _pack_seeds(seed[a:b], name[a:b])))
+        hit = np.repeat(sizes > 1, sizes)
+        return blobs + by_text(buckets, h1[hit], key[hit])
 
     def compare(kinds):
         seeds = [_unpack_seeds(d) for d in kinds.get(0, [])]
