@@ -4,9 +4,19 @@ import random
 
 import pytest
 from helpers import plan, rows
+from pyspark.sql import functions as F
 
 from tidemark import names as n
-from tidemark.operators.scd2 import expire_gone, number_inserts, scd2_initial, scd2_merge, scd2_step
+from tidemark.operators.scd2 import (
+    close_gone,
+    expire_gone,
+    flag_gone,
+    gone_hashes,
+    number_inserts,
+    scd2_initial,
+    scd2_merge,
+    scd2_step,
+)
 from tidemark.plans.jobspec import JobSpec
 from tidemark.plans.refine import refine, refined_source
 from tidemark.plans.warehouse import Warehouse
@@ -76,3 +86,28 @@ def test_a_run_joins_the_open_versions_once(spark):
     moved = scd2_step(target, numbered, 2, "2024-01-02 00:00:00")
     state = expire_gone(moved, driving, ["id"], ["id"], 0, 2, "2024-01-02 00:00:00", split=False)
     assert plan(state).count("FullOuter") == plan(moved).count("FullOuter") >= 1
+
+
+def test_hashes_are_made_after_the_shuffle_of_the_latest_rows(spark):
+    data = spark.createDataFrame([(1, "a", "1001")], f"ID int, v string, {n.DELIVERY} string")
+    text = plan(refined_source(SPEC, data, 1, "2024-01-01 00:00:00"))
+    below = text[text.index("Exchange") :]
+    assert "md5" in text and "md5" not in below
+
+
+def test_versions_do_not_move_for_the_keys_that_are_gone(spark):
+    data = spark.createDataFrame([(k, "a", "1001") for k in (1, 2, 3)], f"id int, v string, {n.DELIVERY} string")
+    source = refined_source(SPEC, data, 1, "2024-01-01 00:00:00")
+    target = scd2_initial(source, "sk", 1)
+    driving = spark.createDataFrame(
+        [(1, 2, "Y"), (2, 2, "N"), (3, 1, "Y"), (None, 2, "Y")], f"id long, {n.RUN} int, {n.SOFT_DELETE} string"
+    )
+    numbered = number_inserts(source, target, "sk")
+    hashes = gone_hashes(target, numbered, driving, ["id"], ["id"], 1)
+    sides = [flag_gone(side, hashes) for side in (target, numbered)]
+    state = close_gone(scd2_step(*sides, 2, "2024-01-02 00:00:00"), 2, "2024-01-02 00:00:00")
+    assert rows(state, "id", n.ACTIVE, n.LAST_RUN) == [(1, "N", "2"), (2, "Y", "1"), (3, "Y", "1")]
+    text = plan(state)
+    assert text[: text.index("FullOuter")].count("Join") == 1  # the merge is the last one
+    spelled = driving.withColumn("id", F.concat(F.col("id").cast("string"), F.lit(" ")))
+    assert gone_hashes(target, numbered, spelled, ["id"], ["id"], 1) is None  # blanks are trimmed there

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import names as n
 from tidemark.functions.columns import as_timestamp, business_columns, differs, named
 from tidemark.functions.hashing import row_hash
 from tidemark.functions.schema import align_to_target, spelled_like
 from tidemark.operators.surrogate import assign_surrogate, highest
-from tidemark.operators.update import update_where_in
+from tidemark.operators.update import assign, update_where_in
 
 
 def scd2_hash(
@@ -366,9 +367,53 @@ def expire_gone(
     Rows that are closed already pass through, so this also serves on the rows that
     ``scd2_step`` returns; there ``split=False`` keeps the plan from being run twice.
     """
+    gone = gone_rows(driving, previous_run)
+    return _expire(refined, gone, keys, driving_keys, run_sk, run_ts, compat, split)
+
+
+def gone_rows(driving: DataFrame, previous_run: int) -> DataFrame:
+    """Rows of the driving table soft-deleted or retired since ``previous_run``."""
     reason = F.col(n.SOFT_DELETE) == "Y"
     retired = named(driving, "retired")
     if retired is not None:
         reason = reason | (F.col(retired) != 0)
-    gone = driving.filter((F.col(n.RUN) > previous_run) & reason)
-    return _expire(refined, gone, keys, driving_keys, run_sk, run_ts, compat, split)
+    return driving.filter((F.col(n.RUN) > previous_run) & reason)
+
+
+#: Marks the versions of keys that are gone.
+GONE = "_gone"
+
+
+def gone_hashes(
+    active: DataFrame,
+    source: DataFrame,
+    driving: DataFrame,
+    keys: Sequence[str],
+    driving_keys: Sequence[str],
+    previous_run: int,
+) -> DataFrame | None:
+    """Distinct key hashes of the keys that ``expire_gone`` closes, for ``flag_gone``; None where keys
+    are not all whole numbers: other texts may differ in blanks, which a hash tells apart."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+    def plain(df: DataFrame, columns: Sequence[str]) -> bool:
+        found = [named(df, c.strip()) for c in columns]
+        return all(c is not None and isinstance(df.schema[c].dataType, whole) for c in found)
+
+    if len(keys) != len(driving_keys) or not (plain(active, keys) and plain(source, keys) and plain(driving, driving_keys)):
+        return None
+    columns = [c.strip() for c in driving_keys]
+    rows = gone_rows(driving, previous_run).select(*[F.col(f"`{c}`") for c in columns]).dropna()
+    return rows.select(row_hash(columns).alias(n.KEY_HASH)).distinct()
+
+
+def flag_gone(versions: DataFrame, hashes: DataFrame) -> DataFrame:
+    """``versions`` with ``_gone``. The join is on the column that a merge joins on, before it."""
+    marked = hashes.withColumn(GONE, F.lit(True))
+    return versions.join(marked, n.KEY_HASH, "left")
+
+
+def close_gone(versions: DataFrame, run_sk: int, run_ts) -> DataFrame:
+    """Close the active versions that ``flag_gone`` marked."""
+    hit = F.coalesce(F.col(GONE), F.lit(False)) & is_active()
+    return assign(versions, hit, _closing(run_sk, run_ts)).drop(GONE)

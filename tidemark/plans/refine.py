@@ -12,7 +12,10 @@ from tidemark.operators.delta import Reference, affected_rows
 from tidemark.operators.scd2 import (
     REPLACED,
     classify,
+    close_gone,
     expire_gone,
+    flag_gone,
+    gone_hashes,
     is_active,
     number_inserts,
     scd2_balance,
@@ -34,9 +37,11 @@ def refined_source(
     spec: JobSpec, rows: DataFrame, run_sk: int, run_ts, compat: bool = False
 ) -> DataFrame:
     """Hashed, stamped and unique source rows of a job."""
-    hashed = scd2_hash(rows, spec.keys, spec.exclusions, compat)
-    order = [c for c in spec.order if c.lower() in hashed.columns or c in hashed.columns]
-    unique = unique_source(hashed, [k.lower() for k in spec.keys], order)
+    lowered = rows.select(*[F.col(f"`{c}`").alias(c.lower()) for c in rows.columns])
+    order = [c for c in spec.order if c.lower() in lowered.columns]
+    # The hashes, most of a narrow row, are made after the shuffle that finds the latest rows.
+    latest = unique_source(lowered, [k.strip().lower() for k in spec.keys], order)
+    unique = scd2_hash(latest, spec.keys, spec.exclusions, compat)
     return scd2_metadata(unique, spec.surrogate, run_sk, run_ts)
 
 
@@ -53,7 +58,8 @@ def refine(
     """Create or update the history table and return the metrics row of the job.
 
     The source and its classification (three columns of it and of the history) are staged
-    once. Merge and delete propagation are one plan over the open versions, and the run
+    once. Merge and delete propagation are one plan over the open versions (keys of whole numbers
+    meet both by their key hash, so no version moves for the propagation), and the run
     writes those and the versions it closed; the counts are taken in that write. ``compat`` changes closed versions as well, so it
     writes the whole table, once for the merge and once for the propagation.
     """
@@ -78,8 +84,15 @@ def refine(
                 state = refined.write_all(scd2_merge(target, numbered, run_sk, run_ts), counting)
             else:
                 counting = Counting(step_counts(run_sk, F.col(REPLACED)), (REPLACED,))
-                moved = scd2_step(target.filter(is_active()), numbered, run_sk, run_ts, mark=True)
-                refined.write_step(expire_gone(moved, *gone, split=False), counting)
+                active = target.filter(is_active())
+                hashes = gone_hashes(active, numbered, *gone[:4])
+                if hashes is None:
+                    moved = scd2_step(active, numbered, run_sk, run_ts, mark=True)
+                    state = expire_gone(moved, *gone, split=False)
+                else:
+                    sides = (flag_gone(side, hashes) for side in (active, numbered))
+                    state = close_gone(scd2_step(*sides, run_sk, run_ts, mark=True), run_sk, run_ts)
+                refined.write_step(state, counting)
         balance = scd2_balance(read, counting.row(wh.spark))
         metrics = job_metrics(balance, spec.job_sk, spec.target)
         metrics = wh.spark.createDataFrame(metrics.collect(), metrics.schema)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.session import hadoop_path
+from tidemark.session import CODEC, hadoop_path, write_folders
 from tidemark.sources.counting import Counting
 
 
@@ -65,7 +65,7 @@ class SnapshotTable:
     def write(self, df: DataFrame) -> DataFrame:
         """Commit ``df`` as the next version and return it as read back."""
         number = max(self._numbers(committed=False), default=0) + 1
-        writer = df.write.mode("errorifexists").option("compression", "snappy")
+        writer = df.write.mode("errorifexists").option("compression", CODEC)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/v={number}")
@@ -134,7 +134,7 @@ class LogTable:
         return self.read() if self.exists() else default
 
     def append(self, df: DataFrame) -> None:
-        df.write.mode("errorifexists").option("compression", "snappy").parquet(
+        df.write.mode("errorifexists").option("compression", CODEC).parquet(
             f"{self.path}/rows-{uuid.uuid4().hex}"
         )
 
@@ -224,8 +224,7 @@ class HistoryTable:
             raise ValueError(f"{VERSION} is no name for a column of a history table")
         number = max((k for k, _ in self._folders(committed=False)), default=0) + 1
         self._save_schema(number, df.schema)
-        writer = df.write.mode("errorifexists").option("compression", "snappy")
-        writer.partitionBy(self.flag).parquet(f"{self.path}/{VERSION}={number}{suffix}")
+        write_folders(df, f"{self.path}/{VERSION}={number}{suffix}", self.flag)
         self._clean()
         return self.read()
 
