@@ -9,7 +9,7 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_dir
+from tidemark.session import CODEC, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,7 +32,7 @@ class Tables:
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         """Write a derived table once, as the jobs do, and read it back."""
         path = self.scratch(name)
-        df.write.parquet(path)
+        df.write.option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:

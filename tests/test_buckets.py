@@ -2,6 +2,7 @@
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from tidemark.sources import buckets
 from tidemark.sources.buckets import BUCKET, WRITE, BucketTable
@@ -75,3 +76,16 @@ def test_tasks_and_files_follow_the_bytes(spark, tmp_path, monkeypatch):
     store.write_buckets(store.read(hot), hot)
     assert len(files(tmp_path / "t") - before) > 5  # from the stored bytes
     assert store.read().count() == 4000
+
+
+def test_tasks_keep_folders_open_and_get_even_shares(spark, tmp_path, monkeypatch):
+    """No task sorts its rows by folder, and files of a told size are as many as the tasks that get rows."""
+    monkeypatch.setattr(buckets, "FILE_BYTES", 10_000)
+    df = spark.range(8000).selectExpr("CAST(id AS STRING) AS id", "uuid() AS v")
+    store = BucketTable(spark, str(tmp_path / "t"), buckets=8)
+    store.write(df, size=160_000)
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 8
+    dealt = store._dealt(df.withColumn(BUCKET, store.bucket_of()), None, 160_000)
+    shares = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(shares) == dealt.rdd.getNumPartitions() >= 16
+    assert max(r["count"] for r in shares) < 2.5 * min(r["count"] for r in shares)

@@ -24,8 +24,8 @@ CUT = ("run", "balanced_state")
 def new_numbers(values: DataFrame, known: DataFrame, column: str = "claimnumber") -> DataFrame:
     """``column, _number`` for the values that ``known`` lacks, numbered on from its highest."""
     fresh = values.select(column).filter(F.col(column).isNotNull()).distinct().join(known.select(column), column, "left_anti")
-    keyed = fresh.withColumn(n.KEY_HASH, F.md5(F.col(column).cast("string")))
-    return assign_surrogate(keyed, NUMBER, highest(known, NUMBER)).select(column, NUMBER)
+    ranges = F.substring(F.md5(F.col(column).cast("string")), 1, 3)
+    return assign_surrogate(fresh, NUMBER, highest(known, NUMBER), column, ranges=ranges).select(column, NUMBER)
 
 
 def live() -> Column:

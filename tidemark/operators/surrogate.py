@@ -14,6 +14,7 @@ def assign_surrogate(
     start: int | Column = 0,
     key_hash: str = n.KEY_HASH,
     prefix: int = 3,
+    ranges: Column | None = None,
 ) -> DataFrame:
     """Number rows ``start + 1 .. start + N`` in the order of their key hash.
 
@@ -21,11 +22,13 @@ def assign_surrogate(
     16 ** prefix even, ordered ranges. Each range is numbered by its own task and shifted by
     the count of all earlier ranges; that count table has at most 16 ** prefix rows, which is
     also what bounds the broadcast. ``key_hash`` must be unique, and the numbering depends on
-    its values only, so a recomputed task assigns the same numbers.
+    its values only, so a recomputed task assigns the same numbers. Values that are no hash tell their
+    range by ``ranges``, ``prefix`` hex digits made of them; then no hash moves with them.
     """
     if not 1 <= prefix <= 4:
         raise ValueError("prefix must be 1..4 hex digits")
-    bucketed = df.drop(surrogate).withColumn("_range", F.substring(key_hash, 1, prefix))
+    digits = F.substring(key_hash, 1, prefix) if ranges is None else ranges
+    bucketed = df.drop(surrogate).withColumn("_range", digits)
     sizes = bucketed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import hadoop_path
+from tidemark.session import hadoop_path, write_folders
 from tidemark.sources.counting import Counting
 
 #: Bytes meant for a bucket when a table is first written, and for a task and its file.
@@ -147,17 +148,19 @@ class BucketTable:
         return sizes
 
     def _dealt(self, df: DataFrame, buckets: list[int] | None, size: int) -> DataFrame:
-        """Rows dealt to tasks by bucket and, in a bucket of several files, by a hash of the row."""
+        """Rows dealt to tasks by bucket and, in a bucket of several files, by a hash of the row. Where
+        nothing tells the bytes to come, AQE deals them by what the shuffle holds."""
         chosen = list(range(self.buckets)) if buckets is None else buckets
         stored = self.bytes_of(chosen)
         even = size // max(1, len(chosen))
         files = {b: max(1, -(-max(stored.get(b, 0), even) // FILE_BYTES)) for b in chosen}
-        several = {b: k for b, k in files.items() if k > 1}
-        if not several:
-            return df.repartition(max(1, len(chosen)), BUCKET)
-        spread = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
-        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in self._hashable(df)]), F.coalesce(F.get(F.array(spread[F.col(BUCKET)]), F.lit(0)), F.lit(1)))
-        return df.repartition(sum(files.values()), F.col(BUCKET), part)
+        if not size and (buckets is None or max(files.values(), default=1) == 1):
+            return df.hint("rebalance", BUCKET)
+        firsts = dict(zip(files, accumulate(files.values(), initial=0)))
+        firsts, several = (F.create_map(*[F.lit(x) for pair in m.items() for x in pair]) for m in (firsts, files))
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in self._hashable(df)]), F.coalesce(several[F.col(BUCKET)], F.lit(1)))
+        to = (F.coalesce(firsts[F.col(BUCKET)], F.col(BUCKET)) + part).cast("int")
+        return df.repartitionById(sum(files.values()), to)
 
     def _hashable(self, df: DataFrame) -> list[str]:
         """Columns that part the rows of a bucket: all but maps, which have no hash."""
@@ -180,7 +183,7 @@ class BucketTable:
         dealt = self._dealt(dealt, buckets, size)
         if counting:
             dealt = counting.on(dealt)
-        dealt.write.mode("errorifexists").option("compression", "snappy").partitionBy(BUCKET).parquet(target)
+        write_folders(dealt, target, BUCKET)
         fs, handle = hadoop_path(self.spark, target)
         written = [s.getPath().getName() for s in fs.listStatus(handle) if s.isDirectory()]
         made = [x.split("=")[1] for x in written if x.startswith(f"{BUCKET}=")]
