@@ -19,7 +19,9 @@ from tidemark.plans.balancing import (
     publish_metrics,
     refresh_partials,
 )
+from tidemark.plans.parallel import for_each
 from tidemark.plans.warehouse import CONTROL, Warehouse
+from tidemark.session import CODEC
 from tidemark.sources import deliveries
 
 RUN_TS = "2024-02-01 00:00:00"
@@ -174,26 +176,39 @@ def q_partials(t):
     return shown[0].unionByName(shown[1])
 
 
+def _load(wh: Warehouse, table: str, rows) -> None:
+    """A table as its raw folder, and from there as replica and as refined table."""
+    folder = deliveries.folder(wh.raw, table, "f", "1000", raw=True)
+    raw = rows.withColumns({n.PAYLOAD_TS: F.lit("1"), n.SEQUENCE: F.lit("1")})
+    raw.write.option("compression", CODEC).parquet(folder)
+    landed = wh.spark.read.schema(raw.schema).parquet(folder).drop(n.PAYLOAD_TS, n.SEQUENCE)
+    wh.replica(table).write(landed)
+    live = (F.col(n.SOFT_DELETE) == "N") & (F.col("retired") == 0)
+    refined = landed.withColumn(n.ACTIVE, F.when(live, "Y").otherwise("N"))
+    if table == CLAIM_TABLE:
+        wh.refined("detail").write_all(refined)
+    else:
+        wh.refined("financial").write_all(refined.filter(F.col("partkey") % 100 != 0))
+
+
 @query("balance_jobs", f"SELECT * FROM ({RAW_REPLICA}) a UNION ALL SELECT * FROM ({REPLICA_REFINED}) b")
 def q_balance_jobs(t):
     """Both balance jobs of a cycle, from raw folders, replicas and refined tables; their metrics are
     appended to the metrics table and read from there."""
     wh = Warehouse(t.spark, t.scratch("warehouse"))
-    claims, txns = replicas(t)
-    live = (F.col(n.SOFT_DELETE) == "N") & (F.col("retired") == 0)
-    tables = {CLAIM_TABLE: claims, TRANSACTION_TABLE: txns.drop("rn")}
-    refined = {"detail": claims, "financial": tables[TRANSACTION_TABLE].filter(F.col("partkey") % 100 != 0)}
-    for table, rows in tables.items():
-        raw = rows.withColumns({n.PAYLOAD_TS: F.lit("1"), n.SEQUENCE: F.lit("1")})
-        raw.write.parquet(deliveries.folder(wh.raw, table, "f", "1000", raw=True))
-        wh.replica(table).write(rows)
+    feeds = {
+        CLAIM_TABLE: t.sql(CLAIM),
+        TRANSACTION_TABLE: latest_per_key(t.sql(TXN_FEED), ["id"], TXN_ORDER, tie_break=()),
+    }
+    for_each(t.spark, lambda table: _load(wh, table, feeds[table]), list(feeds))
     landed = t.spark.createDataFrame(
-        [(x.upper(), "f", "1000", "", "CC", 2) for x in tables], CONTROL["raw_table_load"]
+        [(x.upper(), "f", "1000", "", "CC", 2) for x in feeds], CONTROL["raw_table_load"]
     )
     wh.control("raw_table_load").append(landed)
     wh.control("file_loads").write(landed.withColumn("is_loaded", F.lit(True)))
-    for name, rows in refined.items():
-        wh.refined(name).write_all(rows.withColumn(n.ACTIVE, F.when(live, "Y").otherwise("N")))
-    publish_metrics(t.spark, wh, balance_run_partial(wh, 10, 2, RUN_TS, "CC"))
-    publish_metrics(t.spark, wh, balance_refined(wh, 10, 2, RUN_TS, "detail", "financial"))
+    jobs = (
+        lambda: balance_run_partial(wh, 10, 2, RUN_TS, "CC"),
+        lambda: balance_refined(wh, 10, 2, RUN_TS, "detail", "financial"),
+    )
+    for_each(t.spark, lambda job: publish_metrics(t.spark, wh, job()), jobs)
     return shown(wh.control("balance_metrics").read())

@@ -1,13 +1,16 @@
 """Merged partial aggregates against the plain totals."""
 
 import random
+import threading
 
 import pytest
 from helpers import plan, rows
+from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.operators.balance import replica_metrics, replica_run_metrics
-from tidemark.operators.partials import merged_metrics
+from tidemark.operators.partials import claim_partials, merged_metrics, new_numbers
+from tidemark.plans import balancing
 from tidemark.plans.balancing import CLAIM, TRANSACTION, refresh_partials
 from tidemark.plans.warehouse import Warehouse
 
@@ -65,3 +68,24 @@ def test_only_rewritten_buckets_are_read(spark, tmp_path, monkeypatch):
                           "ExpensePayment decimal(38,6), LossReserve decimal(38,6), ExpenseReserve decimal(38,6)")
                           ).filter("metric_type = 'ClaimCount'").first()["value"] == 80
     assert "replica" not in plan(wh.partials(CLAIM).read())
+
+
+def test_first_numbers_meet_nothing_and_rows_meet_them_by_hash(spark):
+    claims = spark.createDataFrame([(k, f"CLM-{k % 70}", "Open", 0, "N", 1) for k in range(80)], CLAIMS)
+    numbers = new_numbers(claims, None)
+    assert "LeftAnti" not in plan(numbers)
+    found = [r["_number"] for r in numbers.collect()]
+    assert sorted(found) == list(range(1, 71))
+    later = new_numbers(claims.withColumn("claimnumber", F.concat("claimnumber", F.lit("x"))), numbers)
+    assert min(r["_number"] for r in later.collect()) == 71
+    made = claim_partials(claims, numbers, F.lit(0))
+    assert "xxhash64" in plan(made)
+    money = spark.createDataFrame([], "part int, run int, LossPayment decimal(38,6), ExpensePayment decimal(38,6), "
+                                      "LossReserve decimal(38,6), ExpenseReserve decimal(38,6)")
+    assert merged_metrics(made, money).filter("metric_type = 'ClaimCount'").first()["value"] == 70
+
+
+def test_the_sources_of_a_balance_are_built_side_by_side(spark, tmp_path, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+    monkeypatch.setattr(balancing, "refresh_or_keep", lambda wh, table, *_: both.wait() * 0 or spark.range(1))
+    assert set(balancing._sources(Warehouse(spark, str(tmp_path)), 1, "CC")) == {CLAIM, TRANSACTION}

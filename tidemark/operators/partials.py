@@ -21,11 +21,15 @@ NUMBER = "_number"
 CUT = ("run", "balanced_state")
 
 
-def new_numbers(values: DataFrame, known: DataFrame, column: str = "claimnumber") -> DataFrame:
-    """``column, _number`` for the values that ``known`` lacks, numbered on from its highest."""
-    fresh = values.select(column).filter(F.col(column).isNotNull()).distinct().join(known.select(column), column, "left_anti")
+def new_numbers(values: DataFrame, known: DataFrame | None, column: str = "claimnumber") -> DataFrame:
+    """``column, _number`` for the values that ``known`` lacks, numbered on from its highest; all of
+    them from 1 where nothing is known."""
+    fresh = values.select(column).filter(F.col(column).isNotNull()).distinct()
+    if known is not None:
+        fresh = fresh.join(known.select(column), column, "left_anti")
     ranges = F.substring(F.md5(F.col(column).cast("string")), 1, 3)
-    return assign_surrogate(fresh, NUMBER, highest(known, NUMBER), column, ranges=ranges).select(column, NUMBER)
+    start = 0 if known is None else highest(known, NUMBER)
+    return assign_surrogate(fresh, NUMBER, start, column, ranges=ranges).select(column, NUMBER)
 
 
 def live() -> Column:
@@ -39,7 +43,9 @@ def claim_partials(claims: DataFrame, numbers: DataFrame, part: Column) -> DataF
         part.alias("part"), F.col(n.RUN).alias("run"),
         F.coalesce(F.col("state").isin(*CLAIM_STATES), F.lit(False)).alias("balanced_state"), "claimnumber",
     )
-    placed = rows.join(numbers, "claimnumber").withColumn("page", F.bitmap_bucket_number(NUMBER))
+    # Claim numbers begin alike, so a sort by them compares whole texts; a hash in front tells them apart.
+    rows, numbers = (x.withColumn("_hash", F.xxhash64("claimnumber")) for x in (rows, numbers))
+    placed = rows.join(numbers, ["_hash", "claimnumber"]).withColumn("page", F.bitmap_bucket_number(NUMBER))
     return placed.groupBy("part", *CUT, "page").agg(F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias("bits"))
 
 

@@ -17,6 +17,7 @@ from tidemark.operators.balance import (
     source_metrics,
 )
 from tidemark.operators.dedup import latest_per_key
+from tidemark.plans.parallel import for_each
 from tidemark.plans.replicate import table_batches
 from tidemark.plans.warehouse import Warehouse
 
@@ -45,11 +46,13 @@ def _sources(wh: Warehouse, run_sk: int, xcenter: str) -> dict[str, DataFrame]:
     mine = F.col("xcenter") == xcenter
     files = wh.control_rows("file_loads").filter(mine)
     loaded = wh.control_rows("raw_table_load").filter(mine & (F.col("cyc_run_sk") == run_sk))
-    sources = {}
-    for table in (CLAIM, TRANSACTION):
-        source = refresh_or_keep(wh, table, files, loaded)
-        sources[table] = wh.replica(table).read().limit(0) if source is None else source
-    return sources
+
+    def source(table: str) -> DataFrame:
+        found = refresh_or_keep(wh, table, files, loaded)
+        return wh.replica(table).read().limit(0) if found is None else found
+
+    tables = (CLAIM, TRANSACTION)
+    return dict(zip(tables, for_each(wh.spark, source, tables)))
 
 
 def balance_run(wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, xcenter: str) -> DataFrame:
@@ -82,9 +85,7 @@ def refresh_partials(wh: Warehouse, table: str) -> DataFrame:
         return store.read()
     rows, part = replica.read([b for b in stale if b in current]), replica.bucket_of()
     if table == CLAIM:
-        none = wh.spark.createDataFrame([], f"claimnumber string, {partials.NUMBER} bigint")
-        had = numbers.read_or(none)
-        fresh = partials.new_numbers(rows, had)
+        fresh = partials.new_numbers(rows, numbers.read() if numbers.exists() else None)
         numbers.append(fresh)
         made = partials.claim_partials(rows, numbers.read(), part)
     else:
@@ -99,7 +100,8 @@ def refresh_partials(wh: Warehouse, table: str) -> DataFrame:
 def balance_run_partial(wh: Warehouse, cyc_sk: int, run_sk: int, run_ts, xcenter: str) -> DataFrame:
     """As ``balance_run``, with the replica side merged from its partial aggregates."""
     sources = _sources(wh, run_sk, xcenter)
-    merged = partials.merged_metrics(refresh_partials(wh, CLAIM), refresh_partials(wh, TRANSACTION), run_sk)
+    parts = for_each(wh.spark, lambda table: refresh_partials(wh, table), (CLAIM, TRANSACTION))
+    merged = partials.merged_metrics(*parts, run_sk)
     return compare_metrics(
         source_metrics(sources[CLAIM], sources[TRANSACTION]), merged, RAW_TO_REPLICA, cyc_sk, run_sk, run_ts
     )
