@@ -20,6 +20,7 @@ from tidemark.operators.scd2 import (
 from tidemark.plans.jobspec import JobSpec
 from tidemark.plans.refine import refine, refined_source
 from tidemark.plans.warehouse import Warehouse
+from tidemark.session import Staging
 
 SPEC = JobSpec(9, "detail", ("id",), "sk", "cc_claim", ("id",), "")
 SHOWN = ("id", "v", "sk", n.ACTIVE, n.EFFECTIVE, n.EXPIRY, n.UPDATED, n.LAST_RUN, n.INSERT_RUN)
@@ -111,3 +112,36 @@ def test_versions_do_not_move_for_the_keys_that_are_gone(spark):
     assert text[: text.index("FullOuter")].count("Join") == 1  # the merge is the last one
     spelled = driving.withColumn("id", F.concat(F.col("id").cast("string"), F.lit(" ")))
     assert gone_hashes(target, numbered, spelled, ["id"], ["id"], 1) is None  # blanks are trimmed there
+
+
+def test_only_rows_that_add_a_version_are_staged_and_a_first_load_moves_bytes(spark, tmp_path, monkeypatch):
+    staged = {}
+    plain = Staging.put
+
+    def noted(self, df, name):
+        out = plain(self, df, name)
+        staged[name] = (out.count(), out.schema[n.KEY_HASH].dataType.simpleString())
+        return out
+
+    wh = Warehouse(spark, str(tmp_path))
+    wh.replica(SPEC.driving_table).write(
+        spark.createDataFrame([(6, 2, "Y", 0)], f"id int, {n.RUN} int, {n.SOFT_DELETE} string, retired int")
+    )
+    first = spark.createDataFrame([(k, "a", "1001") for k in range(9)], f"id int, v string, {n.DELIVERY} string")
+    monkeypatch.setattr(Staging, "put", noted)
+    refine(wh, SPEC, first, 1, "2024-01-01 00:00:00", previous_run=9)
+    assert staged.pop("source") == (9, "binary")
+    second = spark.createDataFrame(
+        [(k, "b" if k < 2 else "a", "1002") for k in range(1, 11)], f"id int, v string, {n.DELIVERY} string"
+    )
+    metrics = refine(wh, SPEC, second, 2, "2024-01-02 00:00:00", previous_run=1).first()
+    assert staged == {"inserts": (3, "string")}
+    assert (metrics["rows_read"], metrics["rows_inserted"], metrics["rows_updated"]) == (3, 3, 1)
+    state = wh.refined(SPEC.target).read()
+    assert state.schema[n.KEY_HASH].dataType.simpleString() == "string"
+    assert sorted((r["id"], r["v"], r[n.ACTIVE]) for r in state.collect()) == sorted(
+        [(0, "a", "Y"), (1, "a", "N"), (1, "b", "Y"), (6, "a", "N"), (9, "a", "Y"), (10, "a", "Y")]
+        + [(k, "a", "Y") for k in (2, 3, 4, 5, 7, 8)]
+    )
+    again = refine(wh, SPEC, second, 3, "2024-01-03 00:00:00", previous_run=2).first()
+    assert staged["inserts"][0] == again["rows_inserted"] == again["rows_read"] == 0

@@ -60,6 +60,8 @@ def scd2_initial(source: DataFrame, surrogate: str, run_sk: int, prefix: int = 3
 
 
 INSERT = "_insert"
+KNOWN = "_known"
+HASHES = (n.KEY_HASH, n.CHANGE_HASH)
 
 
 def is_active() -> Column:
@@ -68,9 +70,11 @@ def is_active() -> Column:
 
 
 def key_states(target: DataFrame) -> DataFrame:
-    """One narrow row per key of the target; three columns are read."""
+    """One narrow row per key of the target; three columns are read. Few versions of a key lie in one
+    map task, so rows are shuffled as they are and sorted once, not before the shuffle as well."""
     active = is_active()
-    return target.groupBy(n.KEY_HASH).agg(
+    narrow = target.select(n.KEY_HASH, n.CHANGE_HASH, n.ACTIVE)
+    return narrow.repartition(n.KEY_HASH).groupBy(n.KEY_HASH).agg(
         F.count(F.lit(1)).alias("_versions"),
         F.max(F.when(active, F.col(n.CHANGE_HASH))).alias("_active_hash"),
         F.max(n.CHANGE_HASH).alias("_any_hash"),
@@ -83,7 +87,13 @@ def classify(source: DataFrame, target: DataFrame, reactivate: bool = False) ->
     ``_insert``: a version is added. ``_known``: the target already holds this content, as
     the active version or as the only version of the key.
     """
-    pairs = source.select(n.KEY_HASH, n.CHANGE_HASH).join(key_states(target), n.KEY_HASH, "left")
+    pairs = source.select(n.KEY_HASH, n.CHANGE_HASH)
+    return classified_rows(pairs, target, reactivate).select(n.KEY_HASH, INSERT, KNOWN)
+
+
+def classified_rows(source: DataFrame, target: DataFrame, reactivate: bool = False) -> DataFrame:
+    """As ``classify``, with all columns of the source."""
+    pairs = source.join(key_states(target), n.KEY_HASH, "left")
     change = F.col(n.CHANGE_HASH)
     unseen = F.col("_versions").isNull()
     active = F.col("_active_hash").isNotNull()
@@ -93,9 +103,8 @@ def classify(source: DataFrame, target: DataFrame, reactivate: bool = False) ->
     known = (change == F.col("_active_hash")) | (
         (F.col("_versions") == 1) & (change == F.col("_any_hash"))
     )
-    return pairs.select(
-        n.KEY_HASH, insert.alias(INSERT), F.coalesce(known, F.lit(False)).alias("_known")
-    )
+    columns = [F.col(f"`{c}`") for c in source.columns]
+    return pairs.select(*columns, insert.alias(INSERT), F.coalesce(known, F.lit(False)).alias(KNOWN))
 
 
 def scd2_rows_read(
@@ -106,7 +115,22 @@ def scd2_rows_read(
     if target is None:
         return source.agg(F.count(F.lit(1)).alias("rows_read"))
     classified = classify(source, target) if classified is None else classified
-    return classified.agg(F.count_if(~F.col("_known")).alias("rows_read"))
+    return classified.agg(*[c.alias(name) for name, c in read_counts().items()])
+
+
+def read_counts() -> dict[str, Column]:
+    """The count of ``scd2_rows_read`` over classified rows."""
+    return {"rows_read": F.count_if(~F.col(KNOWN))}
+
+
+def pack_hashes(source: DataFrame) -> DataFrame:
+    """``source`` with the MD5 texts of ``scd2_hash`` as their 16 bytes, half of what moves. Only for
+    hashes made here: those of a stored table may be other texts."""
+    return source.withColumns({c: F.unhex(c) for c in HASHES})
+
+
+def unpack_hashes(versions: DataFrame) -> DataFrame:
+    return versions.withColumns({c: F.lower(F.hex(c)) for c in HASHES})
 
 
 def number_inserts(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import names as n
 
@@ -23,11 +24,13 @@ def assign_surrogate(
     the count of all earlier ranges; that count table has at most 16 ** prefix rows, which is
     also what bounds the broadcast. ``key_hash`` must be unique, and the numbering depends on
     its values only, so a recomputed task assigns the same numbers. Values that are no hash tell their
-    range by ``ranges``, ``prefix`` hex digits made of them; then no hash moves with them.
+    range by ``ranges``, ``prefix`` hex digits made of them; then no hash moves with them. A hash
+    may be text or its bytes.
     """
     if not 1 <= prefix <= 4:
         raise ValueError("prefix must be 1..4 hex digits")
-    digits = F.substring(key_hash, 1, prefix) if ranges is None else ranges
+    packed = isinstance(df.schema[key_hash].dataType, T.BinaryType)
+    digits = F.substring(F.hex(key_hash) if packed else key_hash, 1, prefix) if ranges is None else ranges
     bucketed = df.drop(surrogate).withColumn("_range", digits)
     sizes = bucketed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,14 +10,18 @@ from tidemark.operators.control import job_metrics
 from tidemark.operators.dedup import unique_source
 from tidemark.operators.delta import Reference, affected_rows
 from tidemark.operators.scd2 import (
+    INSERT,
+    KNOWN,
     REPLACED,
-    classify,
+    classified_rows,
     close_gone,
     expire_gone,
     flag_gone,
     gone_hashes,
     is_active,
     number_inserts,
+    pack_hashes,
+    read_counts,
     scd2_balance,
     scd2_hash,
     scd2_initial,
@@ -26,6 +30,7 @@ from tidemark.operators.scd2 import (
     scd2_rows_read,
     scd2_step,
     step_counts,
+    unpack_hashes,
 )
 from tidemark.plans.jobspec import JobSpec
 from tidemark.plans.warehouse import Warehouse
@@ -57,28 +62,34 @@ def refine(
 ) -> DataFrame:
     """Create or update the history table and return the metrics row of the job.
 
-    The source and its classification (three columns of it and of the history) are staged
-    once. Merge and delete propagation are one plan over the open versions (keys of whole numbers
-    meet both by their key hash, so no version moves for the propagation), and the run
-    writes those and the versions it closed; the counts are taken in that write. ``compat`` changes closed versions as well, so it
-    writes the whole table, once for the merge and once for the propagation.
+    The source is classified (against three columns of the history) as it comes, and only the rows
+    that add a version are staged: no other row changes anything, so none moves again. A first load
+    stages all rows, and moves hashes as bytes, half of their text. Merge and delete propagation are
+    one plan over the open versions (keys of whole numbers meet both by their key hash, so no version
+    moves for the propagation), and the run
+    writes those and the versions it closed; the counts are taken in that write. ``compat`` changes closed
+    versions as well, so it writes the whole table, once for the merge and once for the propagation.
     """
     refined = wh.refined(spec.target)
     driving = wh.replica(spec.driving_table).read()
     gone = (driving, spec.keys, spec.driving_keys, previous_run, run_sk, run_ts)
     with Staging(wh.spark) as staging:
-        source = staging.put(refined_source(spec, rows, run_sk, run_ts, compat), "source")
+        source = refined_source(spec, rows, run_sk, run_ts, compat)
         first = not refined.exists()
         if first:
+            source = staging.put(pack_hashes(source), "source")
             read = scd2_rows_read(source)
             loaded = scd2_initial(source, spec.surrogate, run_sk)
             counting = Counting(step_counts(run_sk, F.lit(False)))
-            refined.write_all(expire_gone(loaded, *gone, compat, split=False), counting)
+            state = expire_gone(loaded, *gone, compat, split=False)
+            refined.write_all(unpack_hashes(state), counting)
         else:
             target = refined.read()
-            known = staging.put(classify(source, target, reactivate), "classified")
-            read = scd2_rows_read(source, target, known)
-            numbered = number_inserts(source, target, spec.surrogate, classified=known)
+            reading = Counting(read_counts(), (KNOWN,))
+            known = reading.on(classified_rows(source, target, reactivate))
+            inserts = staging.put(known.filter(INSERT), "inserts")
+            read = reading.row(wh.spark)
+            numbered = number_inserts(inserts, target, spec.surrogate, classified=inserts)
             if compat:
                 counting = Counting(step_counts(run_sk))
                 state = refined.write_all(scd2_merge(target, numbered, run_sk, run_ts), counting)
